@@ -42,7 +42,7 @@ def area_lines(counts: DataFrame, cars: str = "cars") -> DataFrame:
 
 
 def distinct_cars_bloom(passages: DataFrame, size: int = 10 * MINUTE, bits: int = BLOOM_BITS,
-                        hash: str = "xxhash64", order: tuple[str, ...] = ("action_time", "id"),
+                        hash: str = "xxhash64", time: str = "action_time", arrival: str = "id",
                         area: str = "area_id", car: str = "car") -> DataFrame:
     """What a two-hash bloom filter per area and window would have counted.
 
@@ -50,10 +50,10 @@ def distinct_cars_bloom(passages: DataFrame, size: int = 10 * MINUTE, bits: int
     its car's positions.  So the count is the number of different passages
     that are first at some position.  Minima merge, hence every step combines
     before its shuffle, and the result never exceeds the exact count.
+    ``arrival`` is a unique number that grows with arrival.
     """
-    at = F.struct(*order)
-    cars = passages.groupBy(F.col(area).alias("area_id"), window_start(order[0], size).alias("start_time"),
-                            F.col(car).alias("_car")).agg(F.min(at).alias("_first"))
+    cars = passages.groupBy(F.col(area).alias("area_id"), window_start(time, size).alias("start_time"),
+                            F.col(car).alias("_car")).agg(F.min(arrival).alias("_first"))
     positions = cars.select("area_id", "start_time", "_first",
                             F.explode(bit_offsets("_car", bits, hash)).alias("_bit"))
     firsts = positions.groupBy("area_id", "start_time", "_bit").agg(F.min("_first").alias("_first"))

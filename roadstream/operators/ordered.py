@@ -110,18 +110,16 @@ class Ordered:
 
 
 def large_groups(df: DataFrame, keys: tuple[str, ...], max_rows: int) -> tuple[DataFrame | None, int]:
-    """Keys of groups above ``max_rows`` and their row total.
+    """Keys of groups above ``max_rows`` and their row total, or ``(None, 0)``.
 
-    There are at most ``rows / max_rows`` such keys.  The list is written once,
-    so later joins see its true size.
+    There are at most ``rows / max_rows`` such keys.  The list is written, so
+    the joins that follow see its true size and pick broadcast or shuffle by it.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > max_rows)
-    if not keys:
-        row = counts.first()
-        return (None, 0) if row is None else (counts, row["_rows"])
-    large = freeze(counts, "large-groups")
-    total = large.agg(F.sum("_rows")).first()[0]
-    return (None, 0) if total is None else (large.select(*keys), total)
+    total = counts.agg(F.sum("_rows")).first()[0]
+    if total is None:
+        return None, 0
+    return (freeze(counts.select(*keys), "large-groups") if keys else counts), total
 
 
 def cut(df: DataFrame, keys: tuple[str, ...], order: list[str], chunks: int) -> DataFrame:

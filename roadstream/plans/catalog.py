@@ -36,6 +36,10 @@ CENTS = "cast(round({0} * 100) as bigint)"
 MEAN = "(cast(sum({0}) as bigint) * 2 + count(*)) // (2 * count(*)) / 100.0::double"
 
 
+# Group size from which the ``*_hot`` queries cut groups into chunks.
+HOT_ROWS = 500
+
+
 def with_(*parts: str) -> str:
     return "with " + ",\n".join(parts) + "\n"
 
@@ -227,7 +231,7 @@ def distinct_cars_bloom(spark, folder):
 
 
 @query(with_(P) + f"""select area_id, start_time, start_time + {DAY} end_time,
-  count(distinct car) >= count(distinct car) within_exact, count(distinct car) exact
+  true within_exact, count(distinct car) exact
 from (select *, action_time - action_time % {DAY} start_time from p) group by area_id, start_time""")
 def distinct_cars_bloom_large(spark, folder):
     """With the full number of bits: never above the exact count."""
@@ -272,10 +276,10 @@ def running_distinct(spark, folder):
     return distinct.running_distinct(inputs.passages(spark, folder), DAY)
 
 
-@query(RUNNING)
-def running_distinct_chunked(spark, folder):
-    """As above with every group cut into chunks."""
-    return distinct.running_distinct(inputs.passages(spark, folder), DAY, max_rows=60)
+@query(RUNNING.replace(str(DAY), str(90 * DAY)))
+def running_distinct_hot(spark, folder):
+    """One window for all rows: five groups, all cut into chunks."""
+    return distinct.running_distinct(inputs.passages(spark, folder), 90 * DAY, max_rows=HOT_ROWS)
 
 
 @query("""select distinct cast(user_id as varchar) car, ('0x' || substr(md5(user_id::varchar), 1, 8))::bigint % 4194304 first_bit,
@@ -288,6 +292,10 @@ def bloom_positions(spark, folder):
 
 # --- sequences --------------------------------------------------------------
 
+def _few_cars(spark, folder):
+    return inputs.passages(spark, folder).withColumn("car", F.col("area_id"))
+
+
 CLONED = with_(P, """g as (select *, (action_time - lag(action_time) over (partition by car order by action_time, id)) // 1000 gap from p)""",
                """i as (select *, sum(case when gap is null or gap > 3600 then 1 else 0 end) over
   (partition by car order by action_time, id) isl from g)""",
@@ -303,10 +311,10 @@ def cloned_plates(spark, folder):
     return sequence.cloned_plates(inputs.passages(spark, folder), 3600)
 
 
-@query(CLONED + "select * from pairs")
-def cloned_plates_chunked(spark, folder):
-    """As above with the cars of more than 70 passages cut into chunks."""
-    return sequence.cloned_plates(inputs.passages(spark, folder), 3600, max_rows=70)
+@query(CLONED.replace("cast(user_id as varchar) car", "event_type car") + "select * from pairs")
+def cloned_plates_hot(spark, folder):
+    """Five cars hold all rows, so all are cut into chunks."""
+    return sequence.cloned_plates(_few_cars(spark, folder), 3600, max_rows=HOT_ROWS)
 
 
 FAST = with_(P, M, LIMITED, """fast as (select car, action_time, id, monitor_id, cast(round(real_speed * 100) as bigint) c,
@@ -331,10 +339,12 @@ def dangerous_drivers(spark, folder):
     return sequence.dangerous_drivers(_limited(spark, folder), 3, 7 * DAY)
 
 
-@query(MAXIMAL.format(", r.first_seq, r.last_seq"))
-def dangerous_drivers_chunked(spark, folder):
-    """As above with the cars of more than 12 qualifying passages cut into chunks."""
-    return sequence.dangerous_drivers(_limited(spark, folder), 3, 7 * DAY, max_rows=12)
+@query(MAXIMAL.replace("cast(user_id as varchar) car", "event_type car").replace(str(7 * DAY), str(3 * HOUR))
+       .format(", r.first_seq, r.last_seq"))
+def dangerous_drivers_hot(spark, folder):
+    """Five cars hold all rows, so all are cut into chunks."""
+    limited = enrich.with_default_limit(_few_cars(spark, folder), inputs.monitors(spark, folder), keep=("id",))
+    return sequence.dangerous_drivers(limited, 3, 3 * HOUR, max_rows=HOT_ROWS)
 
 
 @query(FAST + f"""select a.car, a.action_time first_action_time, a.id first_id, b.action_time last_action_time, b.id last_id,
@@ -415,10 +425,11 @@ def match_with_timeout(spark, folder):
     return matching.match_with_timeout(*_sides(spark, folder), timeout=6 * HOUR)
 
 
-@query(MATCH + f"select {OUTCOME} from o")
-def match_with_timeout_chunked(spark, folder):
-    """As above with the cars of more than 25 rows cut into chunks."""
-    return matching.match_with_timeout(*_sides(spark, folder), timeout=6 * HOUR, max_rows=25)
+@query(MATCH.replace("cast(user_id as varchar) car", "'same' car") + f"select {OUTCOME} from o")
+def match_with_timeout_hot(spark, folder):
+    """One car holds all rows."""
+    violations, police = [side.withColumn("car", F.lit("same")) for side in _sides(spark, folder)]
+    return matching.match_with_timeout(violations, police, timeout=6 * HOUR, max_rows=HOT_ROWS)
 
 
 @query(MATCH + """select car, violation_id, action_id, case outcome when 'matched' then
@@ -442,7 +453,7 @@ def match_outer(spark, folder):
 @query(with_(P) + """select *, (row_number() over (order by action_time, id) - 1) // 10 batch_id from p""")
 def count_batches(spark, folder):
     """Chunked, as a table of any size is."""
-    return batching.count_batches(inputs.passages(spark, folder), ["action_time", "id"], 10, max_rows=2000)
+    return batching.count_batches(inputs.passages(spark, folder), ["action_time", "id"], 10, max_rows=HOT_ROWS)
 
 
 @query(with_(P, LISTED) + """select car, action_time, monitor_id, batch_id from (

@@ -43,12 +43,11 @@ def area_distinct(lines: DataFrame, size: int = 10 * SECOND) -> DataFrame:
     return distinct.area_lines(distinct.distinct_cars_tumbling(parse_passages(lines), size))
 
 
-def area_distinct_bloom(lines: DataFrame, size: int = 10 * MINUTE,
-                        order: tuple[str, ...] = ("action_time", "id")) -> DataFrame:
-    """Bloom-style count of a table; on streams a sketch with constant state."""
+def area_distinct_bloom(lines: DataFrame, size: int = 10 * MINUTE) -> DataFrame:
+    """Bloom-style count of a table with ``id``; on streams a sketch with constant state."""
     passages = parse_passages(lines)
     counts = (distinct.distinct_cars_approx(passages, size) if passages.isStreaming
-              else distinct.distinct_cars_bloom(passages, size, order=order))
+              else distinct.distinct_cars_bloom(passages, size))
     return distinct.area_lines(counts)
 
 

@@ -83,8 +83,8 @@ def write_violations_once_per_day(alerts: DataFrame, path: str, time: str = "act
     if _exists(spark, path):
         stored = spark.read.parquet(path).filter(F.col("day").between(F.lit(low), F.lit(high)))
         new = firsts.join(stored.select("car", "day"), ["car", "day"], "left_anti")
-    _as(new, VIOLATION_LIST).withColumn("day", local_day(F.col("create_time"))).write.mode(
-        "append").partitionBy("day").parquet(path)
+    dated = _as(new, VIOLATION_LIST).withColumn("day", local_day(F.col("create_time")))
+    dated.repartitionByRange("day", "car").write.mode("append").partitionBy("day").parquet(path)
 
 
 def write_violations_once_per_day_jdbc(alerts: DataFrame, url: str, table: str = "t_violation_list",
