@@ -53,7 +53,9 @@ def avg_speed_sliding(passages: DataFrame, size: int = 5 * MINUTE, slide: int =
 
     Batch: rows are first summed per pane (the stretch between two window
     edges); only those sums are copied into the windows that cover them, so
-    raw rows are neither multiplied nor shuffled one by one.
+    raw rows are neither multiplied nor shuffled one by one.  The pane sums
+    move once, by checkpoint, and are multiplied after that; a checkpoint has
+    one row per pane by then, however many cars it saw.
     Stream: one windowed aggregation with a watermark of ``delay``.
     """
     if passages.isStreaming:
@@ -68,7 +70,7 @@ def avg_speed_sliding(passages: DataFrame, size: int = 5 * MINUTE, slide: int =
     newest = window_start("_pane", slide)
     starts = F.transform(F.sequence(F.lit(0), F.lit((size - 1) // slide)),
                          lambda k: newest - k.cast("bigint") * F.lit(slide))
-    spread = panes.withColumn("start_time", F.explode(starts))
+    spread = panes.repartition(key).withColumn("start_time", F.explode(starts))
     if size % slide:
         spread = spread.filter(F.col("start_time") + F.lit(size) > F.col("_pane"))
     sums = spread.groupBy("start_time", key).agg(

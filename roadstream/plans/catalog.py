@@ -37,7 +37,7 @@ MEAN = "(cast(sum({0}) as bigint) * 2 + count(*)) // (2 * count(*)) / 100.0::dou
 
 
 # Group size from which the ``*_hot`` queries cut groups into chunks.
-HOT_ROWS = 500
+HOT_ROWS = 1000
 
 
 def with_(*parts: str) -> str:
@@ -450,9 +450,17 @@ def match_outer(spark, folder):
 
 # --- batches and stored tables ----------------------------------------------
 
-@query(with_(P) + """select *, (row_number() over (order by action_time, id) - 1) // 10 batch_id from p""")
+BATCHES = with_(P) + """select *, (row_number() over (order by action_time, id) - 1) // 10 batch_id from p"""
+
+
+@query(BATCHES)
 def count_batches(spark, folder):
-    """Chunked, as a table of any size is."""
+    return batching.count_batches(inputs.passages(spark, folder), ["action_time", "id"], 10)
+
+
+@query(BATCHES)
+def count_batches_hot(spark, folder):
+    """Numbered in chunks, as every large table is."""
     return batching.count_batches(inputs.passages(spark, folder), ["action_time", "id"], 10, max_rows=HOT_ROWS)
 
 

@@ -14,39 +14,47 @@ from roadstream.schemas import PASSAGE, POLICE_ACTION, VIOLATION
 _LONG = r"^[+-]?[0-9]+$"
 
 
-def _fields(value: Column, schema: StructType) -> tuple[list[Column], Column]:
-    parts = F.split(F.rtrim(value, F.lit(",")), ",")
-    columns, good = [], F.size(parts) >= len(schema)
-    for at, field in enumerate(schema):
-        text = F.get(parts, F.lit(at))
-        if isinstance(field.dataType, LongType):
-            column = F.when(text.rlike(_LONG), text.try_cast("bigint"))
-            good = good & column.isNotNull()
-        elif isinstance(field.dataType, DoubleType):
-            column = text.try_cast("double")
-            good = good & column.isNotNull()
-        else:
-            column = text
-        columns.append(column.alias(field.name))
-    return columns, F.coalesce(good, F.lit(False))
+def _record(value: Column, schema: StructType) -> Column:
+    """Array of one struct, null for a malformed line.
+
+    The lambda binds the split line, so it is split once however many fields
+    and checks refer to it.
+    """
+    def record(parts: Column) -> Column:
+        columns, good = [], F.size(parts) >= len(schema)
+        for at, field in enumerate(schema):
+            column = F.get(parts, F.lit(at))
+            if isinstance(field.dataType, LongType):
+                column = F.when(column.rlike(_LONG), column.try_cast("bigint"))
+                good = good & column.isNotNull()
+            elif isinstance(field.dataType, DoubleType):
+                column = column.try_cast("double")
+                good = good & column.isNotNull()
+            columns.append(column.alias(field.name))
+        return F.when(good, F.struct(*columns))
+
+    # One part more than needed, so the rest of a long line stays in one piece.
+    parts = F.split(F.rtrim(value, F.lit(",")), ",", len(schema) + 1)
+    return F.transform(F.array(parts), record)
 
 
 def parse(lines: DataFrame, schema: StructType, mode: str = "PERMISSIVE", value: str = "value") -> DataFrame:
     """Typed columns in wire order; the other columns of ``lines`` stay."""
-    columns, good = _fields(F.col(value), schema)
-    keep = [F.col(c) for c in lines.columns if c != value]
+    record = _record(F.col(value), schema)
     if mode == "PERMISSIVE":
-        return lines.filter(good).select(*columns, *keep)
-    if mode == "FAILFAST":
-        checked = F.when(good, F.lit(True)).otherwise(
-            F.raise_error(F.concat(F.lit("malformed line: "), F.col(value))).cast("boolean"))
-        return lines.filter(checked).select(*columns, *keep)
-    raise ValueError("mode must be PERMISSIVE or FAILFAST")
+        records = F.filter(record, lambda r: r.isNotNull())
+    elif mode == "FAILFAST":
+        stop = F.raise_error(F.concat(F.lit("malformed line: "), F.coalesce(F.col(value), F.lit("null"))))
+        records = F.transform(record, lambda r: F.when(r.isNull(), stop).otherwise(r))
+    else:
+        raise ValueError("mode must be PERMISSIVE or FAILFAST")
+    keep = [c for c in lines.columns if c != value]
+    return lines.select(F.inline(records), *keep)
 
 
 def malformed(lines: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
     """The lines that ``parse`` leaves out."""
-    return lines.filter(~_fields(F.col(value), schema)[1])
+    return lines.filter(F.get(_record(F.col(value), schema), F.lit(0)).isNull())
 
 
 def parse_passages(lines: DataFrame, mode: str = "PERMISSIVE", value: str = "value") -> DataFrame:
