@@ -1,6 +1,6 @@
 """Fixed-size batches of rows."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from roadstream.operators.ordered import GROUP_ROWS, Ordered, over_groups
 
@@ -19,12 +19,6 @@ def count_batches(rows: DataFrame, order: list[str], size: int = BATCH_ROWS, kee
         return groups.running(rows, sums={"_at": F.lit(1).cast("bigint")})
 
     numbered = over_groups(rows, [], order, number, max_rows)
-    batched = numbered.withColumn("batch_id", _div(F.col("_at") - F.lit(1), size))
     if not keep_partial:
-        whole = rows.agg((_div(F.count(F.lit(1)), size) * F.lit(size)).alias("_whole"))
-        batched = batched.crossJoin(F.broadcast(whole)).filter(F.col("_at") <= F.col("_whole")).drop("_whole")
-    return batched.drop("_at")
-
-
-def _div(x: Column, by: int) -> Column:
-    return F.call_function("div", x, F.lit(by))
+        numbered = numbered.filter(F.col("_at") <= rows.count() // size * size)
+    return numbered.withColumn("batch_id", F.call_function("div", F.col("_at") - F.lit(1), F.lit(size))).drop("_at")

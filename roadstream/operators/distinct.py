@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from roadstream.functions import messages
 from roadstream.functions.hashing import bit_offsets
 from roadstream.functions.timing import MINUTE, SECOND, window_start
-from roadstream.operators.ordered import CHUNK, GROUP_ROWS, Ordered, over_groups
+from roadstream.operators.ordered import CHUNK, GROUP, GROUP_ROWS, Ordered, over_groups
 from roadstream.operators.windows import event_window, with_event_time
 
 BLOOM_BITS = 1 << 22
@@ -104,7 +104,7 @@ def running_distinct(passages: DataFrame, size: int = 10 * MINUTE,
             # A car is new only in the first chunk that has it.  At most one
             # row per car and chunk takes part in this second window.
             firsts = rows.filter(F.col("_new") == 1).withColumn("_chunk_first", F.min(CHUNK).over(
-                Window.partitionBy(*keys, "car")))
+                Window.partitionBy(GROUP, "car")))
             firsts = firsts.withColumn("_new", (F.col(CHUNK) == F.col("_chunk_first")).cast("bigint"))
             rows = rows.filter(F.col("_new") == 0).unionByName(firsts.drop("_chunk_first"))
         return groups.running(rows, sums={"cars": F.col("_new")}).drop("_new")

@@ -25,13 +25,9 @@ from roadstream.shared import freeze
 GROUP_ROWS = 2_000_000
 MAX_CHUNKS = 20_000
 CHUNK = "_chunk"
-
-
-def _null_safe(left: DataFrame, right: DataFrame, names: tuple[str, ...]) -> Column:
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
+# The keys as one struct: structs of nulls are equal, so a group with a null
+# key is a group like any other, in joins as well.
+GROUP = "_group"
 
 
 @dataclass(frozen=True)
@@ -50,24 +46,21 @@ class Ordered:
         """The same groups in another order; chunked rows are cut anew."""
         if not self.chunked:
             return df, Ordered(self.keys, tuple(order))
-        return cut(df.drop(CHUNK), self.keys, order, self.chunks), Ordered(self.keys, tuple(order), self.chunks)
+        return cut(df.drop(CHUNK), order, self.chunks), Ordered(self.keys, tuple(order), self.chunks)
 
     @property
     def group(self) -> list[str]:
-        return [CHUNK, *self.keys] if self.chunked else list(self.keys)
+        return [CHUNK, GROUP] if self.chunked else list(self.keys)
 
     def window(self):
         return Window.partitionBy(*self.group).orderBy(*self.order)
 
     def _chunks(self):
-        return Window.partitionBy(*self.keys).orderBy(CHUNK)
+        """Order of the chunks of a group; at most one row per chunk."""
+        return Window.partitionBy(GROUP).orderBy(CHUNK)
 
     def _attach(self, df: DataFrame, carried: DataFrame, names: list[str]) -> DataFrame:
-        carried = carried.select(*[F.col(c).alias(f"_r_{c}") for c in self.group], *names)
-        match = F.lit(True)
-        for name in self.group:
-            match = match & F.col(name).eqNullSafe(F.col(f"_r_{name}"))
-        return df.join(carried, match, "left").drop(*[f"_r_{c}" for c in self.group])
+        return df.join(carried.select(*self.group, *names), self.group, "left")
 
     def neighbours(self, df: DataFrame, columns: list[str]) -> DataFrame:
         """Adds structs ``prev`` and ``next`` with ``columns`` of the adjacent rows."""
@@ -119,12 +112,12 @@ def large_groups(df: DataFrame, keys: tuple[str, ...], max_rows: int) -> tuple[D
     total = counts.agg(F.sum("_rows")).first()[0]
     if total is None:
         return None, 0
-    return (freeze(counts.select(*keys), "large-groups") if keys else counts), total
+    return (freeze(counts.select(F.struct(*keys).alias(GROUP)), "large-groups") if keys else counts), total
 
 
-def cut(df: DataFrame, keys: tuple[str, ...], order: list[str], chunks: int) -> DataFrame:
+def cut(df: DataFrame, order: list[str], chunks: int) -> DataFrame:
     """Range-partition into ``chunks`` pieces of similar size and freeze their numbers."""
-    ranged = df.repartitionByRange(chunks, *keys, *order)
+    ranged = df.repartitionByRange(chunks, GROUP, *order)
     return freeze(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
 
 
@@ -144,7 +137,9 @@ def over_groups(df: DataFrame, keys: list[str], order: list[str],
         return body(df, plain)
     chunked = Ordered(keys, tuple(order), chunks=min(MAX_CHUNKS, -(-rows // max_rows) + 1))
     if not keys:
-        return body(cut(df, keys, order, chunked.chunks), chunked).drop(CHUNK)
-    rest = df.join(large, _null_safe(df, large, keys), "left_anti")
-    pieces = cut(df.join(large, _null_safe(df, large, keys), "left_semi"), keys, order, chunked.chunks)
-    return body(rest, plain).unionByName(body(pieces, chunked).drop(CHUNK))
+        pieces = cut(df.withColumn(GROUP, F.struct(F.lit(0))), order, chunked.chunks)
+        return body(pieces, chunked).drop(CHUNK, GROUP)
+    grouped = df.withColumn(GROUP, F.struct(*keys))
+    rest = grouped.join(large, GROUP, "left_anti").drop(GROUP)
+    pieces = cut(grouped.join(large, GROUP, "left_semi"), order, chunked.chunks)
+    return body(rest, plain).unionByName(body(pieces, chunked).drop(CHUNK, GROUP))
