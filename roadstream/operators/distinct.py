@@ -106,7 +106,7 @@ def running_distinct(passages: DataFrame, size: int = 10 * MINUTE,
             firsts = rows.filter(F.col("_new") == 1).withColumn("_chunk_first", F.min(CHUNK).over(
                 Window.partitionBy(GROUP, "car")))
             firsts = firsts.withColumn("_new", (F.col(CHUNK) == F.col("_chunk_first")).cast("bigint"))
-            rows = rows.filter(F.col("_new") == 0).unionByName(firsts.drop("_chunk_first"))
+            rows = groups.settled(rows.filter(F.col("_new") == 0).unionByName(firsts.drop("_chunk_first")))
         return groups.running(rows, sums={"cars": F.col("_new")}).drop("_new")
 
     return _bounded(over_groups(rows, keys, list(order), counts, max_rows), size)

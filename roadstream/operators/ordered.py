@@ -24,6 +24,7 @@ from roadstream.shared import freeze
 
 GROUP_ROWS = 2_000_000
 MAX_CHUNKS = 20_000
+LISTED_GROUPS = 1_000
 CHUNK = "_chunk"
 # The keys as one struct: structs of nulls are equal, so a group with a null
 # key is a group like any other, in joins as well.
@@ -48,6 +49,10 @@ class Ordered:
             return df, Ordered(self.keys, tuple(order))
         return cut(df.drop(CHUNK), order, self.chunks), Ordered(self.keys, tuple(order), self.chunks)
 
+    def settled(self, df: DataFrame) -> DataFrame:
+        """Chunked rows written once, for results that several branches read."""
+        return freeze(df, "settled") if self.chunked else df
+
     @property
     def group(self) -> list[str]:
         return [CHUNK, GROUP] if self.chunked else list(self.keys)
@@ -105,14 +110,23 @@ class Ordered:
 def large_groups(df: DataFrame, keys: tuple[str, ...], max_rows: int) -> tuple[DataFrame | None, int]:
     """Keys of groups above ``max_rows`` and their row total, or ``(None, 0)``.
 
-    There are at most ``rows / max_rows`` such keys.  The list is written, so
-    the joins that follow see its true size and pick broadcast or shuffle by it.
+    Up to ``LISTED_GROUPS`` of them come with the measuring job itself.  More,
+    at most ``rows / max_rows``, are written, so that the joins that follow see
+    the true size of the list and pick broadcast or shuffle by it.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > max_rows)
-    total = counts.agg(F.sum("_rows")).first()[0]
-    if total is None:
+    if not keys:
+        row = counts.first()
+        return (None, 0) if row is None else (counts, row["_rows"])
+    large = counts.select(F.struct(*keys).alias(GROUP), "_rows")
+    largest = large.orderBy(F.desc("_rows")).limit(LISTED_GROUPS + 1).collect()
+    if not largest:
         return None, 0
-    return (freeze(counts.select(F.struct(*keys).alias(GROUP)), "large-groups") if keys else counts), total
+    if len(largest) > LISTED_GROUPS:
+        large = freeze(large, "large-groups")
+        return large.select(GROUP), large.agg(F.sum("_rows")).first()[0]
+    listed = df.sparkSession.createDataFrame(largest, large.schema)
+    return listed.select(GROUP), sum(row["_rows"] for row in largest)
 
 
 def cut(df: DataFrame, order: list[str], chunks: int) -> DataFrame:

@@ -16,7 +16,7 @@ def numbered_runs(rows: DataFrame, groups: Ordered, columns: list[str], breaks:
     ``prev``, ``next`` and ``position`` (from 1).
     """
     rows = groups.neighbours(rows, columns)
-    rows = rows.withColumn("_break", F.col("prev").isNull() | breaks)
+    rows = groups.settled(rows.withColumn("_break", F.col("prev").isNull() | breaks))
     rows = groups.running(rows, sums={"_at": F.lit(1).cast("bigint")})
     rows = groups.running(rows, maxima={"_run_at": F.when(F.col("_break"), F.col("_at"))})
     return (rows.withColumn("position", F.col("_at") - F.col("_run_at") + F.lit(1))
@@ -59,9 +59,9 @@ def _qualifying(passages, factor, car, order, speed, limit, monitor) -> DataFram
         car, *order, monitor, speed_units(speed).alias("_units"))
 
 
-def _number(rows: DataFrame, groups: Ordered) -> DataFrame:
-    """Adds ``seq`` (from 1) and the running total of speeds."""
-    return groups.running(rows, sums={"seq": F.lit(1).cast("bigint"), "_upto": F.col("_units")})
+def _numbers() -> dict[str, Column]:
+    """``seq`` (from 1) and the running total of speeds."""
+    return {"seq": F.lit(1).cast("bigint"), "_upto": F.col("_units")}
 
 
 def qualifying(passages: DataFrame, factor: float = DANGEROUS_FACTOR, car: str = "car",
@@ -70,7 +70,8 @@ def qualifying(passages: DataFrame, factor: float = DANGEROUS_FACTOR, car: str =
                max_rows: int | None = GROUP_ROWS) -> DataFrame:
     """Passages above ``factor`` times the limit, numbered per car (``seq``)."""
     fast = _qualifying(passages, factor, car, order, speed, limit, monitor)
-    return over_groups(fast, [car], list(order), _number, max_rows).select(car, *order, monitor, "seq")
+    number = lambda rows, groups: groups.running(rows, sums=_numbers())
+    return over_groups(fast, [car], list(order), number, max_rows).select(car, *order, monitor, "seq")
 
 
 def dangerous_drivers(passages: DataFrame, times: int = 3, within: int = 2 * MINUTE,
@@ -96,8 +97,9 @@ def dangerous_drivers(passages: DataFrame, times: int = 3, within: int = 2 * MIN
 
     def runs(rows: DataFrame, groups: Ordered) -> DataFrame:
         row = F.struct(*order)
-        rows = _number(groups.neighbours(rows, list(order)), groups)
-        rows = groups.running(rows, maxima={"_car_first": F.when(F.col("prev").isNull(), row)})
+        rows = groups.settled(groups.neighbours(rows, list(order)))
+        rows = groups.running(rows, sums=_numbers(), maxima={"_car_first": F.when(F.col("prev").isNull(), row)})
+        rows = groups.settled(rows.drop("prev"))
         both = rows.withColumn("_probe", F.explode(F.array(F.lit(0), F.lit(1))))
         both = both.withColumn("_place", F.col(time) - F.col("_probe") * F.lit(within))
         both, edges = groups.reordered(both, place)
