@@ -16,7 +16,7 @@ def numbered_runs(rows: DataFrame, groups: Ordered, columns: list[str], breaks:
     ``prev``, ``next`` and ``position`` (from 1).
     """
     rows = groups.neighbours(rows, columns)
-    rows = groups.settled(rows.withColumn("_break", F.col("prev").isNull() | breaks))
+    rows = rows.withColumn("_break", F.col("prev").isNull() | breaks)
     rows = groups.running(rows, sums={"_at": F.lit(1).cast("bigint")})
     rows = groups.running(rows, maxima={"_run_at": F.when(F.col("_break"), F.col("_at"))})
     return (rows.withColumn("position", F.col("_at") - F.col("_run_at") + F.lit(1))
@@ -97,9 +97,8 @@ def dangerous_drivers(passages: DataFrame, times: int = 3, within: int = 2 * MIN
 
     def runs(rows: DataFrame, groups: Ordered) -> DataFrame:
         row = F.struct(*order)
-        rows = groups.settled(groups.neighbours(rows, list(order)))
+        rows = groups.neighbours(rows, list(order))
         rows = groups.running(rows, sums=_numbers(), maxima={"_car_first": F.when(F.col("prev").isNull(), row)})
-        rows = groups.settled(rows.drop("prev"))
         both = rows.withColumn("_probe", F.explode(F.array(F.lit(0), F.lit(1))))
         both = both.withColumn("_place", F.col(time) - F.col("_probe") * F.lit(within))
         both, edges = groups.reordered(both, place)

@@ -37,7 +37,7 @@ MEAN = "(cast(sum({0}) as bigint) * 2 + count(*)) // (2 * count(*)) / 100.0::dou
 
 
 # Group size from which the ``*_hot`` queries cut groups into chunks.
-HOT_ROWS = 1000
+HOT_ROWS = 1500
 
 
 def with_(*parts: str) -> str:
@@ -344,7 +344,7 @@ def dangerous_drivers(spark, folder):
 def dangerous_drivers_hot(spark, folder):
     """Five cars hold all rows, so all are cut into chunks."""
     limited = enrich.with_default_limit(_few_cars(spark, folder), inputs.monitors(spark, folder), keep=("id",))
-    return sequence.dangerous_drivers(limited, 3, 3 * HOUR, max_rows=HOT_ROWS)
+    return sequence.dangerous_drivers(limited, 3, 3 * HOUR, max_rows=HOT_ROWS // 3)
 
 
 @query(FAST + f"""select a.car, a.action_time first_action_time, a.id first_id, b.action_time last_action_time, b.id last_id,

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from roadstream.functions.timing import local_day, newest_first_key
+from roadstream.functions.timing import DAY, local_day, newest_first_key
 from roadstream.schemas import AVERAGE_SPEED, OVERSPEED, TRACK, VIOLATION_LIST
 from roadstream.shared import freeze
 from roadstream.sources.dimensions import jdbc_options
@@ -89,9 +89,15 @@ def write_violations_once_per_day(alerts: DataFrame, path: str, time: str = "act
 
 def write_violations_once_per_day_jdbc(alerts: DataFrame, url: str, table: str = "t_violation_list",
                                        time: str = "action_time", msg: str = "msg", **options: str) -> None:
+    """As above for a JDBC table; the time range of the alerts is pushed down."""
     spark = alerts.sparkSession
+    firsts = freeze(first_of_day(alerts, time, msg), "first-of-day")
+    low, high = firsts.agg(F.min("create_time"), F.max("create_time")).first()
+    if low is None:
+        return
     stored = spark.read.format("jdbc").options(**jdbc_options(url, table, **options)).load()
-    new = freeze(violations_once_per_day(alerts, stored, time, msg), "new-violations")
+    stored = stored.filter(F.col("create_time").between(low - DAY, high + DAY))
+    new = freeze(violations_once_per_day(firsts, stored, "create_time", "violation"), "new-violations")
     append_jdbc(new, VIOLATION_LIST, url, table, **options)
 
 
