@@ -13,37 +13,51 @@ NO_POLICE_ACTION = "no_police_action"
 NO_VIOLATION = "no_violation"
 
 
+def _celled(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str,
+            low: int, high: int) -> tuple[DataFrame, DataFrame, Column]:
+    """Both sides with a time cell, and the condition of being near.
+
+    The time is cut into cells as wide as the interval.  A left row has one
+    cell, a right row those of the left rows it can be near to (at most two),
+    so a pair meets in exactly one cell and a frequent key is spread over time.
+    """
+    width = F.lit(high - low + 1)
+
+    def cell(time: Column) -> Column:
+        return F.floor(time / width).cast("bigint")
+
+    first, last = cell(F.col(right_time) - F.lit(high)), cell(F.col(right_time) - F.lit(low))
+    left = left.withColumn("_cell", cell(F.col(left_time))).alias("l")
+    right = right.withColumn("_cell", F.explode(F.sequence(first, last))).alias("r")
+    distance = F.col(f"r.{right_time}") - F.col(f"l.{left_time}")
+    near = ((F.col(f"l.{key}") == F.col(f"r.{key}")) & (F.col("l._cell") == F.col("r._cell"))
+            & distance.between(low, high))
+    return left, right, near
+
+
+def _within(left_at: str, right_at: str, low: int, high: int) -> Column:
+    """The interval as a condition on event times, which bounds a stream's state."""
+    return (F.expr(f"{right_at} >= {left_at} + INTERVAL '{low / 1000}' SECOND")
+            & F.expr(f"{right_at} <= {left_at} + INTERVAL '{high / 1000}' SECOND"))
+
+
 def interval_join(left: DataFrame, right: DataFrame, low: int = -5 * SECOND, high: int = 5 * SECOND,
                   key: str = "car", left_time: str = "create_time", right_time: str = "action_time",
                   delay: int = 2 * SECOND) -> DataFrame:
     """All pairs of equal ``key`` with ``right_time`` in ``left_time + [low, high]``.
 
-    Batch: the time is cut into cells as wide as the interval and the cell is
-    part of the join key, so a frequent car is spread over its cells and rows
-    only meet rows of the same or a neighbouring cell.  AQE splits what is
-    still skewed.  Stream: a stream-stream join with both watermarks.
+    On tables AQE splits cells that are still skewed; streams use both
+    watermarks.
     """
     values = [F.col(f"r.{c}") for c in right.columns if c != key]
-    if left.isStreaming or right.isStreaming:
-        left = with_event_time(left, left_time, delay, "_left_at").alias("l")
-        right = with_event_time(right, right_time, delay, "_right_at").alias("r")
-        near = (F.expr(f"_right_at >= _left_at + INTERVAL '{low / 1000}' SECOND")
-                & F.expr(f"_right_at <= _left_at + INTERVAL '{high / 1000}' SECOND"))
-        joined = left.join(right, (F.col(f"l.{key}") == F.col(f"r.{key}")) & near)
-        return joined.select("l.*", *values).drop("_left_at", "_right_at")
-
-    width = high - low + 1
-    cells = F.sequence(_cell(F.col(right_time) - F.lit(high), width), _cell(F.col(right_time) - F.lit(low), width))
-    left = left.withColumn("_cell", _cell(F.col(left_time), width)).alias("l")
-    right = right.withColumn("_cell", F.explode(cells)).alias("r")
-    distance = F.col(f"r.{right_time}") - F.col(f"l.{left_time}")
-    joined = left.join(right, (F.col(f"l.{key}") == F.col(f"r.{key}")) & (F.col("l._cell") == F.col("r._cell"))
-                       & distance.between(low, high))
-    return joined.select("l.*", *values).drop("_cell")
-
-
-def _cell(time: Column, width: int) -> Column:
-    return F.floor(time / F.lit(width)).cast("bigint")
+    streaming = left.isStreaming or right.isStreaming
+    if streaming:
+        left = with_event_time(left, left_time, delay, "_left_at")
+        right = with_event_time(right, right_time, delay, "_right_at")
+    left, right, near = _celled(left, right, key, left_time, right_time, low, high)
+    if streaming:
+        near = near & _within("_left_at", "_right_at", low, high)
+    return left.join(right, near).select("l.*", *values).drop("_cell", "_left_at")
 
 
 def handled_lines(pairs: DataFrame) -> DataFrame:
@@ -93,22 +107,34 @@ def match_with_timeout(violations: DataFrame, police: DataFrame, timeout: int =
 
 def match_outer(violations: DataFrame, police: DataFrame, timeout: int = 5 * SECOND,
                 delay: int = 2 * SECOND) -> DataFrame:
-    """Relational variant for streams: full outer join within ``timeout``.
+    """Relational variant: full outer join within ``timeout``, for tables and streams.
 
     It is many-to-many: a row counts as alone only when no row of the other
-    side is near.  ``streaming.stateful`` has the one-to-one matcher.
+    side is near.  ``match_with_timeout`` is one-to-one.
     """
-    left = with_event_time(violations.select("car", "msg", "create_time"), "create_time", delay, "_v_at").alias("v")
-    right = with_event_time(police.select("police_id", "car", "action_status", "action_time"),
-                            "action_time", delay, "_p_at").alias("p")
-    seconds = timeout / 1000
-    near = (F.expr(f"_p_at >= _v_at - INTERVAL '{seconds}' SECOND")
-            & F.expr(f"_p_at <= _v_at + INTERVAL '{seconds}' SECOND"))
-    joined = left.join(right, (F.col("v.car") == F.col("p.car")) & near, "full_outer")
-    outcome = (F.when(F.col("p.car").isNull(), NO_POLICE_ACTION).when(F.col("v.car").isNull(), NO_VIOLATION)
-               .otherwise(MATCHED))
-    return joined.select(F.coalesce("v.car", "p.car").alias("car"), outcome.alias("outcome"),
-                         "v.create_time", "v.msg", "p.action_time", "p.police_id", "p.action_status")
+    violations = violations.select("car", "msg", "create_time")
+    police = police.select("police_id", "car", "action_status", "action_time")
+    columns = ["car", "outcome", "create_time", "msg", "action_time", "police_id", "action_status"]
+    if violations.isStreaming or police.isStreaming:
+        left = with_event_time(violations, "create_time", delay, "_v_at").alias("v")
+        right = with_event_time(police, "action_time", delay, "_p_at").alias("p")
+        near = (F.col("v.car") == F.col("p.car")) & _within("_v_at", "_p_at", -timeout, timeout)
+        outcome = (F.when(F.col("p.car").isNull(), NO_POLICE_ACTION).when(F.col("v.car").isNull(), NO_VIOLATION)
+                   .otherwise(MATCHED))
+        joined = left.join(right, near, "full_outer")
+        return joined.select(F.coalesce("v.car", "p.car").alias("car"), outcome.alias("outcome"), *columns[2:])
+
+    def alone(side: DataFrame, other: DataFrame, time: str, other_time: str) -> DataFrame:
+        left, right, near = _celled(side, other, "car", time, other_time, -timeout, timeout)
+        return left.join(right, near, "left_anti").drop("_cell")
+
+    parts = [interval_join(violations, police, -timeout, timeout).withColumn("outcome", F.lit(MATCHED)),
+             alone(violations, police, "create_time", "action_time").withColumn("outcome", F.lit(NO_POLICE_ACTION)),
+             alone(police, violations, "action_time", "create_time").withColumn("outcome", F.lit(NO_VIOLATION))]
+    matched, *rest = parts
+    for part in rest:
+        matched = matched.unionByName(part, allowMissingColumns=True)
+    return matched.select(*columns)
 
 
 def matched_lines(outcomes: DataFrame) -> DataFrame:
