@@ -52,13 +52,33 @@ def distinct_cars_bloom(passages: DataFrame, size: int = 10 * MINUTE, bits: int
     before its shuffle, and the result never exceeds the exact count.
     ``arrival`` is a unique number that grows with arrival.
     """
+    counted = _bloom_firsts(passages, size, bits, hash, time, arrival, area, car)
+    return _bounded(counted.groupBy("area_id", "start_time").agg(F.count(F.lit(1)).alias("cars")), size)
+
+
+def _bloom_firsts(passages, size, bits, hash, time, arrival, area, car) -> DataFrame:
+    """The passages that find an unset bit: area, window and ``_first``, their number."""
     cars = passages.groupBy(F.col(area).alias("area_id"), window_start(time, size).alias("start_time"),
                             F.col(car).alias("_car")).agg(F.min(arrival).alias("_first"))
     positions = cars.select("area_id", "start_time", "_first",
                             F.explode(bit_offsets("_car", bits, hash)).alias("_bit"))
     firsts = positions.groupBy("area_id", "start_time", "_bit").agg(F.min("_first").alias("_first"))
-    counted = firsts.select("area_id", "start_time", "_first").distinct()
-    return _bounded(counted.groupBy("area_id", "start_time").agg(F.count(F.lit(1)).alias("cars")), size)
+    return firsts.select("area_id", "start_time", "_first").distinct()
+
+
+def running_bloom(passages: DataFrame, size: int = 10 * MINUTE, bits: int = BLOOM_BITS,
+                  hash: str = "xxhash64", time: str = "action_time", arrival: str = "id",
+                  area: str = "area_id", car: str = "car", max_rows: int | None = GROUP_ROWS) -> DataFrame:
+    """For every passage, the bloom-style count of its area and window so far, in order of arrival."""
+    firsts = _bloom_firsts(passages, size, bits, hash, time, arrival, area, car).select(
+        F.col("_first").alias(arrival), F.lit(1).cast("bigint").alias("_new"))
+    rows = passages.select(F.col(area).alias("area_id"), window_start(time, size).alias("start_time"),
+                           F.col(car).alias("car"), time, arrival)
+    # The passage number is unique, so this join has no frequent key.
+    rows = rows.join(firsts, arrival, "left").withColumn("_new", F.coalesce("_new", F.lit(0)))
+    counted = over_groups(rows, ["area_id", "start_time"], [arrival], lambda rows, groups: groups.running(
+        rows, sums={"cars": F.col("_new")}).drop("_new"), max_rows)
+    return _bounded(counted, size)
 
 
 def car_sketches(passages: DataFrame, size: int = 10 * MINUTE, time: str = "action_time",

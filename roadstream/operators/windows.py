@@ -110,10 +110,9 @@ def _best(entries: Column, n: int) -> Column:
     return F.slice(F.array_sort(entries), 1, n).alias("_items")
 
 
-def top_n_stream(passages: DataFrame, n: int = 3, size: int = 5 * MINUTE, slide: int = MINUTE,
-                 key: str = "monitor_id", time: str = "action_time", speed: str = "speed",
-                 delay: int = 5 * SECOND) -> DataFrame:
-    """Both stages on a stream: windowed sums, then the top ``n`` of each window.
+def _top_items(passages: DataFrame, n: int, size: int, slide: int, key: str, time: str, speed: str,
+               delay: int) -> DataFrame:
+    """Two stages on a stream: windowed sums, then the best ``n`` of each window in ``_items``.
 
     The second stage never sees passages, only one entry per checkpoint of a
     window.  It keeps the best ``n`` of each of ``SPREAD`` shares of the
@@ -127,7 +126,24 @@ def top_n_stream(passages: DataFrame, n: int = 3, size: int = 5 * MINUTE, slide:
     share = F.pmod(F.xxhash64(key), F.lit(SPREAD)).alias("_share")
     shares = first.groupBy("_window", share).agg(_best(F.collect_list(entry), n))
     second = shares.groupBy("_window").agg(_best(F.flatten(F.collect_list("_items")), n))
-    ranked = second.select(*_window_columns(), F.posexplode("_items").alias("_at", "_item"))
+    return second.select(*_window_columns(), "_items")
+
+
+def top_n_stream(passages: DataFrame, n: int = 3, size: int = 5 * MINUTE, slide: int = MINUTE,
+                 key: str = "monitor_id", time: str = "action_time", speed: str = "speed",
+                 delay: int = 5 * SECOND) -> DataFrame:
+    """``top_n_monitors`` of ``avg_speed_sliding`` on a stream."""
+    items = _top_items(passages, n, size, slide, key, time, speed, delay)
+    ranked = items.select("start_time", "end_time", F.posexplode("_items").alias("_at", "_item"))
     return ranked.select("start_time", "end_time", F.col("_item.monitor_id").alias(key),
                          "_item.avg_speed", "_item.car_count",
                          (F.col("_at") + 1).cast("bigint").alias("rank"))
+
+
+def top_n_stream_lines(passages: DataFrame, n: int = 3, size: int = 5 * MINUTE, slide: int = MINUTE,
+                       key: str = "monitor_id", time: str = "action_time", speed: str = "speed",
+                       delay: int = 5 * SECOND) -> DataFrame:
+    """``top_n_lines`` on a stream."""
+    items = _top_items(passages, n, size, slide, key, time, speed, delay)
+    return items.select("start_time", "end_time", messages.top_line(
+        F.col("start_time"), F.col("end_time"), n, F.col("_items")).alias("line"))

@@ -189,10 +189,13 @@ def top_n_dense(spark, folder):
     return windows.top_n_monitors(windows.avg_speed_sliding(inputs.shipments(spark, folder), 5 * DAY, DAY))
 
 
-@query(with_(P, BY_MONITOR, RANKED.format(key="monitor_id")) + """select start_time, end_time,
+TOP_LINES = with_(P, BY_MONITOR, RANKED.format(key="monitor_id")) + """select start_time, end_time,
   '在窗口' || start_time || ' ----' || end_time || ' 时间范围内:整个城市最拥堵的前3个卡口是:' ||
   string_agg('卡口:' || monitor_id || ',经过的车辆数量为:' || car_count || ',平均车速为:' || avg_speed, '' order by "rank")
-  || chr(10) line from r where "rank" <= 3 group by start_time, end_time""")
+  || chr(10) line from r where "rank" <= 3 {0} group by start_time, end_time"""
+
+
+@query(TOP_LINES.format(""))
 def top_n_lines(spark, folder):
     speeds = windows.avg_speed_sliding(inputs.passages(spark, folder), 3 * DAY, DAY)
     return windows.top_n_lines(windows.top_n_monitors(speeds), 3)
@@ -282,6 +285,17 @@ def running_distinct_hot(spark, folder):
     return distinct.running_distinct(inputs.passages(spark, folder), 90 * DAY, max_rows=HOT_ROWS)
 
 
+@query(with_(P, f"w as (select *, action_time - action_time % {DAY} start_time from p)",
+             """f as (select distinct area_id, start_time, first_id from (select area_id, start_time, o, min(id) first_id from (
+  select area_id, id, start_time, unnest([('0x' || substr(md5(car), 1, 8))::bigint % 256,
+    ('0x' || substr(md5(car), 9, 8))::bigint % 256]) o from w) group by all))""") + f"""
+select w.area_id, w.start_time, w.start_time + {DAY} end_time, w.car, w.action_time, w.id,
+  cast(count(f.first_id) over (partition by w.area_id, w.start_time order by w.id) as bigint) cars
+from w left join f on f.area_id = w.area_id and f.start_time = w.start_time and f.first_id = w.id""")
+def running_bloom(spark, folder):
+    return distinct.running_bloom(inputs.passages(spark, folder), DAY, bits=256, hash="md5")
+
+
 @query("""select distinct cast(user_id as varchar) car, ('0x' || substr(md5(user_id::varchar), 1, 8))::bigint % 4194304 first_bit,
   ('0x' || substr(md5(user_id::varchar), 9, 8))::bigint % 4194304 second_bit from events""")
 def bloom_positions(spark, folder):
@@ -562,6 +576,11 @@ def stream_top_n(spark, folder):
     return _drain(spark, windows.top_n_stream(inputs.passages(spark, folder, True), 3, 5 * HOUR, HOUR, "area_id"))
 
 
+@query(TOP_LINES.format(f"and {CLOSED}"))
+def stream_top_n_lines(spark, folder):
+    return _drain(spark, windows.top_n_stream_lines(inputs.passages(spark, folder, True), 3, 3 * DAY, DAY))
+
+
 @query(with_(P, CARS.format(DAY)) + f"select * from c where {CLOSED}")
 def stream_distinct_cars(spark, folder):
     return _drain(spark, distinct.distinct_cars_tumbling(inputs.passages(spark, folder, True), DAY))

@@ -5,9 +5,10 @@ and returns a DataFrame.  Where the plan differs, ``isStreaming`` decides.
 ``live_*`` functions start a query that re-reads its reference table.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from roadstream.functions import messages
 from roadstream.functions.timing import MINUTE, SECOND
 from roadstream.operators import batching, distinct, enrich, matching, sequence, windows
 from roadstream.sinks import tables
@@ -32,6 +33,13 @@ def average_speed(lines: DataFrame, size: int = 5 * MINUTE, slide: int = MINUTE)
     return windows.avg_speed_sliding(parse_passages(lines), size, slide)
 
 
+def live_average_speed(lines: DataFrame, path: str, checkpoint: str, size: int = 5 * MINUTE,
+                       slide: int = MINUTE, **trigger) -> StreamingQuery:
+    """Mean speeds of a stream, appended to a table."""
+    return runner.to_batches(average_speed(lines, size, slide),
+                             lambda rows, batch: tables.write_average_speed(rows, path, batch), checkpoint, **trigger)
+
+
 def top_congested(lines: DataFrame, n: int = 3, size: int = 5 * MINUTE, slide: int = MINUTE) -> DataFrame:
     passages = parse_passages(lines)
     if passages.isStreaming:
@@ -39,6 +47,13 @@ def top_congested(lines: DataFrame, n: int = 3, size: int = 5 * MINUTE, slide: i
     return windows.top_n_monitors(windows.avg_speed_sliding(passages, size, slide), n)
 
 
+def top_congested_lines(lines: DataFrame, n: int = 3, size: int = 5 * MINUTE, slide: int = MINUTE) -> DataFrame:
+    passages = parse_passages(lines)
+    if passages.isStreaming:
+        return windows.top_n_stream_lines(passages, n, size, slide)
+    return windows.top_n_lines(top_congested(lines, n, size, slide), n)
+
+
 def area_distinct(lines: DataFrame, size: int = 10 * SECOND) -> DataFrame:
     return distinct.area_lines(distinct.distinct_cars_tumbling(parse_passages(lines), size))
 
@@ -51,6 +66,14 @@ def area_distinct_bloom(lines: DataFrame, size: int = 10 * MINUTE) -> DataFrame:
     return distinct.area_lines(counts)
 
 
+def area_running_bloom(lines: DataFrame, size: int = 10 * MINUTE) -> DataFrame:
+    """The bloom-style count after every passage of a table with ``id``.
+
+    On streams, ``area_distinct_bloom`` in update mode gives a line per change.
+    """
+    return distinct.area_lines(distinct.running_bloom(parse_passages(lines), size))
+
+
 def cloned_plates(lines: DataFrame, max_gap_seconds: int = 10, arrival: bool = False) -> DataFrame:
     """``lines`` carry an ``id``, such as ``file_lines(..., arrival_id=True)`` gives."""
     passages = parse_passages(lines)
@@ -68,7 +91,8 @@ def live_cloned_plates(lines: DataFrame, path: str, checkpoint: str, **trigger)
 def dangerous_drivers(lines: DataFrame, monitors: DataFrame, mode: str = "maximal") -> DataFrame:
     limited = enrich.with_default_limit(parse_passages(lines), monitors, keep=("id",))
     if limited.isStreaming:
-        return stateful.dangerous_drivers(limited, mode=mode)
+        alerts = stateful.dangerous_drivers(limited, mode=mode)
+        return alerts.withColumn("msg", messages.dangerous_line(F.col("monitors")))
     return sequence.dangerous_lines(sequence.dangerous_drivers(limited, mode=mode), sequence.qualifying(limited))
 
 

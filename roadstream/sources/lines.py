@@ -3,11 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-TOPIC = "t_traffic_msb"
-GROUP = "msb_001"
 
-
-def kafka_source_options(servers: str, topic: str = TOPIC, group: str | None = GROUP,
+def kafka_source_options(servers: str, topic: str, group: str | None = None,
                          max_offsets_per_trigger: int | None = None) -> dict[str, str]:
     """Options of ``format("kafka")`` for reading a topic from its first offset."""
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest"}
@@ -18,11 +15,11 @@ def kafka_source_options(servers: str, topic: str = TOPIC, group: str | None = G
     return options
 
 
-def kafka_sink_options(servers: str, topic: str = TOPIC) -> dict[str, str]:
+def kafka_sink_options(servers: str, topic: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "topic": topic}
 
 
-def kafka_lines(spark: SparkSession, servers: str, topic: str = TOPIC, group: str | None = GROUP,
+def kafka_lines(spark: SparkSession, servers: str, topic: str, group: str | None = None,
                 streaming: bool = True, **options) -> DataFrame:
     """UTF-8 lines of a topic with their arrival position ``(partition, offset)``."""
     reader = spark.readStream if streaming else spark.read
@@ -46,8 +43,8 @@ def file_lines(spark: SparkSession, path: str, streaming: bool = False, glob: st
     return lines.withColumn("id", F.monotonically_increasing_id()) if arrival_id else lines
 
 
-def to_topic(lines: DataFrame, servers: str, checkpoint: str | None = None,
-             topic: str = TOPIC) -> DataStreamWriter | None:
+def to_topic(lines: DataFrame, servers: str, topic: str,
+             checkpoint: str | None = None) -> DataStreamWriter | None:
     """Publish every line with a null key: at once, or as a stream writer to start."""
     values = lines.select(F.col("value").cast("string").alias("value"))
     options = kafka_sink_options(servers, topic)

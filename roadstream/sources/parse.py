@@ -1,7 +1,9 @@
 """Comma-separated lines to typed records.
 
 A line is well formed when it has enough fields (trailing empty ones do not
-count) and its numbers parse.  ``PERMISSIVE`` keeps the well-formed lines and
+count), its times are whole numbers between the years 1677 and 2262 (what a
+nanosecond timestamp can hold) and its speed is finite, so that no single line
+can stop a job or a stream later on.  ``PERMISSIVE`` keeps the well-formed lines and
 ``malformed`` returns the others, so nothing is lost between the two;
 ``FAILFAST`` stops the job at the first bad line.
 """
@@ -12,6 +14,7 @@ from pyspark.sql.types import DoubleType, LongType, StructType
 from roadstream.schemas import PASSAGE, POLICE_ACTION, VIOLATION
 
 _LONG = r"^[+-]?[0-9]+$"
+_LAST_MS = 9_223_372_036_854
 
 
 def _record(value: Column, schema: StructType) -> Column:
@@ -26,10 +29,10 @@ def _record(value: Column, schema: StructType) -> Column:
             column = F.get(parts, F.lit(at))
             if isinstance(field.dataType, LongType):
                 column = F.when(column.rlike(_LONG), column.try_cast("bigint"))
-                good = good & column.isNotNull()
+                good = good & column.between(-_LAST_MS, _LAST_MS)
             elif isinstance(field.dataType, DoubleType):
                 column = column.try_cast("double")
-                good = good & column.isNotNull()
+                good = good & (F.abs(column) < F.lit(float("inf")))
             columns.append(column.alias(field.name))
         return F.when(good, F.struct(*columns))
 

@@ -157,6 +157,16 @@ def test_bloom_counts_like_a_filter(make, hash):
         exact.setdefault(key, set()).add(car)
         counts[key] = counts.get(key, 0) + (not set(offsets[car]) <= bits)
         bits |= set(offsets[car])
+    so_far, seen = [], {}
+    for i, t, car, _, _, area in sorted(passages):
+        key = (area, t // 100_000)
+        bits, n = seen.get(key, (set(), 0))
+        n += not set(offsets[car]) <= bits
+        seen[key] = (bits | set(offsets[car]), n)
+        so_far.append((i, n))
+    for max_rows in SPLITS:
+        got = distinct.running_bloom(df, 100_000, bits=64, hash=hash, max_rows=max_rows)
+        assert rows(got, "id", "cars") == sorted(so_far, key=repr)
     got = distinct.distinct_cars_bloom(df, 100_000, bits=64, hash=hash)
     assert rows(got, "area_id", "start_time", "cars") == sorted([(*k, n) for k, n in counts.items()], key=repr)
     assert all(counts[k] <= len(exact[k]) for k in counts)

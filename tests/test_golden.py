@@ -159,7 +159,9 @@ def test_count_batches(make):
 
 DIRTY = ["", "时间戳       卡口id 摄像头id 车牌 车速  道路id  区域id", "交警出警记录数据",
          "1592722028000,0001,16278,皖M16450,116.3,30,", "1592722028000,0001,16278,皖M16450,fast,30,83",
-         " 1592722028000,0001,16278,皖M16450,1.0,30,83", "99999999999999999999,0001,16278,皖M16450,1.0,30,83"]
+         " 1592722028000,0001,16278,皖M16450,1.0,30,83", "99999999999999999999,0001,16278,皖M16450,1.0,30,83",
+         "9223372036854775807,0001,16278,皖M16450,1.0,30,83", "1592722028000,0001,16278,皖M16450,NaN,30,83",
+         "1592722028000,0001,16278,皖M16450,Infinity,30,83"]
 
 
 def test_dirty_lines_are_kept_apart(make):

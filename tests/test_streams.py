@@ -141,8 +141,21 @@ def test_dangerous_drivers_lists_checkpoints(feed, drain, make):
     stream = jobs.dangerous_drivers(feed([log, ["9;" + FAR]]).select(
         F.substring_index("value", ";", 1).cast("bigint").alias("id"), F.substring_index("value", ";", -1).alias("value")),
         make.monitors())
-    assert rows(drain(stream), "n", "monitors") == [
+    got = drain(stream)
+    assert rows(got, "n", "monitors") == [
         (3, ["0001", "0001", "0008"]), (4, ["0001", "0001", "0008", "0009"])]
+    assert got.filter("n = 3").first()["msg"] == (
+        "该车辆涉嫌危险驾驶,第1个经过卡口是:0001 -->第2个经过卡口是:0001 -->第3个经过卡口是:0008 -->")
+
+
+def test_live_average_speed_and_top_lines(spark, feed, tmp_path, drain, make):
+    log = [AVERAGE_LOG, [FAR]]
+    out = str(tmp_path / "speeds")
+    jobs.live_average_speed(feed(log), out, str(tmp_path / "c")).awaitTermination()
+    batch = jobs.average_speed(make.lines(AVERAGE_LOG))
+    assert rows(spark.read.parquet(out).drop("batch")) == rows(batch.select("start_time", "end_time", "monitor_id", "avg_speed", "car_count"))
+    lines = drain(jobs.top_congested_lines(feed(log, "again")))
+    assert rows(lines) == rows(jobs.top_congested_lines(make.lines(AVERAGE_LOG)))
 
 
 def two_sides(feed, seed):
@@ -245,9 +258,9 @@ def test_tailed_folder_takes_log_files_only(spark, tmp_path, drain):
 
 
 def test_topic_options():
-    assert sources.kafka_source_options("node:9092", max_offsets_per_trigger=5) == {
-        "kafka.bootstrap.servers": "node:9092", "subscribe": "t_traffic_msb", "startingOffsets": "earliest",
-        "kafka.group.id": "msb_001", "maxOffsetsPerTrigger": "5"}
-    assert sources.kafka_sink_options("node:9092") == {"kafka.bootstrap.servers": "node:9092", "topic": "t_traffic_msb"}
+    assert sources.kafka_source_options("node:9092", "passages", "speeding", max_offsets_per_trigger=5) == {
+        "kafka.bootstrap.servers": "node:9092", "subscribe": "passages", "startingOffsets": "earliest",
+        "kafka.group.id": "speeding", "maxOffsetsPerTrigger": "5"}
+    assert sources.kafka_sink_options("node:9092", "passages") == {"kafka.bootstrap.servers": "node:9092", "topic": "passages"}
     assert dimensions.jdbc_options("jdbc:x", "t", user="u", password="p", fetchsize="10") == {
         "url": "jdbc:x", "dbtable": "t", "fetchsize": "10", "user": "u", "password": "p"}
