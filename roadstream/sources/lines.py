@@ -1,6 +1,6 @@
 """Lines of text from files, watched folders and topics, and back to a topic."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 
@@ -21,19 +21,28 @@ def kafka_sink_options(servers: str, topic: str) -> dict[str, str]:
 
 def kafka_lines(spark: SparkSession, servers: str, topic: str, group: str | None = None,
                 streaming: bool = True, **options) -> DataFrame:
-    """UTF-8 lines of a topic with their arrival position ``(partition, offset)``."""
+    """UTF-8 lines of a topic; ``id`` is their place (partition, then offset)."""
     reader = spark.readStream if streaming else spark.read
     rows = reader.format("kafka").options(**kafka_source_options(servers, topic, group, **options)).load()
-    return rows.select(F.col("value").cast("string").alias("value"), "partition", "offset")
+    return rows.select(F.col("value").cast("string").alias("value"), place(F.col("partition"), F.col("offset")))
+
+
+def place(partition: Column, offset: Column) -> Column:
+    """A number per topic row, unique and growing within a partition."""
+    return (F.shiftleft(partition.cast("bigint"), 44) + offset).alias("id")
 
 
 def file_lines(spark: SparkSession, path: str, streaming: bool = False, glob: str | None = None,
                max_files_per_trigger: int | None = None, arrival_id: bool = False) -> DataFrame:
     """One row per line of the text files below ``path``.
 
-    ``arrival_id`` numbers the lines in file order.  The number is taken at the
-    scan itself, where a re-run task meets the same lines in the same order.
+    ``arrival_id`` numbers the lines of a table in file order.  The number is
+    taken at the scan itself, where a re-run task meets the same lines in the
+    same order.  It depends on how the files were split, so ``shared.freeze``
+    the lines before several jobs use the numbers.
     """
+    if streaming and arrival_id:
+        raise ValueError("a stream's lines carry their own id; only tables are numbered")
     reader = spark.readStream if streaming else spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob)

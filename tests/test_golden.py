@@ -3,8 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from roadstream.functions.timing import HOUR, MINUTE, SECOND
-from roadstream.operators import batching, distinct, enrich, matching, sequence, windows
+from roadstream.functions.timing import HOUR, MINUTE
+from roadstream.operators import batching, distinct, enrich, sequence, windows
 from roadstream.plans import jobs
 from roadstream.schemas import PASSAGE, VIOLATION
 from roadstream.sinks import tables

@@ -1,8 +1,6 @@
 """Shapes of the physical plans: shuffles, pushed filters, read columns, no Python."""
 
 import pytest
-from pyspark.sql import functions as F
-
 from roadstream.operators import distinct, enrich, matching, sequence, sizing, windows
 from roadstream.operators.ordered import large_groups
 from roadstream.plans import inputs

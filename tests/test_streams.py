@@ -257,6 +257,15 @@ def test_tailed_folder_takes_log_files_only(spark, tmp_path, drain):
     assert [v for v, _ in sorted(rows(numbers), key=lambda r: r[1])] == ["1", "2"]
 
 
+def test_topic_rows_have_unique_places(spark):
+    topic = spark.createDataFrame([(p, o) for p in (0, 1, 300) for o in (0, 1, 1 << 43)], "partition int, offset bigint")
+    places = topic.select(sources.place(F.col("partition"), F.col("offset")), "partition", "offset").orderBy("id").collect()
+    assert [tuple(r)[1:] for r in places] == sorted((r["partition"], r["offset"]) for r in places)
+    assert len({r["id"] for r in places}) == 9
+    with pytest.raises(ValueError):
+        sources.file_lines(spark, "/", streaming=True, arrival_id=True)
+
+
 def test_topic_options():
     assert sources.kafka_source_options("node:9092", "passages", "speeding", max_offsets_per_trigger=5) == {
         "kafka.bootstrap.servers": "node:9092", "subscribe": "passages", "startingOffsets": "earliest",
