@@ -551,9 +551,11 @@ def stored_tracks(spark, folder):
 CLOSED = "end_time <= (select max(action_time) from p) - 5000"
 
 
-def _drain(spark, stream):
+def _drain(spark, folder, stream):
     path = new_path(spark, "stream")
-    runner.to_parquet(stream, f"{path}/rows", f"{path}/checkpoint").awaitTermination()
+    with runner.state_partitions(spark, inputs.partitions(spark, folder, "events")):
+        query = runner.to_parquet(stream, f"{path}/rows", f"{path}/checkpoint")
+    query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{path}/rows")
 
 
@@ -568,27 +570,27 @@ def stream_overspeed(spark, folder):
 
 @query(with_(P, HOURLY) + f"select * from s where {CLOSED}")
 def stream_avg_speed(spark, folder):
-    return _drain(spark, _hourly(inputs.passages(spark, folder, True)))
+    return _drain(spark, folder, _hourly(inputs.passages(spark, folder, True)))
 
 
 @query(with_(P, HOURLY, RANKED.format(key="area_id")) + f"""select * from r where "rank" <= 3 and {CLOSED}""")
 def stream_top_n(spark, folder):
-    return _drain(spark, windows.top_n_stream(inputs.passages(spark, folder, True), 3, 5 * HOUR, HOUR, "area_id"))
+    return _drain(spark, folder, windows.top_n_stream(inputs.passages(spark, folder, True), 3, 5 * HOUR, HOUR, "area_id"))
 
 
 @query(TOP_LINES.format(f"and {CLOSED}"))
 def stream_top_n_lines(spark, folder):
-    return _drain(spark, windows.top_n_stream_lines(inputs.passages(spark, folder, True), 3, 3 * DAY, DAY))
+    return _drain(spark, folder, windows.top_n_stream_lines(inputs.passages(spark, folder, True), 3, 3 * DAY, DAY))
 
 
 @query(with_(P, CARS.format(DAY)) + f"select * from c where {CLOSED}")
 def stream_distinct_cars(spark, folder):
-    return _drain(spark, distinct.distinct_cars_tumbling(inputs.passages(spark, folder, True), DAY))
+    return _drain(spark, folder, distinct.distinct_cars_tumbling(inputs.passages(spark, folder, True), DAY))
 
 
 @query(with_(P, CARS.format(DAY)) + f"""select area_id, start_time, end_time, cars exact, true near from c where {CLOSED}""")
 def stream_distinct_cars_approx(spark, folder):
-    estimates = _drain(spark, distinct.distinct_cars_approx(inputs.passages(spark, folder, True), DAY))
+    estimates = _drain(spark, folder, distinct.distinct_cars_approx(inputs.passages(spark, folder, True), DAY))
     exact = distinct.distinct_cars_tumbling(inputs.passages(spark, folder), DAY).withColumnRenamed("cars", "exact")
     return estimates.join(exact, ["area_id", "start_time", "end_time"]).select(
         "area_id", "start_time", "end_time", "exact",
@@ -597,24 +599,24 @@ def stream_distinct_cars_approx(spark, folder):
 
 @query(CLONED + "select * from pairs where action_time < (select max(action_time) from p)")
 def stream_cloned_plates(spark, folder):
-    return _drain(spark, stateful.cloned_plates(inputs.passages(spark, folder, True), 3600))
+    return _drain(spark, folder, stateful.cloned_plates(inputs.passages(spark, folder, True), 3600))
 
 
 @query(MAXIMAL.format("") + " where b.action_time < (select max(action_time) from p) - 5000")
 def stream_dangerous_drivers(spark, folder):
     alerts = stateful.dangerous_drivers(_limited(spark, folder, True), 3, 7 * DAY)
-    return _drain(spark, alerts).drop("monitors")
+    return _drain(spark, folder, alerts).drop("monitors")
 
 
 @query(JOINED + "select * from j")
 def stream_interval_join(spark, folder):
-    return _drain(spark, _joined(spark, folder, True))
+    return _drain(spark, folder, _joined(spark, folder, True))
 
 
 @query(MATCH + f"""select {OUTCOME} from o, (select least((select max(create_time) from v), (select max(action_time) from a)) - 2000 mark)
 where case when outcome = 'matched' then t < mark else t + {6 * HOUR} < mark or coalesce(nt < mark, false) end""")
 def stream_match(spark, folder):
-    return _drain(spark, stateful.match_with_timeout(*_sides(spark, folder, True), timeout=6 * HOUR))
+    return _drain(spark, folder, stateful.match_with_timeout(*_sides(spark, folder, True), timeout=6 * HOUR))
 
 
 @query(with_(P, V, A) + f"""select * from (
@@ -624,7 +626,7 @@ def stream_match(spark, folder):
 where outcome = 'matched'""")
 def stream_match_outer(spark, folder):
     """The matched part; when the rest closes depends on the state's cleaning time."""
-    outcomes = _drain(spark, matching.match_outer(*_sides(spark, folder, True), timeout=6 * HOUR))
+    outcomes = _drain(spark, folder, matching.match_outer(*_sides(spark, folder, True), timeout=6 * HOUR))
     return outcomes.filter(F.col("outcome") == matching.MATCHED)
 
 

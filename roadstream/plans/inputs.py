@@ -14,6 +14,12 @@ def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 
 
+def partitions(spark: SparkSession, folder: str, name: str) -> int:
+    """Shuffle partitions for a table: one per 64 MB of its files, from 8 up to the session's number."""
+    size = int(table(spark, folder, name)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(8, size >> 26))
+
+
 def as_passages(events: DataFrame) -> DataFrame:
     """Events as passages: user = car, ``props.k`` = checkpoint, type = area, value = speed."""
     k = F.regexp_extract("props", "([0-9]+)", 1)

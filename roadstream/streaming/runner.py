@@ -6,12 +6,14 @@ runs with the given trigger interval.
 """
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from roadstream.sources.dimensions import Loader, Refreshed
 
+_PARTITIONS = "spark.sql.shuffle.partitions"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -20,6 +22,21 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int):
+    """Queries started inside keep their state in ``n`` partitions.
+
+    A query keeps the number it is first started with, so it is worth choosing
+    by the size of its input rather than once for a whole session.
+    """
+    before = spark.conf.get(_PARTITIONS)
+    spark.conf.set(_PARTITIONS, n)
+    try:
+        yield
+    finally:
+        spark.conf.set(_PARTITIONS, before)
+
+
 def _trigger(writer: DataStreamWriter, available_now: bool, every: str | None) -> DataStreamWriter:
     if available_now:
         return writer.trigger(availableNow=True)
