@@ -5,13 +5,18 @@ outlives executors and cuts lineage, so a value that is only stable once
 computed (such as a partition number) is computed exactly once.
 """
 
+import atexit
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 _SESSION_FOLDER = "roadstream.sharedFolder"
+_SHIPPED = "roadstream.shipped"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -48,3 +53,19 @@ def release(spark: SparkSession) -> None:
         path = jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
         spark.conf.unset(_SESSION_FOLDER)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the executors import this package, wherever the driver was started."""
+    if spark.conf.get(_SHIPPED, None) == spark.sparkContext.applicationId:
+        return
+    root = Path(__file__).resolve().parent
+    if root.is_dir():
+        folder = tempfile.mkdtemp(prefix="roadstream-code-")  # the driver serves it as long as it runs
+        atexit.register(shutil.rmtree, folder, True)
+        archive = Path(folder, f"{root.name}.zip")
+        with zipfile.ZipFile(archive, "w") as file:
+            for source in sorted(root.rglob("*.py")):
+                file.write(source, source.relative_to(root.parent))
+        spark.sparkContext.addPyFile(str(archive))
+    spark.conf.set(_SHIPPED, spark.sparkContext.applicationId)

