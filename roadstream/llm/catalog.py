@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadstream.llm import bpe, packing, token_files
+from roadstream.llm import bpe, chunks, exact, packing, token_files, topk
 from roadstream.shared import freeze
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,7 +43,34 @@ def op2_packing(spark, folder):
     return packing.pack(freeze(items, "pieces"))
 
 
+@query("""
+with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) e from embeddings),
+s as (select q.vec_id query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) score
+  from v q join v c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id),
+r as (select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) rank, vec_id, score
+  from s)
+select * from r where rank <= 5""")
+def op3_top_k(spark, folder):
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query()
 def op5_token_files(spark, folder):
     rows = token_files.round_trip(table(spark, folder, "documents"), public_tokenizers.path(WORDS))
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("""
+with d as (select doc_id, coalesce(text, '') whole, translate(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '') t
+  from documents),
+g as (select doc_id, t, first_value(doc_id) over (partition by t order by length(whole) desc, doc_id) keep_id,
+  count(*) over (partition by t) group_size from d)
+select doc_id, keep_id, group_size, doc_id = keep_id kept, sha256(t) text_sha256 from g""")
+def op6_exact_dedup(spark, folder):
+    _, rows = exact.groups(table(spark, folder, "documents"))
+    return rows.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+@query()
+def op10_substring_dedup(spark, folder):
+    return chunks.shared_spans(table(spark, folder, "documents"))
