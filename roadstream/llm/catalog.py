@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadstream.llm import bpe, chunks, exact, packing, token_files, topk
+from roadstream.llm import bpe, chunks, exact, neardup, packing, token_files, topk
 from roadstream.shared import freeze
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,11 @@ def op3_top_k(spark, folder):
     return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@query()
+def op4_minhash(spark, folder):
+    return neardup.classes(table(spark, folder, "documents"))
+
+
 @query()
 def op5_token_files(spark, folder):
     rows = token_files.round_trip(table(spark, folder, "documents"), public_tokenizers.path(WORDS))
