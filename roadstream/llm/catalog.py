@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadstream.llm import bpe, chunks, exact, neardup, packing, token_files, topk
+from roadstream.llm import bpe, chunks, exact, neardup, packing, quality, token_files, topk, toxicity
 from roadstream.shared import freeze
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,22 @@ def op6_exact_dedup(spark, folder):
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+@query()
+def op8_quality(spark, folder):
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    rows = quality.scores(docs, quality.learn(docs, labels))
+    return rows.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+                       (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"))
+
+
+@query()
+def op9_toxicity(spark, folder):
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    rows = quality.scores(docs, *toxicity.learn(docs, labels))
+    return rows.select("doc_id", quality.held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score",
+                       (F.col("score") >= toxicity.ALERT).cast("int").alias("predicted"))
+
+
 @query()
 def op10_substring_dedup(spark, folder):
     return chunks.shared_spans(table(spark, folder, "documents"))

@@ -38,10 +38,10 @@ def split_rows(batch: pa.RecordBatch, column: str = "text", most: int = BATCH_CH
     texts = batch.column(batch.schema.get_field_index(column)).to_pylist()
     start, size = 0, 0
     for place, text in enumerate(texts):
-        if size and size + len(text) > most:
+        if size and size + len(text or "") > most:
             yield batch.slice(start, place - start), texts[start:place]
             start, size = place, 0
-        size += len(text)
+        size += len(text or "")
     if start < len(texts):
         yield batch.slice(start), texts[start:]
 
@@ -105,6 +105,17 @@ class Words:
             value = value[at] * _powers(1 << int(length.max()).bit_length())[offset]
             self.hash = mix(np.add.reduceat(value, np.cumsum(length) - length))
 
+    def stems(self, n: int) -> np.ndarray:
+        """A hash of the first ``n`` characters of each word; 0 for shorter words."""
+        lower, _, hashed = _tables()
+        found = np.zeros(len(self.start), dtype=np.uint64)
+        long = np.flatnonzero(self.end - self.start >= n)
+        start, power = self.start[long], _powers(1 << n.bit_length())
+        for k in range(n):
+            found[long] += hashed[np.minimum(self.codes[start + k], 0xFFFF)] * power[k]
+        found[long] = mix(found[long] + np.uint64(n))
+        return found
+
     def shingles(self, n: int = 5) -> tuple[np.ndarray, np.ndarray]:
         """(doc, hash) of each run of ``n`` words; a shorter text with words is one shingle."""
         count = np.bincount(self.doc, minlength=len(self.first) - 1)
