@@ -41,7 +41,7 @@ def new_path(spark: SparkSession, name: str) -> str:
 def freeze(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
