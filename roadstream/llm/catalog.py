@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadstream.llm import bpe, chunks, exact, neardup, packing, quality, token_files, topk, toxicity
+from roadstream.llm import bpe, chunks, exact, neardup, packing, pii, quality, token_files, topk, toxicity
 from roadstream.shared import freeze
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,13 @@ def op6_exact_dedup(spark, folder):
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+@query()
+def op7_pii(spark, folder):
+    rows = pii.spans(table(spark, folder, "documents"))
+    return rows.select("doc_id", *(pii.count(F.col("base"), x).alias(f"n_{x}") for x in pii.KINDS[:4]),
+                       F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
+
+
 @query()
 def op8_quality(spark, folder):
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
