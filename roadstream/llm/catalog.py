@@ -74,7 +74,7 @@ g as (select doc_id, t, first_value(doc_id) over (partition by t order by length
   count(*) over (partition by t) group_size from d)
 select doc_id, keep_id, group_size, doc_id = keep_id kept, sha256(t) text_sha256 from g""")
 def op6_exact_dedup(spark, folder):
-    _, rows = exact.groups(table(spark, folder, "documents"))
+    _, rows = exact.groups(table(spark, folder, "documents").select("doc_id", "text"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 

@@ -34,12 +34,11 @@ def digest_of(text: Column) -> Column:
 
 
 def store(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", digest=digest_of) -> DataFrame:
-    """Write the content store: row (number), doc_id, length, digest, normal (the normalised text), whole (the row)."""
+    """Write the content store: row (number), doc_id, length, digest, whole (the row's columns)."""
     body = text_of(docs, text)
     rows = docs.select(
-        docs[key].alias("doc_id"), F.length(body).cast("long").alias("length"), normalised(body).alias("normal"),
-        F.struct(*(docs[x] for x in docs.columns)).alias("whole"))
-    rows = rows.withColumns({"row": F.monotonically_increasing_id(), "digest": digest(F.col("normal"))})
+        F.monotonically_increasing_id().alias("row"), docs[key].alias("doc_id"), F.length(body).cast("long").alias("length"),
+        digest(normalised(body)).alias("digest"), F.struct(*(docs[x] for x in docs.columns)).alias("whole"))
     rows.write.option("compression", "zstd").parquet(path)
     return docs.sparkSession.read.schema(rows.schema).parquet(path)
 
@@ -90,6 +89,7 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", digest=dige
     assigned_at = new_path(spark, "assigned")
     stored.select("row", "doc_id", "digest").join(state, "digest").write.parquet(assigned_at)
     assigned = spark.read.parquet(assigned_at)
+    stored = stored.withColumn("normal", normalised(F.coalesce(F.col("whole")[text], F.lit(""))))
     differing = _differing(stored, assigned, new_path(spark, "differing"))
     result = assigned.select("row", "doc_id", "digest", "keep_id", "keep_row", F.col("size").alias("group_size"))
     if differing.head(1):
