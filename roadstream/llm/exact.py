@@ -16,6 +16,7 @@ which one stays.  An empty table gives no rows.
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from roadstream.llm.texts import text_of
+from roadstream.operators.sizing import for_lookup
 from roadstream.shared import new_path
 from roadstream.streaming import runner
 
@@ -100,7 +101,7 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", digest=dige
 def _differing(stored: DataFrame, assigned: DataFrame, path: str) -> DataFrame:
     """Digests of hits whose bytes are not those at the locator."""
     shared = assigned.filter("size > 1").select("row", "keep_row", "digest")
-    content = stored.select("row", F.col("normal").cast("binary").alias("bytes")).join(shared, "row")
+    content = stored.select("row", F.col("normal").cast("binary").alias("bytes")).join(for_lookup(shared), "row")
     first = content.filter("row = keep_row").select("keep_row", F.col("bytes").alias("first_bytes"))
     hits = content.filter("row <> keep_row").select("keep_row", "digest", "bytes")
     hits.join(first.hint("merge"), "keep_row").filter("bytes <> first_bytes").select("digest").distinct().write.parquet(path)
@@ -118,5 +119,5 @@ def _by_text(stored: DataFrame, differing: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows that another row stands for."""
     stored, rows = groups(docs, key, text)
-    gone = rows.filter(~F.col("kept")).select("row")
+    gone = for_lookup(rows.filter(~F.col("kept")).select("row"))
     return stored.select("row", "whole").join(gone, "row", "left_anti").select("whole.*")
