@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from roadstream.llm.graph import components
 from roadstream.llm.texts import Words, keyed_texts, mix, split_rows
+from roadstream.operators.sizing import for_lookup
 from roadstream.shared import freeze
 
 WORDS = 5
@@ -281,7 +282,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: f
     met = freeze(keys.join(shared.hint("merge"), "bucket"), "buckets")
     centre = met.groupBy("doc").agg(F.sum(F.log2("n")).alias("score"))
     met = freeze(met.join(centre, "doc").select("bucket", "doc", "score"), "members")
-    texts = freeze(rows.select(F.col("doc_id").alias("doc"), "text").join(centre.select("doc"), "doc", "left_semi"), "texts")
+    texts = freeze(rows.select(F.col("doc_id").alias("doc"), "text").join(for_lookup(met.select("doc").distinct()), "doc", "left_semi"), "texts")
     links = _linked(met, texts, weights, similar)
     roots = components(links.select(F.col("leader").alias("a"), F.col("doc").alias("b")))
     classed = same.join(roots, same["doc"] == roots["node"], "left").select("digest", F.coalesce("root", "doc").alias("class_id"))
@@ -323,5 +324,6 @@ def _linked(met: DataFrame, texts: DataFrame, weights: Weights, similar: float)
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each class, the one whose key names the class."""
-    gone = classes(docs, key, text).filter(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("_gone")).distinct()
+    gone = classes(docs, key, text).filter(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("_gone"))
+    gone = for_lookup(freeze(gone.distinct(), "gone"))
     return docs.join(gone, docs[key] == F.col("_gone"), "left_anti")

@@ -222,15 +222,15 @@ def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     marked = marked.select(F.col("doc_id.key").alias("_key"), F.col("doc_id.digest").alias("_digest"), "_spans")
     body = text_of(docs, text)
     joined = docs.join(marked.hint("merge"), docs[key].eqNullSafe(F.col("_key")) & (F.sha2(body, 256) == F.col("_digest")), "left")
-    place = docs.columns.index(text)
+    names, place = docs.columns, docs.columns.index(text)
 
     def run(batches):
         for batch in batches:
             for part, texts in split_rows(batch, text):
-                marks = part.column(len(docs.columns)).to_pylist()
+                marks = part.column(len(names)).to_pylist()
                 new = [replace(x, y) if y else x for x, y in zip(texts, marks)]
-                columns = part.columns[: len(docs.columns)]
+                columns = part.columns[: len(names)]
                 columns[place] = pa.array(new, batch.schema.field(place).type)
-                yield pa.RecordBatch.from_arrays(columns, docs.columns)
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return joined.select(*(docs[x] for x in docs.columns), "_spans").mapInArrow(run, docs.schema)
