@@ -14,12 +14,15 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     def distinct(links):
         return links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
-    def mark(links):
-        return links.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 31)))).first()
+    def settled(links):
+        """Whether each node has one link, to a node without links of its own."""
+        total, nodes = links.agg(F.count(F.lit(1)), F.count_distinct("a")).first()
+        return total == nodes and not links.join(links.select(F.col("b").alias("a")).distinct(), "a", "left_semi").head(1)
 
     links = freeze(distinct(edges.select("a", "b")), "links")
-    before = mark(links)
     for _ in range(rounds):
+        if settled(links):
+            break
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("least")).select("a", F.least("a", "least").alias("least"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
@@ -28,10 +31,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         small = large.join(least, "a")
         links = freeze(distinct(small.select(F.col("b").alias("a"), F.col("least").alias("b")).unionByName(
             least.select("a", F.col("least").alias("b")))), "links")
-        after = mark(links)
-        if after == before:
-            break
-        before = after
     else:
         raise RuntimeError("the components did not settle")
     roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -10,9 +10,10 @@ Texts with the same words are one class from the start, and one representative o
 consistent weighted samples, in ``BANDS`` bands.  Two texts of similarity s share a band with probability
 1 - (1 - s^4)^16, 0.9998 at 0.8.  In every bucket the most central member (the one whose buckets hold most rows) leads,
 and the others are verified against it by their exact weighted Jaccard similarity.  Verified links are joined into
-components; buckets that still hold several components get a next leader, from outside the components that
-led, which meets the members of other components, until no new link is found.  So a bucket costs as
-many comparisons as it has members in each round, and never all its pairs.
+components.  In a bucket that still holds several, all pairs across components are verified if it has at most ``SMALL``
+members; in a larger one, the most central member outside the leader's component leads once more and meets the
+members of other components.  So a bucket costs a fixed multiple of its members, never all its pairs.  Two texts that
+are near each other, but near none of the leaders they meet in up to 16 buckets, can stay apart.
 
 Null and empty texts, and those without words, are near no other text and form classes of their own.  Equal rows with
 words are in one class.  Every row gives one row, also where keys repeat.  An empty table gives no rows.
@@ -37,6 +38,7 @@ HEAVY = 1 << 16
 TABLE_BITS = 20
 TOP = 3.0
 SALT_ROWS = 128
+SMALL = 32
 _DRAWS = 1 << 16
 
 
@@ -290,36 +292,26 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: f
 
 
 def _linked(met: DataFrame, texts: DataFrame, weights: Weights, similar: float) -> DataFrame:
-    """Verified links between members of a bucket, enough to connect its similar texts."""
-    spark = met.sparkSession
-    kind = met.schema["doc"].dataType.simpleString()
-    links, tried = spark.createDataFrame([], f"leader {kind}, doc {kind}"), spark.createDataFrame([], f"leader {kind}, doc {kind}")
-    led = spark.createDataFrame([], f"bucket long, leader {kind}")
-    live = met.withColumn("part", F.col("doc"))
-    while True:
-        candidates = live.join(led.join(live.select("bucket", F.col("doc").alias("leader"), "part"), ["bucket", "leader"]).select(
-            "bucket", "part").distinct(), ["bucket", "part"], "left_anti")
-        leaders = candidates.groupBy("bucket").agg(
-            F.max_by(F.struct("doc", "part"), F.struct("score", F.hash("doc"), "doc")).alias("best")).select(
-            "bucket", F.col("best.doc").alias("leader"), F.col("best.part").alias("led_part"))
-        leaders = freeze(leaders, "leaders")
-        pairs = live.join(leaders, "bucket").filter(F.col("part") != F.col("led_part")).select(
-            F.least("leader", "doc").alias("x"), F.greatest("leader", "doc").alias("y"), "leader").groupBy("x", "y").agg(
-            F.min("leader").alias("leader"))
-        pairs = pairs.select("leader", F.when(F.col("leader") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("doc"))
-        either = tried.unionByName(tried.select(F.col("doc").alias("leader"), F.col("leader").alias("doc")))
-        pairs = freeze(pairs.join(either, ["leader", "doc"], "left_anti"), "pairs")
-        found = freeze(verify(pairs, texts, weights, similar), "links")
-        if not found.head(1):
-            return links
-        links, tried = links.unionByName(found), tried.unionByName(pairs)
-        led = led.unionByName(leaders.select("bucket", "leader"))
-        roots = components(links.select(F.col("leader").alias("a"), F.col("doc").alias("b"))).select(
-            F.col("node").alias("doc"), F.col("root"))
-        live = met.join(roots, "doc", "left").withColumn("part", F.coalesce("root", "doc")).drop("root")
-        several = live.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
-        live = freeze(live.join(several.select("bucket"), "bucket", "left_semi"), "members")
-        led = freeze(led.join(several.select("bucket"), "bucket", "left_semi"), "led")
+    """Verified links (leader, doc) between members of a bucket."""
+    rank = F.struct("score", "doc")
+    leaders = met.groupBy("bucket").agg(F.max_by("doc", rank).alias("leader"))
+    first = freeze(met.join(leaders, "bucket").filter("doc <> leader").select("leader", "doc").distinct(), "pairs")
+    found = freeze(verify(first, texts, weights, similar), "links")
+    roots = components(found.select(F.col("leader").alias("a"), F.col("doc").alias("b"))).withColumnRenamed("node", "doc")
+    parted = met.join(roots, "doc", "left").select("bucket", "doc", "score", F.coalesce("root", "doc").alias("part"))
+    mixed = parted.groupBy("bucket").agg(
+        F.max_by(F.struct("doc", "part"), rank).alias("best"), F.count(F.lit(1)).alias("n"), F.min("part").alias("low"),
+        F.max("part").alias("high")).filter("low <> high").select("bucket", "best", "n")
+    live = freeze(parted.join(mixed.hint("merge"), "bucket"), "mixed")
+    left = live.filter(F.col("n") <= SMALL).select("bucket", F.col("doc").alias("leader"), F.col("part").alias("led"))
+    small = left.join(live.select("bucket", "doc", "part").hint("merge"), "bucket").filter("leader < doc and led <> part")
+    second = live.filter((F.col("n") > SMALL) & (F.col("part") != F.col("best.part"))).groupBy("bucket").agg(
+        F.max_by(F.struct("doc", "part"), rank).alias("next"))
+    large = live.join(second.hint("merge"), "bucket").filter((F.col("part") != F.col("next.part")) & (F.col("doc") != F.col("best.doc")))
+    pairs = small.select("leader", "doc").unionByName(large.select(F.col("next.doc").alias("leader"), "doc")).distinct()
+    both = first.unionByName(first.select(F.col("doc").alias("leader"), F.col("leader").alias("doc")))
+    pairs = freeze(pairs.join(both.hint("merge"), ["leader", "doc"], "left_anti"), "pairs")
+    return found.unionByName(freeze(verify(pairs, texts, weights, similar), "links"))
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
