@@ -2,12 +2,15 @@
 
 Speeds are summed as fixed-point integers.  Integer sums do not depend on the
 order in which partial aggregates meet, so a re-run stage gives the same
-digits, and half-up rounding of the mean is exact.
+digits, and half-up rounding of the mean is exact.  A speed counts with
+``SPEED_DIGITS`` decimals, the digits after them are rounded; below
+``SPEED_LIMIT``, which the parser sees to, nine billion speeds always fit a sum.
 """
 
 from pyspark.sql import Column, functions as F
 
 SPEED_DIGITS = 4
+SPEED_LIMIT = 100_000.0
 _UNIT = 10 ** SPEED_DIGITS
 
 
@@ -23,7 +26,3 @@ def mean2(units: Column, n: Column) -> Column:
         "div", F.abs(units) * F.lit(2) + n * per_cent, n * per_cent * F.lit(2))
     return F.signum(units) * half_up / F.lit(100.0)
 
-
-def round2(x) -> Column:
-    """Two decimals, half-up."""
-    return F.round(x, 2)

@@ -39,4 +39,4 @@ def local_day(ms) -> Column:
 def newest_first_key(car, ms) -> Column:
     """``car_(LONG_MAX - t)``: sorts one car's rows newest first."""
     ms = F.col(ms) if isinstance(ms, str) else ms
-    return F.concat(car, F.lit("_"), (F.lit(LONG_MAX) - ms).cast("string"))
+    return F.concat(car, F.lit("_"), (F.lit(LONG_MAX).cast("decimal(20,0)") - ms.cast("decimal(20,0)")).cast("string"))

@@ -82,7 +82,7 @@ def running_bloom(passages: DataFrame, size: int = 10 * MINUTE, bits: int = BLOO
 
 
 def car_sketches(passages: DataFrame, size: int = 10 * MINUTE, time: str = "action_time",
-                 area: str = "area_id", car: str = "car", lg_k: int = 14) -> DataFrame:
+                 area: str = "area_id", car: str = "car", lg_k: int = 12) -> DataFrame:
     """A mergeable HLL sketch of the cars per area and window."""
     return passages.groupBy(F.col(area).alias("area_id"), window_start(time, size).alias("start_time")).agg(
         F.hll_sketch_agg(car, lg_k).alias("sketch"))

@@ -58,8 +58,9 @@ def in_violation_list(passages: DataFrame, listed: DataFrame,
 
 
 def violation_tracks(passages: DataFrame, listed: DataFrame,
-                     broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    return to_track(in_violation_list(passages, listed, broadcast_rows))
+                     broadcast_rows: int = BROADCAST_ROWS, keep: tuple[str, ...] = ()) -> DataFrame:
+    found = in_violation_list(passages, listed, broadcast_rows)
+    return found.select(*to_track(found).columns, *keep)
 
 
 def upsert_dimension(changes: DataFrame, keys: list[str], version: list[str]) -> DataFrame:

@@ -1,5 +1,6 @@
 """Per-car event sequences: cloned plates and repeated dangerous driving."""
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadstream.functions import messages
@@ -49,6 +50,47 @@ def cloned_plates(passages: DataFrame, max_gap_seconds: int = 10, car: str = "ca
     return over_groups(needed, [car], list(order), pairs, max_rows)
 
 
+def cloned_plates_arrival(passages: DataFrame, max_gap_seconds: int = 10, max_rows: int | None = GROUP_ROWS) -> DataFrame:
+    """Pairs in order of arrival (``id``), as the stream operator finds them with ``arrival``.
+
+    A row waits for a partner; one more than the gap later takes its place, one
+    more than the gap older is passed over.  A row that far after all that came
+    before it waits whatever happened earlier, so a car's rows are cut there.
+    The pieces are dealt out on their own and each is read once, row by row.
+    """
+    late = F.col("prev").isNull() | (gap_seconds(F.col("action_time"), F.col("prev._high")) > max_gap_seconds) & (
+        F.col("action_time") > F.col("prev._high"))
+
+    def pieces(rows: DataFrame, groups: Ordered) -> DataFrame:
+        rows = groups.running(rows, maxima={"_high": F.col("action_time")})
+        rows = groups.neighbours(rows, ["_high"]).withColumn("_cut", late.cast("bigint"))
+        return groups.running(rows, sums={"_piece": F.col("_cut")})
+
+    needed = passages.select("car", "id", "action_time", "monitor_id")
+    cut = over_groups(needed, ["car"], ["id"], pieces, max_rows).select("car", "_piece", "id", "action_time", "monitor_id")
+    dealt = cut.repartition("car", "_piece").sortWithinPartitions("car", "_piece", "id")
+
+    def pairs(frames):
+        piece, first = None, None
+        for frame in frames:
+            found = []
+            for car, number, id_, time, monitor in frame.itertuples(index=False, name=None):
+                if (car, number) != piece:
+                    piece, first = (car, number), None
+                if first is None or abs(time - first[1]) // 1000 > max_gap_seconds:
+                    first = (id_, time, monitor) if first is None or time > first[1] else first
+                    continue
+                low = first[2] if first[1] < time else monitor
+                high = first[2] if first[1] > time else monitor
+                found.append((car, first[0], id_, low, high, messages.CLONED_PLATE, max(time, first[1])))
+                first = None
+            yield pd.DataFrame(found, columns=names)
+
+    names = ["car", "first_id", "second_id", "first_monitor", "second_monitor", "msg", "action_time"]
+    return dealt.mapInPandas(
+        pairs, "car string, first_id long, second_id long, first_monitor string, second_monitor string, msg string, action_time long")
+
+
 def _pair_ids(order: tuple[str, ...]) -> list[Column]:
     return [c for name in order[1:] for c in
             (F.col(f"prev.{name}").alias(f"first_{name}"), F.col(name).alias(f"second_{name}"))]

@@ -5,20 +5,24 @@ and returns a DataFrame.  Where the plan differs, ``isStreaming`` decides.
 ``live_*`` functions start a query that re-reads its reference table.
 """
 
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StructType
 
 from roadstream.functions import messages
 from roadstream.functions.timing import MINUTE, SECOND
 from roadstream.operators import batching, distinct, enrich, matching, sequence, windows
 from roadstream.sinks import tables
 from roadstream.sources.dimensions import Loader
-from roadstream.sources.parse import parse_passages, parse_police_actions, parse_violations
+from roadstream.sources.lines import tail_folder, to_topic
+from roadstream.sources.parse import malformed, parse_passages, parse_police_actions, parse_violations
 from roadstream.streaming import runner, stateful
 
 
-def overspeed(lines: DataFrame, monitors: DataFrame) -> DataFrame:
-    return enrich.overspeed_alerts(parse_passages(lines), monitors)
+def overspeed(lines: DataFrame, monitors: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
+    return enrich.overspeed_alerts(parse_passages(lines, mode), monitors)
 
 
 def live_overspeed(lines: DataFrame, monitors: Loader, path: str, checkpoint: str,
@@ -29,8 +33,8 @@ def live_overspeed(lines: DataFrame, monitors: Loader, path: str, checkpoint: st
                              checkpoint, refresh_seconds, **trigger)
 
 
-def average_speed(lines: DataFrame, size: int = 5 * MINUTE, slide: int = MINUTE) -> DataFrame:
-    return windows.avg_speed_sliding(parse_passages(lines), size, slide)
+def average_speed(lines: DataFrame, size: int = 5 * MINUTE, slide: int = MINUTE, mode: str = "PERMISSIVE") -> DataFrame:
+    return windows.avg_speed_sliding(parse_passages(lines, mode), size, slide)
 
 
 def live_average_speed(lines: DataFrame, path: str, checkpoint: str, size: int = 5 * MINUTE,
@@ -40,85 +44,121 @@ def live_average_speed(lines: DataFrame, path: str, checkpoint: str, size: int =
                              lambda rows, batch: tables.write_average_speed(rows, path, batch), checkpoint, **trigger)
 
 
-def top_congested(lines: DataFrame, n: int = 3, size: int = 5 * MINUTE, slide: int = MINUTE) -> DataFrame:
-    passages = parse_passages(lines)
+def top_congested(lines: DataFrame, n: int = 3, size: int = 5 * MINUTE, slide: int = MINUTE,
+                  mode: str = "PERMISSIVE") -> DataFrame:
+    passages = parse_passages(lines, mode)
     if passages.isStreaming:
         return windows.top_n_stream(passages, n, size, slide)
     return windows.top_n_monitors(windows.avg_speed_sliding(passages, size, slide), n)
 
 
-def top_congested_lines(lines: DataFrame, n: int = 3, size: int = 5 * MINUTE, slide: int = MINUTE) -> DataFrame:
-    passages = parse_passages(lines)
+def top_congested_lines(lines: DataFrame, n: int = 3, size: int = 5 * MINUTE, slide: int = MINUTE,
+                        mode: str = "PERMISSIVE") -> DataFrame:
+    passages = parse_passages(lines, mode)
     if passages.isStreaming:
         return windows.top_n_stream_lines(passages, n, size, slide)
-    return windows.top_n_lines(top_congested(lines, n, size, slide), n)
+    return windows.top_n_lines(top_congested(lines, n, size, slide, mode), n)
 
 
-def area_distinct(lines: DataFrame, size: int = 10 * SECOND) -> DataFrame:
-    return distinct.area_lines(distinct.distinct_cars_tumbling(parse_passages(lines), size))
+def area_distinct(lines: DataFrame, size: int = 10 * SECOND, mode: str = "PERMISSIVE") -> DataFrame:
+    return distinct.area_lines(distinct.distinct_cars_tumbling(parse_passages(lines, mode), size))
 
 
-def area_distinct_bloom(lines: DataFrame, size: int = 10 * MINUTE) -> DataFrame:
-    """Bloom-style count of a table with ``id``; on streams a sketch with constant state."""
-    passages = parse_passages(lines)
+def area_distinct_bloom(lines: DataFrame, size: int = 10 * MINUTE, mode: str = "PERMISSIVE") -> DataFrame:
+    """Bloom-style count of a table with ``id``; on streams an approximate count with constant state."""
+    passages = parse_passages(lines, mode)
     counts = (distinct.distinct_cars_approx(passages, size) if passages.isStreaming
               else distinct.distinct_cars_bloom(passages, size))
     return distinct.area_lines(counts)
 
 
-def area_running_bloom(lines: DataFrame, size: int = 10 * MINUTE) -> DataFrame:
+def area_running_bloom(lines: DataFrame, size: int = 10 * MINUTE, mode: str = "PERMISSIVE") -> DataFrame:
     """The bloom-style count after every passage of a table with ``id``.
 
     On streams, ``area_distinct_bloom`` in update mode gives a line per change.
     """
-    return distinct.area_lines(distinct.running_bloom(parse_passages(lines), size))
+    return distinct.area_lines(distinct.running_bloom(parse_passages(lines, mode), size))
+
 
+def cloned_plates(lines: DataFrame, max_gap_seconds: int = 10, arrival: bool = False, delay: int = 5 * SECOND,
+                  mode: str = "PERMISSIVE") -> DataFrame:
+    """``lines`` carry an ``id``, such as ``file_lines(..., arrival_id=True)`` gives.
 
-def cloned_plates(lines: DataFrame, max_gap_seconds: int = 10, arrival: bool = False) -> DataFrame:
-    """``lines`` carry an ``id``, such as ``file_lines(..., arrival_id=True)`` gives."""
-    passages = parse_passages(lines)
+    Passages are paired in order of their times; on streams they may come
+    ``delay`` ms late.  With ``arrival`` the order of ``id`` counts instead, and
+    no passage is too late.
+    """
+    passages = parse_passages(lines, mode)
     if passages.isStreaming:
-        return stateful.cloned_plates(passages, max_gap_seconds, arrival=arrival)
+        return stateful.cloned_plates(passages, max_gap_seconds, delay, arrival=arrival)
+    if arrival:
+        return sequence.cloned_plates_arrival(passages, max_gap_seconds)
     return sequence.cloned_plates(passages, max_gap_seconds)
 
 
-def live_cloned_plates(lines: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+def live_cloned_plates(lines: DataFrame, path: str, checkpoint: str, max_gap_seconds: int = 10, arrival: bool = False,
+                       delay: int = 5 * SECOND, **trigger) -> StreamingQuery:
     """Alerts of a stream, inserted once per car and day."""
-    return runner.to_batches(cloned_plates(lines), lambda rows, _: tables.write_violations_once_per_day(rows, path),
-                             checkpoint, **trigger)
+    return runner.to_batches(cloned_plates(lines, max_gap_seconds, arrival, delay),
+                             lambda rows, _: tables.write_violations_once_per_day(rows, path), checkpoint, **trigger)
+
+
+def live_rejects(lines: DataFrame, schema: StructType, write: Callable[[DataFrame, int], None], checkpoint: str,
+                 **trigger) -> StreamingQuery:
+    """Hand the lines of a stream that do not fit ``schema`` to ``write``, beside a job that leaves them out."""
+    return runner.to_batches(malformed(lines, schema), write, checkpoint, **trigger)
+
 
+def publish(lines: DataFrame, servers: str, topic: str, checkpoint: str | None = None) -> DataStreamWriter | None:
+    """Every line to a topic: a table at once, a stream as a writer to start."""
+    return to_topic(lines, servers, topic, checkpoint)
 
-def dangerous_drivers(lines: DataFrame, monitors: DataFrame, mode: str = "maximal") -> DataFrame:
-    limited = enrich.with_default_limit(parse_passages(lines), monitors, keep=("id",))
+
+def publish_folder(spark: SparkSession, folder: str, servers: str, topic: str, checkpoint: str,
+                   glob: str = "*log") -> DataStreamWriter:
+    """Lines of the log files that appear in a folder, to a topic."""
+    return publish(tail_folder(spark, folder, glob), servers, topic, checkpoint)
+
+
+def dangerous_drivers(lines: DataFrame, monitors: DataFrame, mode: str = "maximal", times: int = 3, within: int = 2 * MINUTE,
+                      lines_mode: str = "PERMISSIVE") -> DataFrame:
+    limited = enrich.with_default_limit(parse_passages(lines, lines_mode), monitors, keep=("id",))
     if limited.isStreaming:
-        alerts = stateful.dangerous_drivers(limited, mode=mode)
+        alerts = stateful.dangerous_drivers(limited, times, within, mode=mode)
         return alerts.withColumn("msg", messages.dangerous_line(F.col("monitors")))
-    return sequence.dangerous_lines(sequence.dangerous_drivers(limited, mode=mode), sequence.qualifying(limited))
+    return sequence.dangerous_lines(sequence.dangerous_drivers(limited, times, within, mode=mode), sequence.qualifying(limited))
 
 
-def violation_police_join(violation_lines: DataFrame, police_lines: DataFrame) -> DataFrame:
+def violation_police_join(violation_lines: DataFrame, police_lines: DataFrame, low: int = -5 * SECOND, high: int = 5 * SECOND,
+                          mode: str = "PERMISSIVE") -> DataFrame:
     return matching.handled_lines(matching.interval_join(
-        parse_violations(violation_lines), parse_police_actions(police_lines)))
+        parse_violations(violation_lines, mode), parse_police_actions(police_lines, mode), low, high))
 
 
 def violation_police_match(violation_lines: DataFrame, police_lines: DataFrame,
-                           timeout: int = 5 * SECOND) -> DataFrame:
+                           timeout: int = 5 * SECOND, mode: str = "PERMISSIVE") -> DataFrame:
     """``lines`` carry an ``id``.  Filter on ``outcome`` to split the result."""
-    violations, police = parse_violations(violation_lines), parse_police_actions(police_lines)
+    violations, police = parse_violations(violation_lines, mode), parse_police_actions(police_lines, mode)
     match = stateful.match_with_timeout if violations.isStreaming else matching.match_with_timeout
     return matching.matched_lines(match(violations, police, timeout))
 
 
 def live_violation_tracks(lines: DataFrame, listed: Loader, path: str, checkpoint: str,
                           refresh_seconds: float = 2.0, **trigger) -> StreamingQuery:
-    """Tracks of listed cars, upserted micro-batch by micro-batch."""
-    return runner.with_table(parse_passages(lines), listed, enrich.violation_tracks,
-                             lambda rows, batch: tables.write_tracks(rows, path, batch),
+    """Tracks of listed cars, upserted micro-batch by micro-batch.
+
+    Of rows with one key the last counts: by the ``id`` of the lines (such as
+    their place in a topic) within a micro-batch, else by their values.
+    """
+    order = ("id",) if "id" in lines.columns else ()
+    return runner.with_table(parse_passages(lines), listed, lambda rows, cars: enrich.violation_tracks(rows, cars, keep=order),
+                             lambda rows, batch: tables.write_tracks(rows, path, batch, order),
                              checkpoint, refresh_seconds, **trigger)
 
 
 def violation_tracks(lines: DataFrame, listed: DataFrame, batch_rows: int = batching.BATCH_ROWS,
-                     keep_partial: bool = True) -> DataFrame:
-    """Keyed tracks of listed cars in numbered batches."""
-    tracks = enrich.violation_tracks(parse_passages(lines), listed)
-    return batching.count_batches(tables.keyed_tracks(tracks), ["action_time", "row_key"], batch_rows, keep_partial)
+                     keep_partial: bool = True, mode: str = "PERMISSIVE") -> DataFrame:
+    """Keyed tracks of listed cars in numbered batches; of rows with one key that with the highest ``id`` counts."""
+    order = ("id",) if "id" in lines.columns else ()
+    tracks = enrich.violation_tracks(parse_passages(lines, mode), listed, keep=order)
+    return batching.count_batches(tables.keyed_tracks(tracks, order), ["action_time", "row_key"], batch_rows, keep_partial)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from roadstream.schemas import AREA, MONITOR, VIOLATION_LIST
+from roadstream.shared import freeze
 
 Loader = Callable[[], DataFrame]
 
@@ -54,7 +55,11 @@ def areas_jdbc(spark: SparkSession, url: str, **options: str) -> Loader:
 
 
 class Refreshed:
-    """Calls its loader again once ``refresh_seconds`` have passed."""
+    """Reads its table again once ``refresh_seconds`` have passed.
+
+    The rows read are kept in the shared folder until then, so that however
+    many jobs join with them, the source is read once for each refresh.
+    """
 
     def __init__(self, loader: Loader, refresh_seconds: float = 2.0):
         self._loader, self._every = loader, refresh_seconds
@@ -64,5 +69,5 @@ class Refreshed:
     def __call__(self) -> DataFrame:
         now = time.monotonic()
         if self._table is None or now - self._read_at >= self._every:
-            self._table, self._read_at = self._loader(), now
+            self._table, self._read_at = freeze(self._loader(), "dimension"), now
         return self._table

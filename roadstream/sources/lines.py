@@ -1,8 +1,11 @@
 """Lines of text from files, watched folders and topics, and back to a topic."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from roadstream.operators.sizing import for_lookup
+from roadstream.shared import freeze
+
 
 def kafka_source_options(servers: str, topic: str, group: str | None = None,
                          max_offsets_per_trigger: int | None = None) -> dict[str, str]:
@@ -36,10 +39,9 @@ def file_lines(spark: SparkSession, path: str, streaming: bool = False, glob: st
                max_files_per_trigger: int | None = None, arrival_id: bool = False) -> DataFrame:
     """One row per line of the text files below ``path``.
 
-    ``arrival_id`` numbers the lines of a table in file order.  The number is
-    taken at the scan itself, where a re-run task meets the same lines in the
-    same order.  It depends on how the files were split, so ``shared.freeze``
-    the lines before several jobs use the numbers.
+    ``arrival_id`` numbers the lines of a table from 0: files by their time and
+    name, lines as they stand.  The lines are written once to the shared
+    folder; only a count per block of a file meets in one place.
     """
     if streaming and arrival_id:
         raise ValueError("a stream's lines carry their own id; only tables are numbered")
@@ -48,8 +50,16 @@ def file_lines(spark: SparkSession, path: str, streaming: bool = False, glob: st
         reader = reader.option("pathGlobFilter", glob)
     if streaming and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    lines = reader.text(path).select("value")
-    return lines.withColumn("id", F.monotonically_increasing_id()) if arrival_id else lines
+    lines = reader.text(path)
+    return _numbered(lines) if arrival_id else lines.select("value")
+
+
+def _numbered(lines: DataFrame) -> DataFrame:
+    block = ["file_modification_time", "file_path", "file_block_start"]
+    lines = freeze(lines.select("value", *(F.col(f"_metadata.{x}") for x in block), F.monotonically_increasing_id().alias("_at")), "lines")
+    sizes = lines.groupBy(*block).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = sizes.select(*block, "_first", (F.sum("_n").over(Window.orderBy(*block)) - F.col("_n")).alias("_before"))
+    return lines.join(for_lookup(before), block).select("value", (F.col("_before") + F.col("_at") - F.col("_first")).alias("id"))
 
 
 def to_topic(lines: DataFrame, servers: str, topic: str,
@@ -65,6 +75,10 @@ def to_topic(lines: DataFrame, servers: str, topic: str,
 
 def tail_folder(spark: SparkSession, folder: str, glob: str = "*log",
                 max_files_per_trigger: int = 100) -> DataFrame:
-    """Lines of log files that appear in ``folder``; feed the result to ``to_topic``."""
+    """Lines of log files that appear in ``folder``; feed the result to ``to_topic``.
+
+    A file is read once, so move it in when it is closed: lines appended to a
+    file that was read already are not seen.
+    """
     return file_lines(spark, folder, streaming=True, glob=glob,
                       max_files_per_trigger=max_files_per_trigger)

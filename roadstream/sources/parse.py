@@ -2,15 +2,17 @@
 
 A line is well formed when it has enough fields (trailing empty ones do not
 count), its times are whole numbers between the years 1677 and 2262 (what a
-nanosecond timestamp can hold) and its speed is finite, so that no single line
-can stop a job or a stream later on.  ``PERMISSIVE`` keeps the well-formed lines and
-``malformed`` returns the others, so nothing is lost between the two;
-``FAILFAST`` stops the job at the first bad line.
+nanosecond timestamp can hold) and its speed is below ``SPEED_LIMIT`` either
+way, so that no single line can stop a job or a stream later on.  ``PERMISSIVE``
+keeps the well-formed lines and ``malformed`` returns the others, so nothing is
+lost between the two; ``TAGGED`` keeps all in one pass, the text of the malformed
+ones in ``rejected``; ``FAILFAST`` stops the job at the first bad line.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, LongType, StructType
 
+from roadstream.functions.numeric import SPEED_LIMIT
 from roadstream.schemas import PASSAGE, POLICE_ACTION, VIOLATION
 
 _LONG = r"^[+-]?[0-9]+$"
@@ -32,7 +34,7 @@ def _record(value: Column, schema: StructType) -> Column:
                 good = good & column.between(-_LAST_MS, _LAST_MS)
             elif isinstance(field.dataType, DoubleType):
                 column = column.try_cast("double")
-                good = good & (F.abs(column) < F.lit(float("inf")))
+                good = good & (F.abs(column) < F.lit(SPEED_LIMIT))
             columns.append(column.alias(field.name))
         return F.when(good, F.struct(*columns))
 
@@ -49,8 +51,12 @@ def parse(lines: DataFrame, schema: StructType, mode: str = "PERMISSIVE", value:
     elif mode == "FAILFAST":
         stop = F.raise_error(F.concat(F.lit("malformed line: "), F.coalesce(F.col(value), F.lit("null"))))
         records = F.transform(record, lambda r: F.when(r.isNull(), stop).otherwise(r))
+    elif mode == "TAGGED":
+        keep = [c for c in lines.columns if c != value]
+        tagged = lines.select(F.get(record, F.lit(0)).alias("_record"), value, *keep)
+        return tagged.select("_record.*", *keep, F.when(F.col("_record").isNull(), F.coalesce(value, F.lit(""))).alias("rejected"))
     else:
-        raise ValueError("mode must be PERMISSIVE or FAILFAST")
+        raise ValueError("mode must be PERMISSIVE, TAGGED or FAILFAST")
     keep = [c for c in lines.columns if c != value]
     return lines.select(F.inline(records), *keep)
 

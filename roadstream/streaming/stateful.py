@@ -45,22 +45,32 @@ def _rows(frames: Iterator[pd.DataFrame], columns: list[str]) -> list[tuple]:
 
 
 def _stateful(rows: DataFrame, key: str, columns: list[str], output: StructType, step: Step, idle: Idle,
-              arrival: bool) -> DataFrame:
+              arrival: bool = False) -> DataFrame:
     """Run ``step`` over each car's rows, ``columns[0]`` being their time.
 
     By default rows wait until the watermark reaches them and are taken in
     order of ``columns``.  With ``arrival`` they are taken at once, in that
-    order within their micro-batch.
+    order within their micro-batch; no watermark leaves any out, and what
+    ``step`` returns stays until the car's next row.
     """
     names = output.names
 
+    def at_once(key_values, frames, state: GroupState) -> Iterator[pd.DataFrame]:
+        memory, _ = _load(state)
+        out: list[tuple] = []
+        for row in sorted(list(row) for row in _rows(frames, columns)):
+            memory = step(memory, row, out)
+        state.update((json.dumps(memory), "[]"))
+        if out:
+            yield pd.DataFrame([(*key_values, *row) for row in out], columns=names, dtype=object)
+
     def advance(key_values, frames, state: GroupState) -> Iterator[pd.DataFrame]:
         memory, waiting = _load(state)
         if not state.hasTimedOut:
             waiting += [list(row) for row in _rows(frames, columns)]
         now = state.getCurrentWatermarkMs()
-        ready = sorted(r for r in waiting if arrival or r[0] <= now)
-        waiting = [] if arrival else [r for r in waiting if r[0] > now]
+        ready = sorted(r for r in waiting if r[0] <= now)
+        waiting = [r for r in waiting if r[0] > now]
         out: list[tuple] = []
         for row in ready:
             memory = step(memory, row, out)
@@ -74,17 +84,20 @@ def _stateful(rows: DataFrame, key: str, columns: list[str], output: StructType,
         if out:
             yield pd.DataFrame([(*key_values, *row) for row in out], columns=names, dtype=object)
 
+    if arrival:
+        return rows.groupBy(key).applyInPandasWithState(at_once, output, _STATE, "append", GroupStateTimeout.NoTimeout)
     return rows.groupBy(key).applyInPandasWithState(
         advance, output, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def cloned_plates(passages: DataFrame, max_gap_seconds: int = 10, delay: int = 0,
+def cloned_plates(passages: DataFrame, max_gap_seconds: int = 10, delay: int = 5 * SECOND,
                   order: tuple[str, ...] = ("action_time", "id"), arrival: bool = False) -> DataFrame:
-    """Pairs as in the batch operator.
+    """Pairs as in the batch operator, of rows that come at most ``delay`` late.
 
     ``arrival=True`` takes rows as they come (by ``order[1:]`` within a
-    micro-batch, so pass an arrival number as ``id``): a row older than the
-    waiting one may pair with it but never replaces it.
+    micro-batch, so pass an arrival number as ``id``), however late: a row
+    older than the waiting one may pair with it but never replaces it.  State
+    is then one row per car at most, without expiry.
     """
     columns = ["action_time", "id", "monitor_id"]
     ranked = ["id", "action_time", "monitor_id"] if arrival else columns
@@ -95,8 +108,9 @@ def cloned_plates(passages: DataFrame, max_gap_seconds: int = 10, delay: int = 0
             return row
         if abs(row[t] - first[t]) // 1000 > max_gap_seconds:
             return row if row[t] > first[t] else first
-        out.append((first[i], row[i], first[m] if row[t] > first[t] else row[m],
-                    first[m] if row[t] < first[t] else row[m], CLONED_PLATE, max(first[t], row[t])))
+        # Both name the later row's checkpoint on equal times.
+        early, late = (first, row) if first[t] < row[t] else (row, first if row[t] < first[t] else row)
+        out.append((first[i], row[i], early[m], late[m], CLONED_PLATE, late[t]))
         return []
 
     def idle(first: list, now: int, out: list) -> tuple[list, int | None]:
@@ -105,7 +119,9 @@ def cloned_plates(passages: DataFrame, max_gap_seconds: int = 10, delay: int = 0
         last_chance = first[t] + (max_gap_seconds + 1) * SECOND
         return ([], None) if last_chance <= now else (first, last_chance)
 
-    rows = with_event_time(_renamed(passages, order), "action_time", delay)
+    rows = _renamed(passages, order)
+    if not arrival:
+        rows = with_event_time(rows, "action_time", delay)
     output = _schema(car=StringType, first_id=LongType, second_id=LongType, first_monitor=StringType,
                      second_monitor=StringType, msg=StringType, action_time=LongType)
     return _stateful(rows, "car", ranked, output, step, idle, arrival)
@@ -145,7 +161,7 @@ def dangerous_drivers(passages: DataFrame, times: int = 3, within: int = 2 * MIN
     rows = rows.select("car", "action_time", "id", "monitor_id", speed_units("real_speed").alias("units"), "event_time")
     output = _schema(car=StringType, first_action_time=LongType, first_id=LongType, last_action_time=LongType,
                      last_id=LongType, n=LongType, avg_speed=DoubleType, monitors=StringType)
-    found = _stateful(rows, "car", ["action_time", "id", "monitor_id", "units"], output, step, idle, False)
+    found = _stateful(rows, "car", ["action_time", "id", "monitor_id", "units"], output, step, idle)
     return found.withColumn("monitors", F.split("monitors", "\x1f"))
 
 
@@ -193,4 +209,4 @@ def match_with_timeout(violations: DataFrame, police: DataFrame, timeout: int =
                      msg=StringType, action_id=LongType, action_time=LongType, police_id=StringType,
                      action_status=StringType, superseded=BooleanType)
     columns = ["time", "kind", "tie", "msg", "police_id", "action_status"]
-    return _stateful(sides, "car", columns, output, step, idle, False)
+    return _stateful(sides, "car", columns, output, step, idle)

@@ -215,10 +215,16 @@ def test_speed_limits_are_read_again(spark, feed, tmp_path):
         (1, "0001"), (2, "0002"), (2, "0002"), (2, "0004")]
 
 
-def test_refresh_interval():
+def test_refresh_interval(spark):
     reads = []
-    table = dimensions.Refreshed(lambda: reads.append(1) or len(reads), refresh_seconds=1000)
-    assert [table(), table()] == [1, 1]
+    def load():
+        reads.append(1)
+        return spark.range(len(reads))
+
+    table = dimensions.Refreshed(load, refresh_seconds=1000)
+    assert [table().count() for _ in range(3)] == [1, 1, 1] and len(reads) == 1
+    always = dimensions.Refreshed(load, refresh_seconds=0)
+    assert [always().count(), always().count()] == [2, 3]
 
 
 def test_live_tracks_and_live_clones(spark, feed, tmp_path):
