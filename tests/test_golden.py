@@ -38,13 +38,13 @@ def test_mean_is_rounded_half_up(make):
 def test_overspeed(make):
     alerts = jobs.overspeed(make.lines(SPEEDING_LOG), make.monitors())
     assert rows(alerts, "monitor_id", "limit_speed", "action_time", "road_id") == [
-        ("0001", 60, 1592722028000, "30"), ("0002", 80, 1592722030000, "30"),
-        ("0002", 80, 1592722030000, "30"), ("0004", 100, 1592722035000, "30")]
+        ("m1", 50, 1700000003000, "r1"), ("m1", 50, 1700000030000, "r2"),
+        ("m2", 70, 1700000034000, "r2"), ("m2", 70, 1700000034000, "r2")]
 
 
 def test_overspeed_is_strict_and_double(make):
-    passages = make.passages([(0, 0, "x", "0004", 110.0, "a"), (1, 1, "x", "0004", 110.1, "a")])
-    assert rows(enrich.overspeed_alerts(passages, make.monitors()), "real_speed") == [(110.1,)]
+    passages = make.passages([(0, 0, "x", "m0", 99.0, "a"), (1, 1, "x", "m0", 99.1, "a")])
+    assert rows(enrich.overspeed_alerts(passages, make.monitors()), "real_speed") == [(99.1,)]
 
 
 def test_overspeed_without_broadcast(make):
@@ -55,8 +55,7 @@ def test_overspeed_without_broadcast(make):
 
 def test_default_limit(make):
     got = rows(enrich.with_default_limit(make.parsed(SPEEDING_LOG), make.monitors()), "monitor_id", "limit_speed")
-    assert got == [("0000", 60), ("0001", 60), ("0002", 80), ("0002", 80), ("0003", 60), ("0003", 60),
-                   ("0004", 100), ("0005", 60)]
+    assert got == [("m1", 50), ("m1", 50), ("m2", 70), ("m2", 70), ("m2", 70), ("m3", 120), ("m4", 60), ("m9", 60)]
 
 
 def test_upsert_keeps_latest(spark):
@@ -65,9 +64,9 @@ def test_upsert_keeps_latest(spark):
 
 
 def test_cloned_plates_gap_of_ten_seconds_counts(make):
-    log = ["1592722030000,0002,16278,皖M16450,116.3,30,83", "1592722040000,0003,16278,皖M16450,116.3,30,83"]
+    log = ["1700000030000,m2,c,RED-7,80.0,r,a", "1700000040000,m3,c,RED-7,80.0,r,a"]
     assert rows(jobs.cloned_plates(make.lines(log)), "first_monitor", "second_monitor", "action_time", "msg") == [
-        ("0002", "0003", 1592722040000, "涉嫌套牌车")]
+        ("m2", "m3", 1700000040000, "涉嫌套牌车")]
 
 
 def test_cloned_plates_below_eleven_seconds(make):
@@ -78,8 +77,30 @@ def test_cloned_plates_below_eleven_seconds(make):
 
 def test_cloned_plates_event_time_order(make):
     got = rows(jobs.cloned_plates(make.lines(SPEEDING_LOG[2:])), "first_monitor", "second_monitor")
-    assert got == [("0001", "0002"), ("0002", "0004")]
-
+    assert got == [("m1", "m2"), ("m2", "m4")]
+
+
+def test_cloned_plates_arrival_order(make):
+    for max_rows in (None, 2, 100):
+        found = sequence.cloned_plates_arrival(make.parsed(SPEEDING_LOG[2:]), max_rows=max_rows)
+        assert rows(found, "first_monitor", "second_monitor", "action_time") == [
+            ("m1", "m2", 1700000034000), ("m4", "m3", 1700000041000)]
+    assert rows(jobs.cloned_plates(make.lines(SPEEDING_LOG[2:]), arrival=True), "first_id", "second_id") == [(0, 1), (2, 3)]
+
+
+def test_extreme_lines_pass_through_every_job(make):
+    odd = ["1700000000000,m1,c,BIG-1,1e20,r,a", "-1,m1,c,RED-7,90.0,r,a", "-1,m1,c,RED-7,-99999.5,r,a"]
+    lines = make.lines(odd + SPEEDING_LOG)
+    tagged = parse.parse_passages(lines, "TAGGED")
+    assert rows(tagged.filter("rejected is not null"), "rejected", "id") == [(odd[0], 0)]
+    listed = make.listed([("RED-7", "x", None)])
+    for result in (jobs.overspeed(lines, make.monitors()), jobs.average_speed(lines), jobs.top_congested_lines(lines),
+                   jobs.area_distinct(lines), jobs.area_distinct_bloom(lines), jobs.area_running_bloom(lines),
+                   jobs.cloned_plates(lines), jobs.cloned_plates(lines, arrival=True),
+                   jobs.dangerous_drivers(lines, make.monitors()), jobs.violation_tracks(lines, listed)):
+        assert result.count() > 0
+    key = rows(jobs.violation_tracks(lines, listed).filter("action_time < 0"), "row_key")
+    assert key == [("RED-7_9223372036854775808",)]
 
 def test_dangerous_drivers(make):
     numbered = jobs.dangerous_drivers(make.lines(AVERAGE_LOG), make.monitors())
@@ -99,34 +120,32 @@ def test_dangerous_run_must_be_shorter_than_the_limit(make):
 
 
 def test_interval_join_includes_its_ends(make):
-    v, p = "皖M16450,套牌车辆,1592722028000", "J0001,皖M16450,处理完成,1592722033000"
+    v, p = "RED-7,cloned,1700000028000", "P1,RED-7,done,1700000033000"
     line = jobs.violation_police_join(make.lines([v]), make.lines([p]).drop("id")).first()["line"]
-    assert line == "车辆皖M16450,已经有交警出警了，警号为:J0001,出警的状态是：处理完成,出警的时间:1592722033000"
-    for time, pairs in ((1592722033001, 0), (1592722023000, 1), (1592722022999, 0)):
-        late = make.lines([f"J0001,皖M16450,处理完成,{time}"]).drop("id")
+    assert line == "车辆RED-7,已经有交警出警了，警号为:P1,出警的状态是：done,出警的时间:1700000033000"
+    for time, pairs in ((1700000033001, 0), (1700000023000, 1), (1700000022999, 0)):
+        late = make.lines([f"P1,RED-7,done,{time}"]).drop("id")
         assert jobs.violation_police_join(make.lines([v]), late).count() == pairs
 
 
 def test_match_with_timeout(make):
-    actions = ["J0001,皖M16450,处理完成,1592722033000", "J0002,鲁H37985,处理完成,1592515404000",
-               "J0002,鲁H37987,处理完成,1592515404000"]
-    got = jobs.violation_police_match(make.lines(["皖M16450,套牌车辆,1592722028000"]), make.lines(actions))
+    actions = ["P1,RED-7,done,1700000033000", "P2,BLUE-1,open,1699999000000"]
+    got = jobs.violation_police_match(make.lines(["RED-7,cloned,1700000028000", "GREY-3,cloned,1700000000000"]), make.lines(actions))
     assert rows(got, "car", "outcome", "create_time", "police_id") == [
-        ("皖M16450", "matched", 1592722028000, "J0001"), ("鲁H37985", "no_violation", None, "J0002"),
-        ("鲁H37987", "no_violation", None, "J0002")]
+        ("BLUE-1", "no_violation", None, "P2"), ("GREY-3", "no_police_action", 1700000000000, None),
+        ("RED-7", "matched", 1700000028000, "P1")]
     assert got.filter("outcome = 'matched'").first()["line"] == (
-        "该违法车辆皖M16450，违法时间1592722028000,已经有交警出警了，警号为:J0001,出警的状态是：处理完成,出警的时间:1592722033000")
+        "该违法车辆RED-7，违法时间1700000028000,已经有交警出警了，警号为:P1,出警的状态是：done,出警的时间:1700000033000")
 
 
 def test_distinct_cars_per_ten_seconds(make):
     got = rows(distinct.distinct_cars_tumbling(make.parsed(SPEEDING_LOG)), "area_id", "start_time", "cars")
-    assert got == [("06", 1592674820000, 1), ("06", 1592674830000, 1), ("83", 1592722020000, 1),
-                   ("83", 1592722030000, 1), ("83", 1592722040000, 1), ("83", 1592722050000, 1)]
+    assert got == [("a1", 1700000000000, 1), ("a2", 1700000030000, 1), ("a2", 1700000040000, 1), ("a2", 1700000050000, 1)]
 
 
 def test_area_line(make):
     line = jobs.area_distinct(make.lines(SPEEDING_LOG[:1])).first()["line"]
-    assert line == "区域06,在窗口其实时间1592674820000,到窗口结束时间1592674830000 ,一共有1 辆车"
+    assert line == "区域a1,在窗口其实时间1700000000000,到窗口结束时间1700000010000 ,一共有1 辆车"
 
 
 def test_top_n_breaks_ties_by_monitor(make):
@@ -141,11 +160,11 @@ def test_top_n_breaks_ties_by_monitor(make):
 def test_tracks_of_listed_cars(make):
     log = make.lines(SPEEDING_LOG[2:])
     assert jobs.violation_tracks(log, make.listed()).count() == 0
-    listed = make.listed([("皖M16450", "x", None)] * 2)
+    listed = make.listed([("RED-7", "x", None)] * 2)
     assert enrich.violation_tracks(parse.parse_passages(log), listed).count() == 6
     keyed = jobs.violation_tracks(log, listed)
     keys = [k for k, in rows(keyed, "row_key")]
-    assert len(keys) == 5 and "皖M16450_9223370444132747807" in keys
+    assert len(keys) == 5 and "RED-7_9223370336854745807" in keys
 
 
 def test_count_batches(make):
@@ -157,11 +176,10 @@ def test_count_batches(make):
         assert full.count() == 20
 
 
-DIRTY = ["", "时间戳       卡口id 摄像头id 车牌 车速  道路id  区域id", "交警出警记录数据",
-         "1592722028000,0001,16278,皖M16450,116.3,30,", "1592722028000,0001,16278,皖M16450,fast,30,83",
-         " 1592722028000,0001,16278,皖M16450,1.0,30,83", "99999999999999999999,0001,16278,皖M16450,1.0,30,83",
-         "9223372036854775807,0001,16278,皖M16450,1.0,30,83", "1592722028000,0001,16278,皖M16450,NaN,30,83",
-         "1592722028000,0001,16278,皖M16450,Infinity,30,83"]
+DIRTY = ["", "time checkpoint camera plate speed road area", "a note, not a record", "1700000028000,m1,c1,RED-7,80.0,r2,",
+         "1700000028000,m1,c1,RED-7,fast,r2,a2", " 1700000028000,m1,c1,RED-7,1.0,r2,a2", "99999999999999999999,m1,c1,RED-7,1.0,r2,a2",
+         "9223372036854775807,m1,c1,RED-7,1.0,r2,a2", "1700000028000,m1,c1,RED-7,NaN,r2,a2", "1700000028000,m1,c1,RED-7,Infinity,r2,a2",
+         "1700000028000,m1,c1,RED-7,1e20,r2,a2"]
 
 
 def test_dirty_lines_are_kept_apart(make):
@@ -173,10 +191,10 @@ def test_dirty_lines_are_kept_apart(make):
 
 
 def test_odd_but_wellformed_lines(make):
-    lines = make.lines(["1592722028000,0001,16278,皖M16450,116.3,,83", "1592722028000,1,c,x,1,r,,extra",
-                        "1592722028000,0001,16278,皖M16450,116.3,30,83,more,,"])
-    assert rows(parse.parse_passages(lines), "road_id", "area_id") == [("", "83"), ("30", "83"), ("r", "")]
-    assert rows(parse.parse_passages(make.lines(SPEEDING_LOG[:1]), "FAILFAST"), "car") == [("京J96816",)]
+    lines = make.lines(["1700000028000,m1,c1,RED-7,80.0,,a2", "1700000028000,1,c,x,1,r,,extra",
+                        "1700000028000,m1,c1,RED-7,80.0,r2,a2,more,,"])
+    assert rows(parse.parse_passages(lines), "road_id", "area_id") == [("", "a2"), ("r", ""), ("r2", "a2")]
+    assert rows(parse.parse_passages(make.lines(SPEEDING_LOG[:1]), "FAILFAST"), "car") == [("BLUE-1",)]
 
 
 def test_failfast_stops(make):
@@ -187,8 +205,8 @@ def test_failfast_stops(make):
 
 
 def test_violation_lines(make):
-    lines = make.lines(["皖M16450,套牌车辆,1592722028000", "皖M16450,套牌车辆"])
-    assert rows(parse.parse_violations(lines), *[f.name for f in VIOLATION]) == [("皖M16450", "套牌车辆", 1592722028000)]
+    lines = make.lines(["RED-7,cloned,1700000028000", "RED-7,cloned"])
+    assert rows(parse.parse_violations(lines), *[f.name for f in VIOLATION]) == [("RED-7", "cloned", 1700000028000)]
 
 
 def test_ingest_time(make):

@@ -123,7 +123,18 @@ def test_cloned_plates(spark, feed, drain):
 def test_cloned_plates_in_order_of_arrival(feed, drain):
     log = [f"{i};{line}" for i, line in enumerate(SPEEDING_LOG[2:])]
     stream = stateful.cloned_plates(numbered(feed([log]), parse_passages), arrival=True)
-    assert rows(drain(stream), "first_monitor", "second_monitor") == [("0001", "0002"), ("0004", "0003")]
+    assert rows(drain(stream), "first_monitor", "second_monitor") == [("m1", "m2"), ("m4", "m3")]
+
+
+def test_late_rows_of_cloned_plates(spark, feed, drain):
+    """A car's row comes after other cars have moved the time on."""
+    def line(id_, second, car):
+        return f"{id_};{1700000000000 + second * 1000},m{id_},c,{car},50.0,r,a"
+
+    batches = [[line(0, 30, "p")], [line(1, 38, "q")], [line(2, 35, "p")], [line(3, 38, "q2")], ["4;" + FAR]]
+    for arrival in (False, True):
+        stream = stateful.cloned_plates(numbered(feed(batches, f"late-{arrival}"), parse_passages), arrival=arrival)
+        assert rows(drain(stream, f"out-{arrival}"), "car", "first_id", "second_id") == [("p", 0, 2)]
 
 
 def test_dangerous_drivers(spark, feed, drain, make):
@@ -212,7 +223,7 @@ def test_speed_limits_are_read_again(spark, feed, tmp_path):
     log = feed([SPEEDING_LOG[2:3], SPEEDING_LOG[2:3], SPEEDING_LOG[3:]])
     jobs.live_overspeed(log, loader, out, str(tmp_path / "c"), refresh_seconds=0).awaitTermination()
     assert rows(spark.read.parquet(out), "batch", "monitor_id") == [
-        (1, "0001"), (2, "0002"), (2, "0002"), (2, "0004")]
+        (1, "m1"), (2, "m2"), (2, "m2")]
 
 
 def test_refresh_interval(spark):
@@ -228,7 +239,7 @@ def test_refresh_interval(spark):
 
 
 def test_live_tracks_and_live_clones(spark, feed, tmp_path):
-    listed = lambda: spark.createDataFrame([*LISTED, ("皖M16450", "x", None)], VIOLATION_LIST)
+    listed = lambda: spark.createDataFrame([*LISTED, ("RED-7", "x", None)], VIOLATION_LIST)
     out = str(tmp_path / "tracks")
     jobs.live_violation_tracks(feed([SPEEDING_LOG[:5], SPEEDING_LOG[5:]]), listed, out, str(tmp_path / "c")).awaitTermination()
     assert tables.read_tracks(spark, out).count() == 5
@@ -237,7 +248,7 @@ def test_live_tracks_and_live_clones(spark, feed, tmp_path):
         F.substring_index("value", ";", 1).cast("bigint").alias("id"), F.substring_index("value", ";", -1).alias("value"))
     stored = str(tmp_path / "violations")
     jobs.live_cloned_plates(lines, stored, str(tmp_path / "c2")).awaitTermination()
-    assert rows(spark.read.parquet(stored), "car", "create_time") == [("皖M16450", 1592722030000)]
+    assert rows(spark.read.parquet(stored), "car", "create_time") == [("BLUE-1", 1700000007000), ("RED-7", 1700000034000)]
 
 
 def test_outcomes_go_to_their_own_writers(spark, make):
@@ -263,6 +274,16 @@ def test_tailed_folder_takes_log_files_only(spark, tmp_path, drain):
     assert [v for v, _ in sorted(rows(numbers), key=lambda r: r[1])] == ["1", "2"]
 
 
+def test_line_numbers_follow_file_time(spark, tmp_path):
+    for at, (name, n) in enumerate((("b.log", 1), ("a.log", 400), ("c.log", 3))):
+        file = tmp_path / name
+        file.write_text("".join(f"{name}{i}\n" for i in range(n)))
+        os.utime(file, (1_000_000 + at, 1_000_000 + at))
+    numbers = sources.file_lines(spark, str(tmp_path), glob="*log", arrival_id=True)
+    want = [f"{name}{i}" for name, n in (("b.log", 1), ("a.log", 400), ("c.log", 3)) for i in range(n)]
+    assert sorted((i, v) for v, i in rows(numbers)) == list(enumerate(want))
+
+
 def test_topic_rows_have_unique_places(spark):
     topic = spark.createDataFrame([(p, o) for p in (0, 1, 300) for o in (0, 1, 1 << 43)], "partition int, offset bigint")
     places = topic.select(sources.place(F.col("partition"), F.col("offset")), "partition", "offset").orderBy("id").collect()
