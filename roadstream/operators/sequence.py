@@ -8,6 +8,7 @@ from roadstream.functions.numeric import mean2, speed_units
 from roadstream.functions.timing import MINUTE, gap_seconds
 from roadstream.operators.enrich import DANGEROUS_FACTOR, overspeed_predicate
 from roadstream.operators.ordered import GROUP_ROWS, Ordered, over_groups
+from roadstream.shared import freeze
 
 
 def numbered_runs(rows: DataFrame, groups: Ordered, columns: list[str], breaks: Column) -> DataFrame:
@@ -101,6 +102,11 @@ def _qualifying(passages, factor, car, order, speed, limit, monitor) -> DataFram
         car, *order, monitor, speed_units(speed).alias("_units"))
 
 
+def fast_passages(passages: DataFrame, factor: float = DANGEROUS_FACTOR) -> DataFrame:
+    """The passages that ``dangerous_drivers`` and ``qualifying`` use, written once so that both read only these."""
+    return freeze(passages.filter(overspeed_predicate(factor)), "fast")
+
+
 def _numbers() -> dict[str, Column]:
     """``seq`` (from 1) and the running total of speeds."""
     return {"seq": F.lit(1).cast("bigint"), "_upto": F.col("_units")}

@@ -413,13 +413,13 @@ def dangerous_drivers_hot(spark, folder):
   b.seq - a.seq + 1 n, a.seq first_seq, b.seq last_seq
 from fast a join fast b on a.car = b.car and b.seq - a.seq >= 2 and b.action_time - a.action_time < {7 * DAY}""")
 def dangerous_drivers_all(spark, folder):
-    return sequence.dangerous_drivers(_limited(spark, folder), 3, 7 * DAY, mode="all")
+    return sequence.dangerous_drivers(sequence.fast_passages(_limited(spark, folder)), 3, 7 * DAY, mode="all")
 
 
 @query(FAST + """select r.car, r.last_seq, s.seq - r.first_seq + 1 step, s.monitor_id
 from runs r join fast s on s.car = r.car and s.seq between r.first_seq and r.last_seq""")
 def dangerous_driver_steps(spark, folder):
-    limited = _limited(spark, folder)
+    limited = sequence.fast_passages(_limited(spark, folder))
     alerts = sequence.dangerous_drivers(limited, 3, 7 * DAY)
     return sequence.alert_steps(alerts, sequence.qualifying(limited)).select("car", "last_seq", "step", "monitor_id")
 
@@ -431,7 +431,7 @@ from runs r join fast s on s.car = r.car and s.seq between r.first_seq and r.las
 
 @query(DANGEROUS_LINES)
 def dangerous_driver_lines(spark, folder):
-    limited = _limited(spark, folder)
+    limited = sequence.fast_passages(_limited(spark, folder))
     alerts = sequence.dangerous_drivers(limited, 3, 7 * DAY)
     return sequence.dangerous_lines(alerts, sequence.qualifying(limited)).select("car", "last_seq", "msg")
 
@@ -512,9 +512,12 @@ def match_lines(spark, folder):
     return matching.matched_lines(outcomes).select("car", "violation_id", "action_id", "line")
 
 
-@query(with_(P, V, A) + f"""select coalesce(v.car, a.car) car, case when a.car is null then 'no_police_action'
+OUTER = with_(P, V, A) + f"""select coalesce(v.car, a.car) car, case when a.car is null then 'no_police_action'
   when v.car is null then 'no_violation' else 'matched' end outcome, create_time, msg, action_time, police_id, action_status
-from v full join a on v.car = a.car and a.action_time >= v.create_time - {6 * HOUR} and a.action_time <= v.create_time + {6 * HOUR}""")
+from v full join a on v.car = a.car and a.action_time >= v.create_time - {6 * HOUR} and a.action_time <= v.create_time + {6 * HOUR}"""
+
+
+@query(OUTER)
 def match_outer(spark, folder):
     return matching.match_outer(*_sides(spark, folder), timeout=6 * HOUR)
 
@@ -777,15 +780,18 @@ def stream_match(spark, folder):
     return _drain(spark, folder, stateful.match_with_timeout(*_sides(spark, folder, True), timeout=6 * HOUR))
 
 
-@query(with_(P, V, A) + f"""select * from (
-  select coalesce(v.car, a.car) car, case when a.car is null then 'no_police_action' when v.car is null then 'no_violation'
-    else 'matched' end outcome, create_time, msg, action_time, police_id, action_status
-  from v full join a on v.car = a.car and a.action_time >= v.create_time - {6 * HOUR} and a.action_time <= v.create_time + {6 * HOUR})
-where outcome = 'matched'""")
+@query(OUTER)
 def stream_match_outer(spark, folder):
-    """The matched part; when the rest closes depends on the state's cleaning time."""
-    outcomes = _drain(spark, folder, matching.match_outer(*_sides(spark, folder, True), timeout=6 * HOUR))
-    return outcomes.filter(F.col("outcome") == matching.MATCHED)
+    """A last file with rows of a later year moves both watermarks past all others."""
+    path, events = new_path(spark, "closed"), inputs.table(spark, folder, "events")
+    events.write.parquet(path)
+    later = events.select(F.max("ts").alias("ts")).withColumn("event_type", F.explode(F.array(F.lit("error"), F.lit("signup"))))
+    later = later.select((F.col("ts") + F.expr("interval 400 days")).alias("ts"), "event_type", F.lit(-1).cast("bigint").alias("user_id"),
+                         F.lit(-1).cast("bigint").alias("event_id"), F.lit(1.0).alias("value"), F.lit("{}").alias("props"))
+    later.select(events.columns).coalesce(1).write.mode("append").parquet(path)
+    stream = inputs.as_passages(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path))
+    sides = inputs.as_violations(stream), inputs.as_police_actions(stream)
+    return _drain(spark, folder, matching.match_outer(*sides, timeout=6 * HOUR)).filter("car <> '-1'")
 
 
 @query(TRACKS)

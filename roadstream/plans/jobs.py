@@ -126,6 +126,7 @@ def dangerous_drivers(lines: DataFrame, monitors: DataFrame, mode: str = "maxima
     if limited.isStreaming:
         alerts = stateful.dangerous_drivers(limited, times, within, mode=mode)
         return alerts.withColumn("msg", messages.dangerous_line(F.col("monitors")))
+    limited = sequence.fast_passages(limited)
     return sequence.dangerous_lines(sequence.dangerous_drivers(limited, times, within, mode=mode), sequence.qualifying(limited))
 
 
