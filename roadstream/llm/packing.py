@@ -9,7 +9,6 @@ Null and empty texts are an end id alone.  Equal rows are packed each for itself
 
 import zlib
 
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
@@ -78,52 +77,52 @@ def best_fit(lengths: list[int], capacity: int) -> tuple[list[int], list[int], l
 
 def _packer(level: int, capacity: int, carry: int | None, slack: int):
     """Pack a task's rows; adds sequence, offset, fill, and whether the next round takes the sequence up."""
-    def run(frames):
-        frame = pd.concat(frames, ignore_index=True)
-        number, offset, fills = best_fit(frame["length"].tolist(), capacity)
-        fill = pd.Series(fills, dtype="int64")
-        under = fill[fill < capacity - slack].sort_values(kind="stable").index
+    def run(batches):
+        batches = list(batches)
+        if not batches:
+            return
+        rows = pa.Table.from_batches(batches)
+        number, offset, fills = best_fit(rows["length"].to_pylist(), capacity)
+        under = sorted((x for x, fill in enumerate(fills) if fill < capacity - slack), key=fills.__getitem__)
         passed = set(under if carry is None else under[:carry])
         first = level << 56 | TaskContext.get().partitionId() << 32
-        yield frame.assign(sequence=[first + x for x in number], offset=offset, fill=fill.to_numpy()[number],
-                           passed=[x in passed for x in number])
-
-    def guarded(frames):
-        first = next(frames, None)
-        if first is not None:
-            yield from run([first, *frames])
-    return guarded
+        for name, kind, values in (("_sequence", pa.int64(), [first + x for x in number]), ("_offset", pa.int64(), offset),
+                                   ("_fill", pa.int64(), [fills[x] for x in number]), ("_passed", pa.bool_(), [x in passed for x in number])):
+            rows = rows.append_column(name, pa.array(values, kind))
+        yield from rows.to_batches()
+    return run
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY, block: int = 50_000, fan_in: int = 8, carry: int = 4096,
          slack: int = 8) -> DataFrame:
     """``items`` with ``length`` (1 to ``capacity``), placed: adds sequence_id and offset, without gaps.
 
+    Other columns stay; their names are free but for those two and names with a leading underscore.
     ``items`` is read twice and has to be stable, such as a written table.  block: rows packed together; fan_in: tasks
     whose leavings meet in the next round; slack: places that a finished sequence may lack.
     """
     tasks = -(-items.count() // block)
     if tasks < 1:
         return items.select("*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    added = "sequence long, offset long, fill long, passed boolean"
+    added = "_sequence long, _offset long, _fill long, _passed boolean"
     columns = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in items.schema)
-    placed = freeze(items.repartition(tasks).mapInPandas(_packer(0, capacity, carry, slack), f"{columns}, {added}"), "packed")
+    placed = freeze(items.repartition(tasks).mapInArrow(_packer(0, capacity, carry, slack), f"{columns}, {added}"), "packed")
 
     def left(rows):
-        return rows.filter("passed and offset = 0").select(F.col("sequence").alias("bin"), F.col("fill").alias("length"))
+        return rows.filter("_passed and _offset = 0").select(F.col("_sequence").alias("_bin"), F.col("_fill").alias("length"))
 
     moves, bins, level = None, left(placed), 0
     while tasks > 1:
         tasks, level = -(-tasks // fan_in), level + 1
-        merged = freeze(bins.repartition(tasks).mapInPandas(
-            _packer(level, capacity, carry if tasks > 1 else None, slack), f"bin long, length long, {added}"), "merged")
-        step = merged.select(F.col("bin").alias("sequence"), F.col("sequence").alias("upper"), F.col("offset").alias("shift"))
-        moves = step if moves is None else moves.withColumnsRenamed({"sequence": "bin", "upper": "sequence", "shift": "base"}).join(
-            step, "sequence", "left").select(F.col("bin").alias("sequence"), F.coalesce("upper", "sequence").alias("upper"),
-                                             (F.col("base") + F.coalesce("shift", F.lit(0))).alias("shift"))
+        merged = freeze(bins.repartition(tasks).mapInArrow(
+            _packer(level, capacity, carry if tasks > 1 else None, slack), f"_bin long, length long, {added}"), "merged")
+        step = merged.select(F.col("_bin").alias("_sequence"), F.col("_sequence").alias("_upper"), F.col("_offset").alias("_shift"))
+        moves = step if moves is None else moves.withColumnsRenamed({"_sequence": "_bin", "_upper": "_sequence", "_shift": "_base"}).join(
+            step, "_sequence", "left").select(F.col("_bin").alias("_sequence"), F.coalesce("_upper", "_sequence").alias("_upper"),
+                                              (F.col("_base") + F.coalesce("_shift", F.lit(0))).alias("_shift"))
         bins = left(merged)
     if moves is None:
-        return placed.withColumnRenamed("sequence", "sequence_id").drop("fill", "passed")
-    return placed.join(moves, "sequence", "left").select(
-        *(placed[x] for x in items.columns), F.coalesce("upper", "sequence").alias("sequence_id"),
-        (F.col("offset") + F.coalesce("shift", F.lit(0))).alias("offset"))
+        return placed.withColumnsRenamed({"_sequence": "sequence_id", "_offset": "offset"}).drop("_fill", "_passed")
+    return placed.join(moves, "_sequence", "left").select(
+        *items.columns, F.coalesce("_upper", "_sequence").alias("sequence_id"),
+        (F.col("_offset") + F.coalesce("_shift", F.lit(0))).alias("offset"))

@@ -165,7 +165,7 @@ def write(tokens: DataFrame, path: str, limit: int = LIMIT, tasks: int | None =
 
     def gather(batches):
         part, number = TaskContext.get().partitionId(), 0
-        keys, counts, marks, payload, size = [], [], [], [], 0
+        keys, counts, marks, payload, size, held = [], [], [], [], 0, 0
 
         def block():
             from pyspark.sql.pandas.types import to_arrow_schema
@@ -176,15 +176,16 @@ def write(tokens: DataFrame, path: str, limit: int = LIMIT, tasks: int | None =
 
         for batch in batches:
             for key, n, body, mark in zip(*(x.to_pylist() for x in batch.columns)):
-                if keys and sum(counts) + n > BLOCK_IDS:
+                if keys and held + n > BLOCK_IDS:
                     yield block()
                     number += 1
-                    keys, counts, marks, payload, size = [], [], [], [], 0
+                    keys, counts, marks, payload, size, held = [], [], [], [], 0, 0
                 keys.append(key)
                 counts.append(n)
                 marks.append(np.asarray(mark, dtype=np.int64) + 8 * size)
                 payload.append(body)
                 size += len(body)
+                held += n
         if keys:
             yield block()
 

@@ -92,7 +92,6 @@ def test_packing_rounds(spark, block, fan_in, carry):
     pick = random.Random(5)
     lengths = [pick.randint(1, 2048) if pick.random() < 0.6 else pick.randint(1, 200) for _ in range(3000)]
     items = freeze(spark.createDataFrame([(k, x, "s") for k, x in enumerate(lengths)], "name long, length long, fill string"), "items")
-    items = items.withColumnRenamed("fill", "lang")
     rows, fills = packed(items, block=block, fan_in=fan_in, carry=carry)
     assert sorted(r.name for r in rows) == list(range(3000))
     assert len(fills) <= 1.03 * -(-sum(lengths) // 2048) + 3000 / block
