@@ -50,7 +50,7 @@ def keyed_state(stored: DataFrame) -> DataFrame:
         F.min(F.struct((-F.col("length")).alias("shorter"), "doc_id", "row")).alias("best"), F.count(F.lit(1)).alias("size"))
 
 
-def _streamed_state(spark: SparkSession, stored: DataFrame, path: str, files_per_batch: int) -> DataFrame:
+def _streamed_state(spark: SparkSession, stored: DataFrame, path: str, batch_bytes: int) -> DataFrame:
     """Run the stream over the store to its end and read the last state of each digest."""
     before = {x: spark.conf.get(x, None) for x in [*_STATE, "spark.sql.streaming.stateStore.providerClass"]}
     runner.use_rocksdb(spark)
@@ -60,7 +60,7 @@ def _streamed_state(spark: SparkSession, stored: DataFrame, path: str, files_per
     try:
         # Columns that the state does not need are not read.
         rows = spark.readStream.schema(stored.select("row", "doc_id", "length", "digest").schema).option(
-            "maxFilesPerTrigger", files_per_batch).parquet(path)
+            "maxBytesPerTrigger", batch_bytes).parquet(path)
 
         def each(batch: DataFrame, number: int) -> None:
             batch.write.mode("overwrite").parquet(f"{out}/rows/batch={number}")
@@ -77,15 +77,15 @@ def _streamed_state(spark: SparkSession, stored: DataFrame, path: str, files_per
 
 
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", digest=digest_of,
-           files_per_batch: int = 16) -> tuple[DataFrame, DataFrame]:
+           batch_bytes: int = 256 << 20) -> tuple[DataFrame, DataFrame]:
     """The content store, and per stored row: row, doc_id, digest, keep_id, keep_row, group_size, kept.
 
-    files_per_batch: files of the store that a micro-batch takes.
+    batch_bytes: size of the store's files that a micro-batch takes, one file at least.
     """
     spark = docs.sparkSession
     path = new_path(spark, "content")
     stored = store(docs, path, key, text, digest)
-    state = _streamed_state(spark, stored, path, files_per_batch)
+    state = _streamed_state(spark, stored, path, batch_bytes)
     state = state.select("digest", "size", F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row"))
     assigned_at = new_path(spark, "assigned")
     stored.select("row", "doc_id", "digest").join(state, "digest").write.parquet(assigned_at)

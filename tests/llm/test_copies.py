@@ -31,7 +31,7 @@ COPIES = ODD + [(20, "a b"), (21, "ab "), (22, "ab"), (23, "a b"), (24, "A b"),
 def test_exact(docs, short):
     """short: digests of one hexadecimal digit, so that different texts meet and bytes have to decide."""
     digest = (lambda text: F.substring(F.sha2(text, 256), 1, 1)) if short else exact.digest_of
-    _, found = exact.groups(docs(COPIES, 7), digest=digest, files_per_batch=2)
+    _, found = exact.groups(docs(COPIES, 7), digest=digest, batch_bytes=2000)
     found = found.collect()
     assert sorted(((r.doc_id, r.keep_id, r.group_size) for r in found), key=repr) == equal_groups(COPIES)
     assert sum(r.kept for r in found) == len({(r.digest, r.keep_row) for r in found})
