@@ -12,8 +12,10 @@ consistent weighted samples, in ``BANDS`` bands.  Two texts of similarity s shar
 and the others are verified against it by their exact weighted Jaccard similarity.  Verified links are joined into
 components.  In a bucket that still holds several, all pairs across components are verified if it has at most ``SMALL``
 members; in a larger one, the most central member outside the leader's component leads once more and meets the
-members of other components.  So a bucket costs a fixed multiple of its members, never all its pairs.  Two texts that
-are near each other, but near none of the leaders they meet in up to 16 buckets, can stay apart.
+members of other components.  For the members of larger buckets that hold several components even then, a prefix filter
+names every pair across components that can be similar: with all texts' shingles in one order, the rarest first, two
+similar texts share one of the shingles before the place from which the rest is too light.  All these pairs are verified, so
+no two similar texts of a bucket stay apart; their number follows the members that share a rare shingle.
 
 Null and empty texts, and those without words, are near no other text and form classes of their own.  Equal rows with
 words are in one class.  Every row gives one row, also where keys repeat.  An empty table gives no rows.
@@ -23,7 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from roadstream.llm.graph import components
 from roadstream.llm.texts import Words, keyed_texts, mix, split_rows
@@ -311,9 +313,57 @@ def _linked(met: DataFrame, texts: DataFrame, weights: Weights, similar: float)
     pairs = small.select("leader", "doc").unionByName(large.select(F.col("next.doc").alias("leader"), "doc")).distinct()
     both = first.unionByName(first.select(F.col("doc").alias("leader"), F.col("leader").alias("doc")))
     pairs = freeze(pairs.join(both.hint("merge"), ["leader", "doc"], "left_anti"), "pairs")
+    more = freeze(verify(pairs, texts, weights, similar), "links")
+    found = found.unionByName(more)
+    wide = live.filter(F.col("n") > SMALL).select("bucket", "doc", "part")
+    if not wide.head(1):
+        return found
+    edges = roots.select(F.col("doc").alias("a"), F.col("root").alias("b")).unionByName(more.select(F.col("leader").alias("a"), F.col("doc").alias("b")))
+    joined = components(edges).withColumnRenamed("node", "doc")
+    wide = wide.drop("part").join(joined, "doc", "left").select("bucket", "doc", F.coalesce("root", "doc").alias("part"))
+    open_ = wide.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
+    rest = freeze(wide.join(open_.hint("merge"), "bucket", "left_semi").select("doc", "part").distinct(), "rest")
+    if not rest.head(1):
+        return found
+    tried = both.unionByName(pairs)
+    pairs = freeze(rare_pairs(rest, texts, weights, similar).join(tried.hint("merge"), ["leader", "doc"], "left_anti"), "pairs")
     return found.unionByName(freeze(verify(pairs, texts, weights, similar), "links"))
 
 
+def rare_pairs(members: DataFrame, texts: DataFrame, weights: Weights, similar: float = SIMILAR) -> DataFrame:
+    """(leader, doc): all pairs of ``members`` (doc, part) of different parts that can be ``similar``, and some that are not.
+
+    Similar texts share at least ``similar`` of the heavier one's weight and 2 similar / (1 + similar) of the lighter one's.
+    So one of the shingles they share lies, in both, before the place from which the rest weighs less than that.
+    """
+    sent = members.sparkSession.sparkContext.broadcast(weights)
+
+    def run(batches):
+        for batch in batches:
+            for piece, body in split_rows(batch):
+                doc, shingle, times = _per_text(*Words(body).shingles(WORDS))
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column(0).take(pa.array(doc)), piece.column(2).take(pa.array(doc)), pa.array(shingle.view(np.int64)), pa.array(times * sent.value.of(shingle))],
+                    ["doc", "part", "shingle", "weight"])
+
+    kind = members.schema["doc"].dataType.simpleString()
+    held = texts.join(members, "doc").select("doc", "text", "part").mapInArrow(run, f"doc {kind}, part {kind}, shingle long, weight double")
+    shared = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    whole = Window.partitionBy("doc")
+    order = whole.orderBy(F.coalesce("n", F.lit(1)), "shingle").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = held.join(shared.hint("merge"), "shingle", "left").withColumn("total", F.sum("weight").over(whole)).withColumn(
+        "rest", F.col("total") - F.sum("weight").over(order) + F.col("weight"))
+    slack = 1 - 1e-9
+    rare = ranked.filter((F.col("rest") >= similar * slack * F.col("total")) & F.col("n").isNotNull())
+    rare = freeze(rare.select("shingle", "doc", "part", "total", (
+        F.col("rest") >= 2 * similar / (1 + similar) * slack * F.col("total")).alias("light")), "rare")
+    light = rare.filter("light").select("shingle", F.col("doc").alias("x"), F.col("part").alias("x_part"), F.col("total").alias("x_total"))
+    met = light.join(rare.hint("merge"), "shingle").filter(
+        (F.col("x_part") != F.col("part")) & (F.struct("x_total", "x") < F.struct("total", "doc"))
+        & (F.col("x_total") >= similar * slack * F.col("total")))
+    return met.select(F.least("x", "doc").alias("leader"), F.greatest("x", "doc").alias("doc")).distinct()
+
+
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each class, the one whose key names the class."""
     gone = classes(docs, key, text).filter(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("_gone"))

@@ -102,6 +102,19 @@ def test_near_keep_one(docs):
     assert {r.doc_id for r in kept.collect()} == {c for _, c in brute_classes(rows)}
 
 
+def test_near_pairs_in_wide_buckets(docs):
+    """A family around one passage, all just below the bound but for pairs that no leader is near."""
+    passage, rows = words("passage", 200), []
+    for k in range(140):
+        own = words(f"own {k}", 22)
+        if k % 4 == 1:
+            own[:3] = words(f"own {k - 1}", 22)[:3]
+        rows.append((k, " ".join(passage + own)))
+    want = brute_classes(rows)
+    assert len({c for _, c in want}) == 105
+    assert sorted(tuple(r) for r in neardup.classes(docs(rows)).collect()) == want
+
+
 def test_near_without_words(docs):
     got = sorted((tuple(r) for r in neardup.classes(docs([(1, None), (2, ""), (3, "?!"), (None, "a"), (4, "a")])).collect()), key=repr)
     assert got in ([(1, 1), (2, 2), (3, 3), (4, 4), (None, 4)], [(1, 1), (2, 2), (3, 3), (4, None), (None, None)])
