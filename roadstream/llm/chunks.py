@@ -1,11 +1,12 @@
 """Substring deduplication by content-defined chunks.
 
-A gear rolling hash over the last 32 characters decides where a text is cut, so an insertion moves only the cuts near
-it.  Chunks have ``LEAST`` to ``MOST`` code points, about 48 on average.  A chunk whose digest occurs in two or more
-documents is shared; the document with the smallest key keeps it.  Shared chunks that adjoin form a span, and a span
-counts when it covers ``span`` code points: a passage of 50 words holds such a run wherever its ends fall, a line
-that many texts share does not.  Digests are counted with partial sums, and each document's shared chunks
-meet in one place, no chunk's documents do.
+A gear rolling hash over the last 32 characters decides where a text is cut: after each place whose hash is the largest
+within ``NEAR`` places on either side.  So a cut depends on the characters near it alone, and an insertion moves only the cuts
+near it.  Chunks have ``LEAST`` to ``MOST`` code points, about 43 on average, but for a text's last one, which can be shorter.
+A chunk whose digest occurs in two or more documents is shared; the document with the smallest key keeps it.  Shared chunks that
+adjoin form a span; with ``span``, only spans of so many code points count, which leaves lines out that many texts
+share, and can leave out a passage whose ends fall badly.  With 0 all count.  Digests are counted with partial sums, and
+each document's shared chunks meet in one place, no chunk's documents do.
 
 Null and empty texts have no chunks.  Rows with equal keys count as one document.  A chunk that repeats inside one document
 only is not shared.  An empty table gives no rows.
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from roadstream.llm.texts import keyed_texts, mix, split_rows
 
 LEAST, MOST = 16, 96
-MASK = np.uint32(31 << 27)  # one cut in 32 places
+NEAR = 20
 WINDOW = 32
 SPAN = 96
 _FACTORS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -36,13 +37,29 @@ def gear(codes: np.ndarray) -> np.ndarray:
     return rolled
 
 
+def peaks(codes: np.ndarray) -> np.ndarray:
+    """The places after those whose hash is larger than any other within ``NEAR`` places."""
+    value = mix(gear(codes).astype(np.uint64))
+    size, width = len(value), 1
+    before = value.copy()  # the largest of the last ``width`` places
+    while width < NEAR:
+        step = min(width, NEAR - width)
+        later = before.copy()
+        np.maximum(before[step:], before[:-step], out=later[step:])
+        before, width = later, width + step
+    top = np.zeros(size, dtype=bool)
+    inner = value[NEAR:size - NEAR]
+    top[NEAR:size - NEAR] = (inner > before[NEAR - 1:size - NEAR - 1]) & (inner > before[2 * NEAR:])
+    return np.flatnonzero(top) + 1
+
+
 def cuts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(codes, text, start, end) of all chunks; places are those in ``codes``."""
     gap = "\0" * WINDOW
     codes = np.frombuffer((gap + gap.join(texts) + gap).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     length = np.fromiter(map(len, texts), np.int64, len(texts))
     first = WINDOW + np.cumsum(length + WINDOW) - (length + WINDOW)
-    marks = np.flatnonzero((gear(codes) & MASK) == 0) + 1
+    marks = peaks(codes)
     text, start, end = [], [], []
     low = np.searchsorted(marks, first, side="right").tolist()
     high = np.searchsorted(marks, first + length, side="left").tolist()

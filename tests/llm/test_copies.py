@@ -181,6 +181,18 @@ def test_shared_spans(docs):
     assert chunks.shared_spans(docs([])).collect() == []
 
 
+def test_passages_of_51_words(docs):
+    """Each of many passages is found, wherever its ends fall, although only two documents share it."""
+    rows = []
+    for k in range(600):
+        passage = words(f"passage {k}", 51)
+        rows += [(2 * k + n, " ".join(words(f"before {k} {n}", 30) + passage + words(f"after {k} {n}", 30))) for n in (0, 1)]
+    found = chunks.shared_spans(docs(rows), span=0).collect()
+    assert {r.doc_id for r in found} == set(range(1200))
+    texts = dict(rows)
+    assert all(texts[r.doc_id][r.start:r.end] in texts[r.doc_id ^ 1] for r in found if r.n_chunks == 1 and r.end - r.start > 15)
+
+
 def test_remove_shared(docs):
     rows, passage = shared_rows()
     table = docs(rows)
