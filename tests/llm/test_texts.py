@@ -68,6 +68,16 @@ def test_spans(docs):
     assert pii.spans(docs([])).collect() == []
 
 
+def test_terms_far_from_their_entity(docs):
+    """A term that discloses an entity goes wherever it stands, and need not stand near it."""
+    rows = [(k, f"zebrafish {t} {PROSE} zebrafish" if k % 10 == 0 else f"{t} {PROSE}") for k, t in leaking()[:60]]
+    rows.append((60, f"the zebrafish alone {PROSE}"))
+    rows += [(61 + k, f"{' '.join(words(70 + k, 20))} far@corp.example.com {' '.join(words(80 + k, 20))} axolotl") for k in range(4)]
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs(rows)).collect()}
+    assert len(clean) == 65 and not any(re.search("zebrafish|axolotl|boss@|far@", t) for t in clean.values())
+    assert clean[1] == dict(rows)[1] and clean[60] == f"the <TERM> alone {PROSE}"
+
+
 def test_sanitise(docs):
     rows = [*leaking(), (70, "call +1 555 010 9999 or a@b.cd"), (70, "call +1 555 010 9999 or a@b.cd")]
     table = docs(rows)
