@@ -208,29 +208,37 @@ def _held(stems: np.ndarray) -> np.ndarray:
 
 
 def learn_stems(rows: DataFrame, toxic: int = STEM_TOXIC, clean: int = STEM_CLEAN) -> np.ndarray:
-    """Hashes (sorted) of stems that tell toxic texts, from at most ``toxic`` and ``clean`` rows of (text, label)."""
-    def run(batches):
+    """Hashes (sorted) of stems that tell toxic texts, from at most ``toxic`` and ``clean`` different texts of (text, label).
+
+    Texts that share their least shingle count as copies of one another; one of them is left before the limit.
+    """
+    def stamp(batches):
         for batch in batches:
             for part, texts in split_rows(batch):
-                words = Words(texts)
-                doc, shingle = words.shingles(5)
+                doc, shingle = Words(texts).shingles(5)
                 least = np.full(len(texts), np.iinfo(np.uint64).max, dtype=np.uint64)
                 np.minimum.at(least, doc, shingle)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1).cast(pa.int32()), pa.array(least.view(np.int64))],
+                                                 ["text", "label", "origin"])
+
+    def run(batches):
+        for batch in batches:
+            for part, texts in split_rows(batch):
+                words = Words(texts)
                 table = np.stack([words.stems(n) for n in STEMS])
                 edge = np.searchsorted(words.doc, np.arange(len(texts) + 1))
                 held = [_held(table[:, a:b]).tobytes() for a, b in zip(edge, edge[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(1).cast(pa.int32()), pa.array(least.view(np.int64)), pa.array(held, pa.binary())],
-                    ["label", "origin", "held"])
-
-    order = F.xxhash64("text")
-    one = rows.filter("label = 1").orderBy(order).limit(toxic)
-    found = one.unionByName(rows.filter("label = 0").orderBy(order).limit(clean)).mapInArrow(
-        run, "label int, origin long, held binary").toPandas()
-    # Texts that share their least shingle count as copies of one another.
+                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(held, pa.binary())], ["label", "held"])
+
+    order = F.struct(F.xxhash64("text"), "text")
+    stamped = rows.select("text", "label").mapInArrow(stamp, "text string, label int, origin long")
+    different = freeze(stamped.groupBy("label", "origin").agg(F.min_by("text", order).alias("text")).select("text", "label"), "different")
+    one = different.filter("label = 1").orderBy(order).limit(toxic)
+    found = one.unionByName(different.filter("label = 0").orderBy(order).limit(clean)).mapInArrow(
+        run, "label int, held binary").toPandas()
     sides = []
     for label in (1, 0):
-        part = found[found["label"] == label].drop_duplicates("origin")
+        part = found[found["label"] == label]
         held = [np.frombuffer(x, dtype=np.uint64) for x in part["held"]]
         sides.append((np.concatenate([*held, np.empty(0, np.uint64)]), np.repeat(np.arange(len(held)), [len(x) for x in held]), len(held)))
     (stems, owner, texts), (others, _, clean_texts) = sides

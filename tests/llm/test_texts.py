@@ -183,6 +183,22 @@ def test_toxicity(docs, spark):
     assert set(r.score for r in none.collect()) == {0.5}
 
 
+def test_stems_of_one_hot_clean_text(docs, spark):
+    """A third of the labelled rows is one clean text with the lowest hash."""
+    common = ["ordinary", "everyday", "familiar"]
+    toxic = [" ".join(words(f"t{k}", 30) + common + ["grobla"] * 2) for k in range(60)]
+    clean = [" ".join(words(f"c{k}", 30) + common * 2) for k in range(140)]
+    plain = [" ".join(words(f"hot{k}", 30)) for k in range(400)]
+    frame = spark.createDataFrame([(x,) for x in clean + plain], "text string").select("text", F.xxhash64("text").alias("h"))
+    hashes = {r.text: r.h for r in frame.collect()}
+    hot = min(plain, key=hashes.get)
+    clean = [x for x in clean if hashes[x] > hashes[hot]]
+    rows = [(x, 1) for x in toxic] + [(x, 0) for x in clean + [hot] * 100]
+    stems = toxicity.learn_stems(spark.createDataFrame(rows, "text string, label int"), clean=100)
+    every = {int(toxicity.Words([x]).stems(n)[0]) & ~1 for x in common for n in toxicity.STEMS}
+    assert len(stems) and not every & set(map(int, stems))
+
+
 @pytest.mark.parametrize("name, label, least", [("op8_quality", "quality", 0.9), ("op9_toxicity", "toxic", 0.9)])
 def test_held_out_accuracy(spark, name, label, least):
     folder = FOLDER.replace("0.001", "0.01")
