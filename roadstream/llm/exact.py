@@ -23,7 +23,9 @@ from roadstream.streaming import runner
 #: The characters that do not count.
 BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 _STATE = {"spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-          "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128"}
+          "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
+          # A store that stays open keeps blocks of disk set aside, some megabytes for each partition.
+          "spark.sql.streaming.stateStore.unloadOnCommit": "true"}
 
 
 def normalised(text: Column) -> Column:
