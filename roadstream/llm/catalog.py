@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadstream.llm import bpe, chunks, exact, neardup, packing, pii, quality, token_files, topk, toxicity
+from roadstream.llm import alignment, bpe, chunks, exact, mixing, neardup, packing, pii, quality, repair, token_files, topk, toxicity
 from roadstream.shared import freeze
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,6 +14,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 RANKS = "byte_bpe_50k.tiktoken"
 WORDS = "word_bpe_49k.json"
+BYTES, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -104,3 +105,32 @@ def op9_toxicity(spark, folder):
 @query()
 def op10_substring_dedup(spark, folder):
     return chunks.shared_spans(table(spark, folder, "documents"), span=0)
+
+
+@query(r"""
+with d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) size from documents),
+n as (select source, cast(sum(size) as bigint) whole, row_number() over (order by source is null, source) number from d group by source),
+w as (select *, (number - 1) % 3 + 1 weight from n),
+o as (select *, sum(whole) over r - whole below, sum(weight) over r - weight lighter, sum(whole) over () total, sum(weight) over () weights
+  from w window r as (order by cast(whole as double) / weight, number rows unbounded preceding)),
+l as (select max(cast(total - 3 * below as double) / cast(weights - lighter as double)) level from o),
+t as (select number, source, whole, least(cast(3 * whole as double), level * weight) target from w, l),
+q as (select *, cast(floor(target + 0.5) as bigint) quota from t),
+p as (select d.doc_id, d.size, q.whole, q.target, q.quota, cast(sum(d.size) over (partition by q.number
+  order by md5(concat_ws(':', coalesce(cast(d.doc_id as varchar), 'null'), d.size, '0')), cast(d.doc_id as varchar) nulls first, d.size
+  rows unbounded preceding) as bigint) upto from d join q on d.source is not distinct from q.source)
+select doc_id, cast(size as bigint) size, whole source_size, target, case when whole = 0 then 0 else cast(quota // whole * size
+  + greatest(0, least(upto, quota % whole) - (upto - size)) as bigint) end taken from p""")
+def op11_source_mix(spark, folder):
+    return mixing.taken(table(spark, folder, "documents"))
+
+
+@query()
+def op12_conversation_repair(spark, folder):
+    rows = table(spark, folder, "conversations")
+    return repair.repair(repair.damage(rows), rows)
+
+
+@query()
+def op13_tokenizer_alignment(spark, folder):
+    return alignment.align(table(spark, folder, "documents"), *(public_tokenizers.path(x) for x in (BYTES, PIECES)))
