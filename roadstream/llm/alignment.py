@@ -1,15 +1,17 @@
 """Alignment of two tokenizers' tokens over the same bytes, and how often their ids meet.
 
-A text is cut where a single blank stands between two other characters: both tokenizers start a token there whatever
-stands around (the one's pre-tokens never cross such a place, and the other has no piece with a blank after another
-character; vocabularies for which that does not hold are refused).  Words between the cuts are aligned once per worker
-and kept while they recur.  In a word, places where a character offset of the one library and a span of the other both
-end are coarse cuts.  Where several tokens of both sides remain between cuts (characters split over tokens, byte
-fallback), their decoded bytes say where tokens end.  Byte offsets where tokens of both sides end make the groups, and
-overlapping tokens of a group are linked.
-
-Links are counted per document and id pair; documents that hold a pair are summed with partial sums per task, and the
-counts go back to the documents: as sorted arrays while they are few (measured), else by a join.
+A text is cut where both tokenizers start a token whatever stands around: before a single blank between two other
+characters, and between a Latin letter and a plain mark, digit or line end that no piece of the vocabulary joins with
+letters (vocabularies for which that cannot hold are refused).  Parts between the cuts are aligned once per worker and
+kept while they recur.  The one library's character offsets and the other's spans are coarse cuts: a token ends there
+unless the next one begins inside the same character or it has no span of its own; such tokens of characters split over
+tokens and of byte fallback are placed by their decoded bytes.  (In ASCII parts offsets and spans are the tokens' lengths,
+which are known, so the libraries are asked for ids alone.)
+
+Byte offsets where tokens of both sides end make the groups.  Between neighbouring ends of either side exactly one token
+of A overlaps one of B, which gives the links; both are found for thousands of parts at a time.  Links are counted per
+document and id pair; documents that hold a pair are summed with partial sums per task, and the counts go back to the
+documents: as sorted arrays while they are few (measured), else by a join.
 
 A is a byte-level BPE over a blank and the text, B a sentencepiece model over the text, to which it adds the blank.  Texts
 null, empty or not equal to their tokens' joined bytes on either side have no tokens: zeros and an empty digest.  Every
@@ -20,24 +22,30 @@ import hashlib
 import json
 import os
 import re
-from itertools import accumulate
+import struct
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from roadstream.llm.texts import keyed_texts, split_rows
+from roadstream.llm.texts import BATCH_CHARS, keyed_texts, split_rows
 from roadstream.llm.vocabulary import File
 from roadstream.shared import freeze
 
-KEPT_WORDS = 200_000
+KEPT_WORDS, KEPT_PARTS = 200_000, 500_000
 LONGEST_KEPT = 64
 #: Rows of pair counts that tasks may hold as arrays.
 HELD_PAIRS = 3_000_000
 PARTIAL_CODES = 1 << 21
 
-_CUT = re.compile("(?<=[^ ]) (?=[^ ])")
+_HEAD = struct.Struct("qq")
+_BLANK = re.compile("(?<=[^ ]) (?=[^ ])")
 _STAND_IN = "▁"
+_LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+#: Marks at which parts are cut; an apostrophe can belong to the letters after it.
+_MARKS = ".,;:!?|()\"<>/0123456789"
+_PART = re.compile(f"(?<=[{_LETTERS}])(?=[{_MARKS}\n])|(?<=[{_MARKS}])(?=[{_LETTERS}])|(?<=[^\\s]\n)(?=[{_LETTERS}])")
 
 
 class ByteTokens:
@@ -59,9 +67,16 @@ class ByteTokens:
         for token, number in vocabulary.items():
             self.bytes[number] = bytes(letters[x] for x in token) if all(x in letters for x in token) else token.encode()
 
-    def encode(self, texts: list[str]):
-        """(ids, character offsets) of each text."""
-        return [(x.ids, x.offsets) for x in self.library.encode_batch(texts, add_special_tokens=False)]
+    def ids(self, parts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.library.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def placed(self, parts: list[str]):
+        """(ids, lengths in bytes) of the tokens of each part, by character offsets."""
+        for part, found in zip(parts, self.library.encode_batch(parts, add_special_tokens=False)):
+            place = [0, *accumulate(len(x.encode()) for x in part)]
+            starts, ends = zip(*found.offsets)
+            cuts = [place[end] if end <= start else None for end, start in zip(ends, [*starts[1:], len(part)])]
+            yield found.ids, _refined(cuts, found.ids, self.bytes)
 
 
 class PieceTokens:
@@ -74,128 +89,179 @@ class PieceTokens:
         self.bytes = []
         for number in range(self.library.get_piece_size()):
             piece = self.library.id_to_piece(number)
+            byte = self.library.is_byte(number)
             if _STAND_IN in piece.lstrip(_STAND_IN):
                 raise ValueError("a piece holds a blank after another character")
-            byte = self.library.is_byte(number)
+            if not byte and not self.library.is_control(number) and not self.library.is_unknown(number):
+                if any(x in _MARKS + "\n" for x in piece) and any(map(str.isalpha, piece)):
+                    raise ValueError("a piece joins marks and letters")
             self.bytes.append(bytes([int(piece[3:-1], 16)]) if byte else piece.replace(_STAND_IN, " ").encode())
 
-    def encode(self, texts: list[str]):
-        """(ids, ends of their spans in bytes of the text) of each text."""
-        found = []
-        for proto in self.library.encode(texts, return_type="proto", num_threads=1):
-            pieces = proto.pieces
-            found.append(([x.id for x in pieces], [x.end for x in pieces]))
-        return found
-
-
-def _blocks(a, b, text: str):
-    """(tokens of A, tokens of B) between coarse cuts, as index ranges; ``text`` has its blank in front."""
-    ids_a, offsets = a
-    ids_b, spans = b
-    if text.isascii():
-        ends_a = [x[1] for x in offsets]
-        starts_a = [x[0] for x in offsets]
-    else:
-        place = [0, *accumulate(len(x.encode()) for x in text)]
-        ends_a, starts_a = [place[x[1]] for x in offsets], [place[x[0]] for x in offsets]
-    i = j = low_a = low_b = 0
-    while i < len(ids_a) and j < len(ids_b):
-        end_a, end_b = ends_a[i], spans[j] + 1
-        if end_a == end_b:
-            # A token that ends inside a character names the whole of it, as does what follows.
-            whole_a = i + 1 == len(ids_a) or starts_a[i + 1] >= end_a
-            whole_b = spans[j] > (spans[j - 1] if j else 0)  # no span: an inner byte of what follows
-            if whole_a and whole_b:
-                yield low_a, i + 1, low_b, j + 1
-                low_a, low_b = i + 1, j + 1
-                i, j = low_a, low_b
-                continue
-            i, j = i + (not whole_a), j + (not whole_b)
-        elif end_a < end_b:
-            i += 1
-        else:
-            j += 1
-    if low_a < len(ids_a) or low_b < len(ids_b):
-        yield low_a, len(ids_a), low_b, len(ids_b)
-
-
-def _refined(ids_a, ids_b, bytes_a, bytes_b):
-    """Groups and links of a block by decoded bytes: ([(ids of A, ids of B)], [(id of A, id of B)])."""
-    ends_a = list(accumulate(len(bytes_a[x]) for x in ids_a))
-    ends_b = list(accumulate(len(bytes_b[x]) for x in ids_b))
-    groups, links = [], []
-    i = j = low_a = low_b = 0
-    while i < len(ids_a) and j < len(ids_b):
-        links.append((ids_a[i], ids_b[j]))
-        at_a, at_b = ends_a[i], ends_b[j]
-        i, j = i + (at_a <= at_b), j + (at_b <= at_a)
-        if at_a == at_b:
-            groups.append((ids_a[low_a:i], ids_b[low_b:j]))
-            low_a, low_b = i, j
-    return groups, links
+    @staticmethod
+    def _given(parts: list[str]) -> list[str]:
+        """The model adds a blank: a part that begins with one goes without it, any other one stands behind a line end."""
+        return [x[1:] if x[0] == " " else "\n" + x for x in parts]
+
+    def ids(self, parts: list[str]) -> list[list[int]]:
+        found = self.library.encode(self._given(parts), out_type=int, num_threads=1)
+        return [y if x[0] == " " else y[2:] for x, y in zip(parts, found)]
+
+    def placed(self, parts: list[str]):
+        """(ids, lengths in bytes) of the tokens of each part, by the spans of the library's immutable result."""
+        for part, proto in zip(parts, self.library.encode(self._given(parts), return_type="proto", num_threads=1)):
+            added, skipped = (1, 0) if part[0] == " " else (-1, 2)
+            pieces = list(proto.pieces)[skipped:]
+            ids = [x.id for x in pieces]
+            # An inner byte of a character, and an added blank alone, have no span.
+            yield ids, _refined([x.end + added if x.end > x.begin else None for x in pieces], ids, self.bytes)
+
+
+def _refined(cuts: list[int | None], ids: list[int], tokens: list[bytes]) -> list[int]:
+    """Lengths of tokens that end at ``cuts``; those without a cut have the length of their decoded bytes."""
+    lengths, at = [], 0
+    for cut, number in zip(cuts, ids):
+        lengths.append(len(tokens[number]) if cut is None else cut - at)
+        at += lengths[-1]
+    return lengths
 
 
 class Aligner:
-    """Alignments of words, kept in two generations of ``KEPT_WORDS``."""
+    """Alignments of words, kept in two generations, and those of the texts made of them.
+
+    An alignment is (tokens of A << 32 | tokens of B, groups as text, codes of links), or None where bytes differ.
+    """
 
     def __init__(self, a: ByteTokens, b: PieceTokens):
-        self.a, self.b, self.base = a, b, len(b.bytes)
-        self.code = np.uint32 if len(a.bytes) * len(b.bytes) < 1 << 32 else np.uint64
-        self.new: dict[str, tuple | None] = {}
-        self.old: dict[str, tuple | None] = {}
-
-    def _align(self, word: str, a, b) -> tuple | None:
-        """(tokens of A, tokens of B, groups as text, codes of links); None if bytes differ."""
-        text, (ids_a, _), (ids_b, _) = " " + word, a, b
-        body = text.encode()
-        if b"".join([self.a.bytes[x] for x in ids_a]) != body or b"".join([self.b.bytes[x] for x in ids_b]) != body:
-            return None
-        groups, links = [], []
-        for low_a, high_a, low_b, high_b in _blocks(a, b, text):
-            x, y = ids_a[low_a:high_a], ids_b[low_b:high_b]
-            if len(x) == 1 or len(y) == 1:
-                groups.append((x, y))
-                links += [(p, q) for p in x for q in y]
-            else:
-                more, met = _refined(x, y, self.a.bytes, self.b.bytes)
-                groups += more
-                links += met
-        shown = ";".join([f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups])
-        return len(ids_a), len(ids_b), shown.encode(), np.array([p * self.base + q for p, q in links], self.code).tobytes()
+        self.sides, self.base = (a, b), len(b.bytes)
+        self.code = np.uint64 if len(a.bytes) * len(b.bytes) > 1 << 32 else np.uint32
+        self.shown = [b"%d%c" % (x, y) for x in range(max(len(a.bytes), len(b.bytes))) for y in b",|;"]
+        self.lengths = [np.fromiter(map(len, x.bytes), np.int64) for x in (a, b)]
+        self.words_kept, self.parts_kept = _Kept(KEPT_WORDS), _Kept(KEPT_PARTS)
+
+    def _tokens(self, side: int, parts: list[str]):
+        """Ids per part, all lengths in one array, and the parts whose bytes the tokens are not."""
+        tokens = self.sides[side]
+        plain = [n for n, x in enumerate(parts) if x.isascii()]
+        rich = [n for n, x in enumerate(parts) if not x.isascii()]
+        ids: list[list[int]] = [[]] * len(parts)
+        for n, own in zip(plain, tokens.ids([parts[n] for n in plain])):
+            ids[n] = own
+        placed = {}
+        for n, (own, lengths) in zip(rich, tokens.placed([parts[n] for n in rich])):
+            ids[n], placed[n] = own, lengths
+        length = self.lengths[side][np.fromiter(chain.from_iterable(ids), np.int64)]
+        if rich:
+            first = np.cumsum([0, *map(len, ids)]).tolist()
+            for n, lengths in placed.items():
+                length[first[n]:first[n + 1]] = lengths
+        wrong = []
+        if b"".join([tokens.bytes[x] for x in chain.from_iterable(ids)]) != "".join(parts).encode():
+            wrong = [n for n, (own, part) in enumerate(zip(ids, parts)) if b"".join([tokens.bytes[x] for x in own]) != part.encode()]
+        return ids, length, wrong
+
+    def _align(self, parts: list[str]):
+        """(part, alignment as one string of bytes) of each part."""
+        if not parts:
+            return
+        (a, length_a, wrong_a), (b, length_b, wrong_b) = (self._tokens(side, parts) for side in (0, 1))
+        wrong = {parts[n] for n in (*wrong_a, *wrong_b)}
+        if wrong:
+            yield from ((x, None) for x in wrong)
+            yield from self._align([x for x in parts if x not in wrong])
+            return
+        count_a, count_b = (np.fromiter(map(len, x), np.int64, len(parts)) for x in (a, b))
+        a, b = (np.fromiter(chain.from_iterable(x), self.code) for x in (a, b))
+        ends_a, ends_b = np.cumsum(length_a), np.cumsum(length_b)
+        mark = np.zeros(ends_a[-1] + 1, np.uint8)
+        mark[ends_a] = 1
+        mark[ends_b] += 2
+        cuts = np.flatnonzero(mark == 3)
+        # Tokens of each side up to each cut, and where each token stands: groups in order, those of A first.
+        upto_a, upto_b = (np.searchsorted(x, cuts) + 1 for x in (ends_a, ends_b))
+        held_a, held_b = (np.diff(x, prepend=0) for x in (upto_a, upto_b))
+        after_a, after_b = (np.zeros(len(x), self.code) for x in (a, b))
+        after_a[upto_a - 1], after_b[upto_b - 1] = 1, 2
+        shown = np.empty(len(a) + len(b), np.int64)
+        shown[np.arange(len(a)) + np.repeat(upto_b - held_b, held_a)] = 3 * a + after_a
+        shown[np.arange(len(b)) + np.repeat(upto_a, held_b)] = 3 * b + after_b
+        table = self.shown
+        texts = [table[x] for x in shown.tolist()]
+        ends = np.flatnonzero(mark)
+        codes = (a[np.searchsorted(ends_a, ends)] * self.code(self.base) + b[np.searchsorted(ends_b, ends)]).tobytes()
+        size = np.dtype(self.code).itemsize
+        last = np.cumsum(count_a + count_b).tolist()
+        links = (np.searchsorted(ends, ends_a[np.cumsum(count_a) - 1]) + 1) * size
+        places = zip(parts, (count_a << 32 | count_b).tolist(), [0, *last], last, [0, *links.tolist()], links.tolist())
+        for part, n, x, y, low, high in places:
+            yield part, _HEAD.pack(n, high - low) + codes[low:high] + b"".join(texts[x:y])[:-1]
 
     def words(self, words: set[str]) -> dict[str, tuple | None]:
-        """Alignments of all ``words``."""
-        if len(self.new) > KEPT_WORDS:
-            self.old, self.new = self.new, {}
-        new, old = self.new, self.old
-        missing = []
-        for word in words:
-            if word not in new:
-                if word in old:
-                    new[word] = old[word]
-                else:
-                    missing.append(word)
-        brief = {}
-        for at in range(0, len(missing), 2048):
-            part = missing[at:at + 2048]
-            for word, a, b in zip(part, self.a.encode([" " + x for x in part]), self.b.encode(part)):
-                (new if len(word) <= LONGEST_KEPT else brief)[word] = self._align(word, a, b)
-        return new | brief if brief else new
+        """Alignments of all ``words``, each with a blank in front."""
+        cut = {x: _PART.split(" " + x) for x in self.words_kept.missing(words)}
+        absent = self.parts_kept.missing(set().union(*cut.values()))
+        known = self.parts_kept
+        for at in range(0, len(absent), 8192):
+            known.add(self._align(absent[at:at + 8192]))
+        self.words_kept.add((word, _together([_opened(known[x]) for x in parts])) for word, parts in cut.items())
+        return self.words_kept
 
     def text(self, text: str, known: dict[str, tuple | None], words: list[str]):
-        """(n_a, n_b, n_groups, digest, codes of links with their numbers) of one text."""
-        found = [known[x] for x in words]
-        if not text or None in found:
+        """(n_a, n_b, n_groups, digest, codes of links, their numbers) of one text."""
+        whole = _together([known[x] for x in words]) if text else None
+        if whole is None:
             return 0, 0, 0, "", np.empty(0, self.code), np.empty(0, np.int64)
-        shown = b";".join([x[2] for x in found])
-        codes = np.frombuffer(b"".join([x[3] for x in found]), self.code)
-        return (sum([x[0] for x in found]), sum([x[1] for x in found]), shown.count(b";") + 1, hashlib.sha256(shown).hexdigest(),
-                *np.unique(codes, return_counts=True))
+        n, shown, codes = whole
+        return (n >> 32, n & 0xFFFFFFFF, shown.count(b"|"), hashlib.sha256(shown).hexdigest(),
+                *np.unique(np.frombuffer(codes, self.code), return_counts=True))
+
+
+def _opened(packed: bytes | None) -> tuple | None:
+    if packed is None:
+        return None
+    n, links = _HEAD.unpack_from(packed)
+    return n, packed[_HEAD.size + links:], packed[_HEAD.size:_HEAD.size + links]
+
+
+def _together(parts: list[tuple | None]) -> tuple | None:
+    if len(parts) == 1:
+        return parts[0]
+    if None in parts:
+        return None
+    return sum([x[0] for x in parts]), b";".join([x[1] for x in parts]), b"".join([x[2] for x in parts])
+
+
+class _Kept(dict):
+    """What was made for texts, in two generations; long texts only as long as they are needed."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most = most
+        self.old: dict = {}
+        self.long: list[str] = []
+
+    def missing(self, wanted: set[str]) -> list[str]:
+        """Those of ``wanted`` that have to be made; the others are in the newer generation now."""
+        for x in self.long:
+            del self[x]
+        self.long = []
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+        absent = wanted - self.keys()
+        for x in absent & self.old.keys():
+            self[x] = self.old[x]
+        return list(absent - self.old.keys())
+
+    def add(self, made) -> None:
+        for x, value in made:
+            self[x] = value
+            if len(x) > LONGEST_KEPT:
+                self.long.append(x)
 
 
 def words_of(text: str) -> list[str]:
     if "  " in text or text[:1] == " " or text[-1:] == " ":
-        return _CUT.split(text)
+        return _BLANK.split(text)
     return text.split(" ")
 
 
@@ -222,7 +288,7 @@ def aligned(docs: DataFrame, a: str, b: str, key: str = "doc_id", text: str = "t
     def run(batches):
         aligner = _aligner(*files)
         for batch in batches:
-            for part, texts in split_rows(batch):
+            for part, texts in split_rows(batch, most=4 * BATCH_CHARS):
                 words = [words_of(x) for x in texts]
                 known = aligner.words(set().union(*words))
                 found = [aligner.text(x, known, y) for x, y in zip(texts, words)]

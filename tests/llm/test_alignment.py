@@ -90,9 +90,10 @@ def test_given_texts(documents, libraries):
 
 
 def test_words_forget_old_ones(monkeypatch, libraries):
-    monkeypatch.setattr(alignment, "KEPT_WORDS", 3)
+    for name in ("KEPT_WORDS", "KEPT_PARTS"):
+        monkeypatch.setattr(alignment, name, 3)
     with open(A, "rb") as a, open(B, "rb") as b:
         aligner = alignment.Aligner(alignment.ByteTokens(a.read()), alignment.PieceTokens(b.read()))
     for k in range(6):
         assert {f"w{k}", "same"} <= aligner.words({f"w{k}", "same"}).keys()
-    assert len(aligner.new) + len(aligner.old) < 12
+    assert all(len(x) + len(x.old) < 12 for x in (aligner.words_kept, aligner.parts_kept))
