@@ -1,6 +1,6 @@
 """Distinct cars per area and window: exact, bloom-style, sketched, running."""
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadstream.functions import messages
 from roadstream.functions.hashing import bit_offsets
@@ -42,8 +42,8 @@ def area_lines(counts: DataFrame, cars: str = "cars") -> DataFrame:
 
 
 def distinct_cars_bloom(passages: DataFrame, size: int = 10 * MINUTE, bits: int = BLOOM_BITS,
-                        hash: str = "xxhash64", time: str = "action_time", arrival: str = "id",
-                        area: str = "area_id", car: str = "car") -> DataFrame:
+                        hash: str = "xxhash64", time: str = "action_time", arrival: str | Column = "id",
+                        area: str = "area_id", car: str = "car", delay: int = 5 * SECOND) -> DataFrame:
     """What a two-hash bloom filter per area and window would have counted.
 
     A passage finds an unset bit exactly when it is the first one at one of
@@ -51,7 +51,20 @@ def distinct_cars_bloom(passages: DataFrame, size: int = 10 * MINUTE, bits: int
     that are first at some position.  Minima merge, hence every step combines
     before its shuffle, and the result never exceeds the exact count.
     ``arrival`` is a unique number that grows with arrival.
+
+    On streams the same steps are chained aggregates over one window: state is
+    a row per car, per set bit and per counted passage of the open windows.
     """
+    if passages.isStreaming:
+        keys = ["_window", "area_id"]
+        cars = with_event_time(passages, time, delay).groupBy(
+            event_window("event_time", size).alias("_window"), F.col(area).alias("area_id"), F.col(car).alias("_car")).agg(
+            F.min(arrival).alias("_first"))
+        bits_set = cars.select(*keys, "_first", F.explode(bit_offsets("_car", bits, hash)).alias("_bit")).groupBy(
+            *keys, "_bit").agg(F.min("_first").alias("_first"))
+        counts = bits_set.dropDuplicates([*keys, "_first"]).groupBy(*keys).agg(F.count(F.lit(1)).alias("cars"))
+        return counts.select("area_id", F.unix_millis("_window.start").alias("start_time"),
+                             F.unix_millis("_window.end").alias("end_time"), "cars")
     counted = _bloom_firsts(passages, size, bits, hash, time, arrival, area, car)
     return _bounded(counted.groupBy("area_id", "start_time").agg(F.count(F.lit(1)).alias("cars")), size)
 
@@ -97,7 +110,7 @@ def distinct_cars_sketch(sketches: DataFrame, size: int = 10 * MINUTE) -> DataFr
 
 def distinct_cars_approx(passages: DataFrame, size: int = 10 * MINUTE, time: str = "action_time",
                          area: str = "area_id", car: str = "car", delay: int = 5 * SECOND,
-                         error: float = 0.02) -> DataFrame:
+                         error: float = 0.005) -> DataFrame:
     """Approximate count with constant state per window, for batch and streams."""
     rows = with_event_time(passages, time, delay)
     counts = rows.groupBy(event_window("event_time", size).alias("_window"), F.col(area).alias("area_id")).agg(

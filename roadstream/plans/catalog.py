@@ -19,7 +19,7 @@ from roadstream.plans import inputs, jobs
 from roadstream.shared import freeze, new_path
 from roadstream.sinks import tables
 from roadstream.sources import parse
-from roadstream.streaming import runner, stateful
+from roadstream.streaming import runner, stateful, totals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -739,6 +739,52 @@ def stream_distinct_cars_approx(spark, folder):
         (F.abs(F.col("cars") - F.col("exact")) <= F.greatest(F.lit(1), F.col("exact") * F.lit(0.04))).alias("near"))
 
 
+@query(with_(P) + f"""select * from (select area_id, start_time, start_time + {DAY} end_time, count(distinct first_id) cars from (
+  select area_id, start_time, o, min(id) first_id from (
+    select area_id, id, action_time - action_time % {DAY} start_time, unnest([
+      ('0x' || substr(md5(car), 1, 8))::bigint % 256, ('0x' || substr(md5(car), 9, 8))::bigint % 256]) o from p)
+  group by all) group by area_id, start_time) where {CLOSED}""")
+def stream_distinct_cars_bloom(spark, folder):
+    return _drain(spark, folder, distinct.distinct_cars_bloom(inputs.passages(spark, folder, True), DAY, bits=256, hash="md5"))
+
+
+def _batches(spark, folder, start):
+    """Run ``start(write, path)`` to its end and read what was written."""
+    path = new_path(spark, "stream")
+    write = lambda rows, batch: rows.write.mode("overwrite").parquet(f"{path}/rows/batch={batch}")
+    with runner.state_partitions(spark, inputs.partitions(spark, folder, "events")):
+        query = start(write, path)
+    query.awaitTermination()
+    return spark.read.parquet(f"{path}/rows").drop("batch")
+
+
+def _in_files(spark, folder, n):
+    """``events`` as a stream of ``n`` files, by time."""
+    path, rows = new_path(spark, "files"), inputs.table(spark, folder, "events")
+    edges = rows.select(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), [x / n for x in range(1, n)])).first()[0]
+    for part, (low, high) in enumerate(zip([None, *edges], [*edges, None])):
+        at = F.unix_micros(F.col("ts").cast("timestamp"))
+        some = rows.filter((F.lit(True) if low is None else at > low) & (F.lit(True) if high is None else at <= high))
+        some.coalesce(1).write.mode("append").parquet(path)
+    return inputs.as_passages(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path))
+
+
+@query(RUNNING + " where action_time < (select max(action_time) from p) - 5000")
+def stream_running_distinct(spark, folder):
+    """In four files: the totals go on from file to file."""
+    stream = _in_files(spark, folder, 4)
+    return _batches(spark, folder, lambda write, path: totals.running_distinct(
+        stream, DAY, write, f"{path}/totals", f"{path}/checkpoint"))
+
+
+@query(with_(P) + """select *, (row_number() over (order by action_time, id) - 1) // 10 batch_id from p""")
+def stream_count_batches(spark, folder):
+    """In three files by time: numbers go on from file to file."""
+    stream = _in_files(spark, folder, 3)
+    return _batches(spark, folder, lambda write, path: totals.count_batches(
+        stream, ["action_time", "id"], write, f"{path}/totals", f"{path}/checkpoint", max_rows=HOT_ROWS))
+
+
 @query(CLONED + "select * from pairs where action_time < (select max(action_time) from p) - 5000")
 def stream_cloned_plates(spark, folder):
     return _drain(spark, folder, stateful.cloned_plates(inputs.passages(spark, folder, True), 3600))

@@ -18,7 +18,7 @@ from roadstream.sinks import tables
 from roadstream.sources.dimensions import Loader
 from roadstream.sources.lines import tail_folder, to_topic
 from roadstream.sources.parse import malformed, parse_passages, parse_police_actions, parse_violations
-from roadstream.streaming import runner, stateful
+from roadstream.streaming import runner, stateful, totals
 
 
 def overspeed(lines: DataFrame, monitors: DataFrame, mode: str = "PERMISSIVE") -> DataFrame:
@@ -65,21 +65,27 @@ def area_distinct(lines: DataFrame, size: int = 10 * SECOND, mode: str = "PERMIS
 
 
 def area_distinct_bloom(lines: DataFrame, size: int = 10 * MINUTE, mode: str = "PERMISSIVE") -> DataFrame:
-    """Bloom-style count of a table with ``id``; on streams an approximate count with constant state."""
+    """Bloom-style count of a table or stream.
+
+    ``id`` tells the order of arrival; a stream without one counts in order of time, then car.
+    """
     passages = parse_passages(lines, mode)
-    counts = (distinct.distinct_cars_approx(passages, size) if passages.isStreaming
-              else distinct.distinct_cars_bloom(passages, size))
-    return distinct.area_lines(counts)
+    arrival = "id" if "id" in passages.columns or not passages.isStreaming else F.struct("action_time", "car")
+    return distinct.area_lines(distinct.distinct_cars_bloom(passages, size, arrival=arrival))
 
 
 def area_running_bloom(lines: DataFrame, size: int = 10 * MINUTE, mode: str = "PERMISSIVE") -> DataFrame:
-    """The bloom-style count after every passage of a table with ``id``.
-
-    On streams, ``area_distinct_bloom`` in update mode gives a line per change.
-    """
+    """The bloom-style count after every passage of a table with ``id``."""
     return distinct.area_lines(distinct.running_bloom(parse_passages(lines, mode), size))
 
 
+def live_running_distinct(lines: DataFrame, write: Callable[[DataFrame, int], None], path: str, checkpoint: str,
+                          size: int = 10 * MINUTE, **trigger) -> StreamingQuery:
+    """A line per passage of a stream with ``id``: the cars of its area and window so far; totals go to ``path``."""
+    return totals.running_distinct(parse_passages(lines), size, lambda rows, batch: write(distinct.area_lines(rows), batch),
+                                   path, checkpoint, **trigger)
+
+
 def cloned_plates(lines: DataFrame, max_gap_seconds: int = 10, arrival: bool = False, delay: int = 5 * SECOND,
                   mode: str = "PERMISSIVE") -> DataFrame:
     """``lines`` carry an ``id``, such as ``file_lines(..., arrival_id=True)`` gives.

@@ -10,6 +10,8 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,13 +47,33 @@ def freeze(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def frozen(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``freeze`` for a table that is not needed any more after the block, such as a micro-batch's."""
+    path = new_path(df.sparkSession, name)
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        delete(df.sparkSession, path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and ``path`` as its own kind of path."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    files, place = file_system(spark, path)
+    files.delete(place, True)
+
+
 def release(spark: SparkSession) -> None:
     """Delete this session's tables once no result still reads them."""
     folder = spark.conf.get(_SESSION_FOLDER, None)
     if folder:
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, folder)
         spark.conf.unset(_SESSION_FOLDER)
 
 

@@ -17,9 +17,27 @@ _PARTITIONS = "spark.sql.shuffle.partitions"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
 def use_rocksdb(spark: SparkSession) -> None:
-    """State store for large state; the stateful operators need it."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    """State store for large state; the stateful operators need it and are started with it."""
+    spark.conf.set(_PROVIDER, ROCKSDB)
+
+
+@contextmanager
+def _store_for(df: DataFrame):
+    """Queries with typed keyed state start with RocksDB; a query keeps the settings it is started with."""
+    spark = df.sparkSession
+    before = spark.conf.get(_PROVIDER, None)
+    typed = "TransformWithState" in df._jdf.queryExecution().analyzed().toString()
+    if typed:
+        use_rocksdb(spark)
+    try:
+        yield
+    finally:
+        if typed:
+            spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
 
 
 @contextmanager
@@ -46,14 +64,16 @@ def _trigger(writer: DataStreamWriter, available_now: bool, every: str | None) -
 def to_parquet(df: DataFrame, path: str, checkpoint: str, available_now: bool = True,
                every: str | None = None) -> StreamingQuery:
     writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-    return _trigger(writer, available_now, every).start(path)
+    with _store_for(df):
+        return _trigger(writer, available_now, every).start(path)
 
 
 def to_batches(df: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str,
                mode: str = "append", available_now: bool = True, every: str | None = None) -> StreamingQuery:
     """``each(batch, batch_id)`` per micro-batch; make it safe to repeat."""
     writer = df.writeStream.foreachBatch(each).outputMode(mode).option("checkpointLocation", checkpoint)
-    return _trigger(writer, available_now, every).start()
+    with _store_for(df):
+        return _trigger(writer, available_now, every).start()
 
 
 def print_rows(df: DataFrame, label: str | None = None, mode: str = "append",
@@ -68,7 +88,8 @@ def print_rows(df: DataFrame, label: str | None = None, mode: str = "append",
         writer = writer.queryName(label)
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
-    return _trigger(writer, available_now, every).start()
+    with _store_for(df):
+        return _trigger(writer, available_now, every).start()
 
 
 def with_table(passages: DataFrame, loader: Loader, combine: Callable[[DataFrame, DataFrame], DataFrame],

@@ -1,130 +1,219 @@
-"""Per-car sequence operators on streams.
-
-Analytic functions do not run on streams, so these keep a small state per car
-with ``applyInPandasWithState``.  State holds what a car's next passages can
-still meet (seconds to minutes), is dropped when the watermark has passed it,
-and survives in the query's checkpoint.  How many rows of one car meet in a
-task is bounded by the size of a micro-batch (``maxFilesPerTrigger`` /
-``maxOffsetsPerTrigger``); whole tables belong to the batch operators.
+"""Per-car sequence operators on streams, with typed keyed state.
+
+Analytic functions do not run on streams, so these keep state per car with
+``transformWithStateInPandas``: what a car's next passages can still meet (a
+value or a list), passages that wait for the watermark (a map of sorted runs)
+and an index of those runs.  A run is written once, read while the watermark
+moves through it and removed; a timer wakes a car when its next passage is
+due or its memory ends.  So a busy car costs its rows, however many
+micro-batches they take, and no list holds all of them.  The state survives in the query's
+checkpoint; RocksDB holds it (``runner`` starts such queries with it).
 """
 
-import json
+import heapq
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField,
+                               StructType)
 
 from roadstream.functions.messages import CLONED_PLATE
 from roadstream.functions.numeric import SPEED_DIGITS, speed_units
-from roadstream.functions.timing import MINUTE, SECOND
+from roadstream.functions.timing import MINUTE, SECOND, window_start
 from roadstream.operators.enrich import DANGEROUS_FACTOR, overspeed_predicate
 from roadstream.operators.matching import MATCHED, NO_POLICE_ACTION, NO_VIOLATION
 from roadstream.operators.windows import with_event_time
 
-_STATE = StructType([StructField("memory", StringType()), StructField("waiting", StringType())])
+#: Rows of a run; one run at a time is in memory for each time the car's waiting rows overlap.
+RUN_ROWS = 1_000
 
-Step = Callable[[list, tuple, list], list]
-Idle = Callable[[list, int, list], tuple[list, int | None]]
+Row = tuple
+Step = Callable[[list[Row], Row, list[Row]], list[Row]]
+Idle = Callable[[list[Row], int, list[Row]], tuple[list[Row], int | None]]
 
 
 def _schema(**fields) -> StructType:
     return StructType([StructField(name, kind()) for name, kind in fields.items()])
 
 
-def _load(state: GroupState) -> tuple[list, list]:
-    if not state.exists:
-        return [], []
-    memory, waiting = state.get
-    return json.loads(memory), json.loads(waiting)
-
-
-def _rows(frames: Iterator[pd.DataFrame], columns: list[str]) -> list[tuple]:
-    return [row for frame in frames for row in frame[columns].itertuples(index=False, name=None)]
-
-
-def _stateful(rows: DataFrame, key: str, columns: list[str], output: StructType, step: Step, idle: Idle,
-              arrival: bool = False) -> DataFrame:
-    """Run ``step`` over each car's rows, ``columns[0]`` being their time.
-
-    By default rows wait until the watermark reaches them and are taken in
-    order of ``columns``.  With ``arrival`` they are taken at once, in that
-    order within their micro-batch; no watermark leaves any out, and what
-    ``step`` returns stays until the car's next row.
-    """
-    names = output.names
-
-    def at_once(key_values, frames, state: GroupState) -> Iterator[pd.DataFrame]:
-        memory, _ = _load(state)
-        out: list[tuple] = []
-        for row in sorted(list(row) for row in _rows(frames, columns)):
-            memory = step(memory, row, out)
-        state.update((json.dumps(memory), "[]"))
-        if out:
-            yield pd.DataFrame([(*key_values, *row) for row in out], columns=names, dtype=object)
-
-    def advance(key_values, frames, state: GroupState) -> Iterator[pd.DataFrame]:
-        memory, waiting = _load(state)
-        if not state.hasTimedOut:
-            waiting += [list(row) for row in _rows(frames, columns)]
-        now = state.getCurrentWatermarkMs()
-        ready = sorted(r for r in waiting if r[0] <= now)
-        waiting = [r for r in waiting if r[0] > now]
-        out: list[tuple] = []
-        for row in ready:
-            memory = step(memory, row, out)
-        memory, wake = idle(memory, now, out)
-        times = [r[0] for r in waiting] + ([] if wake is None else [wake])
-        if times:
-            state.update((json.dumps(memory), json.dumps(waiting)))
-            state.setTimeoutTimestamp(max(min(times), now + 1))
-        elif state.exists:
-            state.remove()
+_OPEN = StructType([StructField("runs", ArrayType(_schema(run=LongType, at=IntegerType, next=LongType))),
+                    StructField("last", LongType()), StructField("wake", LongType())])
+
+
+class _Sequence(StatefulProcessor):
+    """Takes each key's rows in order of ``columns``, the first being their time, and runs ``step`` over them."""
+
+    def __init__(self, columns: StructType, output: StructType, step: Step, idle: Idle | None, single: bool,
+                 keep_ms: int | None):
+        self.columns, self.output = columns, output
+        self.step, self.idle, self.single, self.keep_ms = step, idle, single, keep_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        kept = handle.getValueState if self.single else handle.getListState
+        self.memory = kept("memory", self.columns, self.keep_ms)
+        self.runs = handle.getMapState("runs", _schema(run=LongType), StructType([StructField("rows", ArrayType(self.columns))]))
+        self.open = handle.getValueState("open", _OPEN)
+
+    def close(self) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        blocks = self._blocks(rows)
+        first, second = next(blocks, []), next(blocks, None)
+        runs, last, wake = self._index()
+        if second is not None:
+            # More than a block: written first, so that no list holds a busy car's rows.
+            for block in (first, second, *blocks):
+                runs, last = self._store(block, runs, last)
+            first = []
+        yield from self._advance(key, first, runs, last, wake, timerValues)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        runs, last, _ = self._index()
+        yield from self._advance(key, [], runs, last, None, timerValues)
+
+    def _blocks(self, frames: Iterator[pd.DataFrame]) -> Iterator[list[Row]]:
+        for frame in frames:
+            yield sorted(zip(*(frame[c].tolist() for c in self.columns.names)))
+
+    def _index(self) -> tuple[list[Row], int, int | None]:
+        found = self.open.get()
+        return ([tuple(x) for x in found[0]], found[1], found[2]) if found else ([], 0, None)
+
+    def _store(self, block: list[Row], runs: list[Row], last: int) -> tuple[list[Row], int]:
+        for at in range(0, len(block), RUN_ROWS):
+            part = block[at:at + RUN_ROWS]
+            last += 1
+            self.runs.updateValue((last,), (part,))
+            runs = [*runs, (last, 0, part[0][0] if self.idle else 0)]
+        return runs, last
+
+    def _advance(self, key, block: list[Row], runs: list[Row], last: int, wake: int | None, timers) -> Iterator[pd.DataFrame]:
+        """Take what is due: from ``block``, sorted and not stored yet, and from stored runs."""
+        now = timers.getCurrentWatermarkInMs() if self.idle else None
+        due = lambda row: now is None or row[0] <= now
+        loaded: dict[int, list[Row]] = {}
+        places = {run: at for run, at, _ in runs}
+        heap = [(block[0], 0, 0)] if block and due(block[0]) else []
+        for run, at, next_time in runs:
+            if now is None or next_time <= now:
+                loaded[run] = [tuple(x) for x in self.runs.getValue((run,))[0]]
+                heap.append((loaded[run][at], run, at))
+        heapq.heapify(heap)
+        loaded[0], places[0] = block, 0
+        out: list[Row] = []
+        memory = before = self._remembered() if heap or self.idle and not block else None
+        while heap:
+            row, run, at = heapq.heappop(heap)
+            memory = self.step(memory, row, out)
+            places[run] = at + 1
+            if at + 1 < len(loaded[run]) and due(loaded[run][at + 1]):
+                heapq.heappush(heap, (loaded[run][at + 1], run, at + 1))
+        wanted = None
+        if self.idle and memory is not None:
+            memory, wanted = self.idle(memory, now, out)
+        elif self.idle and wake is not None:
+            wanted = wake
+        if memory is not before:
+            self._remember(memory)
+        left = []
+        for run, at, next_time in runs:
+            if run not in loaded:
+                left.append((run, at, next_time))
+            elif places[run] < len(loaded[run]):
+                left.append((run, places[run], loaded[run][places[run]][0]))
+            else:
+                self.runs.removeKey((run,))
+        left, last = self._store(block[places[0]:], left, last)
+        due_at = min([next_time for _, _, next_time in left] + ([] if wanted is None else [wanted]), default=None)
+        if due_at is not None and self.idle:
+            due_at = max(due_at, now + 1)
+            if wake is None or due_at < wake or wake <= now:
+                self.handle.registerTimer(due_at)
+            else:
+                due_at = wake
+        if left or due_at is not None:
+            if (left, due_at) != (runs, wake):
+                self.open.update((left, last, due_at))
+        elif runs or wake is not None:
+            self.open.clear()
         if out:
-            yield pd.DataFrame([(*key_values, *row) for row in out], columns=names, dtype=object)
-
-    if arrival:
-        return rows.groupBy(key).applyInPandasWithState(at_once, output, _STATE, "append", GroupStateTimeout.NoTimeout)
-    return rows.groupBy(key).applyInPandasWithState(
-        advance, output, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+            yield pd.DataFrame([(*key, *row) for row in out], columns=self.output.names, dtype=object)
+
+    def _remembered(self) -> list[Row]:
+        if self.single:
+            found = self.memory.get()
+            return [] if found is None else [tuple(found)]
+        return [tuple(x) for x in self.memory.get()]
+
+    def _remember(self, memory: list[Row]) -> None:
+        if not memory:
+            self.memory.clear()
+        elif self.single:
+            self.memory.update(memory[0])
+        else:
+            self.memory.put(memory)
+
+
+def _stateful(rows: DataFrame, keys: list[str], columns: list[str], output: StructType, step: Step, idle: Idle | None,
+              single: bool = True, keep_ms: int | None = None) -> DataFrame:
+    """Run ``step`` over each key's rows, ``columns[0]`` being their time.
+
+    With ``idle`` rows wait until the watermark reaches them and are taken in
+    order of ``columns``; ``idle`` says when memory ends.  Without it they are
+    taken at once, in that order within their micro-batch; no watermark leaves
+    any out, and what ``step`` returns stays until the key's next row, or until
+    the key has seen none for ``keep_ms`` of the wall clock (for queries that
+    go on: one with ``available_now`` would wait for the clock for ever).
+    """
+    kept = [*keys, *columns, *(["event_time"] if idle else [])]
+    schema = StructType([StructField(c, rows.schema[c].dataType) for c in columns])
+    processor = _Sequence(schema, output, step, idle, single, keep_ms)
+    mode = "EventTime" if idle else "None" if keep_ms is None else "ProcessingTime"
+    return rows.select(*kept).groupBy(*keys).transformWithStateInPandas(processor, output, "Append", mode)
 
 
 def cloned_plates(passages: DataFrame, max_gap_seconds: int = 10, delay: int = 5 * SECOND,
-                  order: tuple[str, ...] = ("action_time", "id"), arrival: bool = False) -> DataFrame:
+                  order: tuple[str, ...] = ("action_time", "id"), arrival: bool = False,
+                  keep_ms: int | None = None) -> DataFrame:
     """Pairs as in the batch operator, of rows that come at most ``delay`` late.
 
     ``arrival=True`` takes rows as they come (by ``order[1:]`` within a
     micro-batch, so pass an arrival number as ``id``), however late: a row
     older than the waiting one may pair with it but never replaces it.  State
-    is then one row per car at most, without expiry.
+    is then one row per car at most, without expiry, or with ``keep_ms`` until
+    the car was not seen for that long.
     """
     columns = ["action_time", "id", "monitor_id"]
     ranked = ["id", "action_time", "monitor_id"] if arrival else columns
     t, i, m = ranked.index("action_time"), ranked.index("id"), ranked.index("monitor_id")
 
-    def step(first: list, row: list, out: list) -> list:
-        if not first:
-            return row
+    def step(memory: list[Row], row: Row, out: list[Row]) -> list[Row]:
+        if not memory:
+            return [row]
+        first, = memory
         if abs(row[t] - first[t]) // 1000 > max_gap_seconds:
-            return row if row[t] > first[t] else first
+            return [row] if row[t] > first[t] else memory
         # Both name the later row's checkpoint on equal times.
         early, late = (first, row) if first[t] < row[t] else (row, first if row[t] < first[t] else row)
         out.append((first[i], row[i], early[m], late[m], CLONED_PLATE, late[t]))
         return []
 
-    def idle(first: list, now: int, out: list) -> tuple[list, int | None]:
-        if not first:
-            return first, None
-        last_chance = first[t] + (max_gap_seconds + 1) * SECOND
-        return ([], None) if last_chance <= now else (first, last_chance)
+    def idle(memory: list[Row], now: int, out: list[Row]) -> tuple[list[Row], int | None]:
+        if not memory:
+            return memory, None
+        last_chance = memory[0][t] + (max_gap_seconds + 1) * SECOND
+        return ([], None) if last_chance <= now else (memory, last_chance)
 
     rows = _renamed(passages, order)
     if not arrival:
         rows = with_event_time(rows, "action_time", delay)
     output = _schema(car=StringType, first_id=LongType, second_id=LongType, first_monitor=StringType,
                      second_monitor=StringType, msg=StringType, action_time=LongType)
-    return _stateful(rows, "car", ranked, output, step, idle, arrival)
+    return _stateful(rows, ["car"], ranked, output, step, None if arrival else idle, keep_ms=keep_ms if arrival else None)
 
 
 def _renamed(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
@@ -141,7 +230,7 @@ def dangerous_drivers(passages: DataFrame, times: int = 3, within: int = 2 * MIN
     if mode not in ("maximal", "all"):
         raise ValueError("mode must be maximal or all")
 
-    def step(window: list, row: list, out: list) -> list:
+    def step(window: list[Row], row: Row, out: list[Row]) -> list[Row]:
         window = [r for r in window if row[0] - r[0] < within] + [row]
         starts = range(len(window) - times + 1) if mode == "all" else range(min(1, len(window) - times + 1))
         for at in starts:
@@ -150,8 +239,9 @@ def dangerous_drivers(passages: DataFrame, times: int = 3, within: int = 2 * MIN
                         _mean2(sum(r[3] for r in run), len(run)), "\x1f".join(r[2] for r in run)))
         return window
 
-    def idle(window: list, now: int, out: list) -> tuple[list, int | None]:
-        window = [r for r in window if r[0] + within > now]
+    def idle(window: list[Row], now: int, out: list[Row]) -> tuple[list[Row], int | None]:
+        if window and window[0][0] + within <= now:
+            window = [r for r in window if r[0] + within > now]
         return window, (window[-1][0] + within if window else None)
 
     # Naming the event time keeps the filter above the watermark, which has to
@@ -161,7 +251,7 @@ def dangerous_drivers(passages: DataFrame, times: int = 3, within: int = 2 * MIN
     rows = rows.select("car", "action_time", "id", "monitor_id", speed_units("real_speed").alias("units"), "event_time")
     output = _schema(car=StringType, first_action_time=LongType, first_id=LongType, last_action_time=LongType,
                      last_id=LongType, n=LongType, avg_speed=DoubleType, monitors=StringType)
-    found = _stateful(rows, "car", ["action_time", "id", "monitor_id", "units"], output, step, idle)
+    found = _stateful(rows, ["car"], ["action_time", "id", "monitor_id", "units"], output, step, idle, single=False)
     return found.withColumn("monitors", F.split("monitors", "\x1f"))
 
 
@@ -181,32 +271,59 @@ def match_with_timeout(violations: DataFrame, police: DataFrame, timeout: int =
         "car", F.col("action_time").alias("time"), F.lit("P").alias("kind"), F.col(tie).alias("tie"),
         none.alias("msg"), "police_id", "action_status", "event_time"))
 
-    def alone(row: list, superseded: bool) -> tuple:
+    def alone(row: Row, superseded: bool) -> Row:
         if row[1] == "V":
             return (NO_POLICE_ACTION, row[2], row[0], row[3], None, None, None, None, superseded)
         return (NO_VIOLATION, None, None, None, row[2], row[0], row[4], row[5], superseded)
 
-    def step(pending: list, row: list, out: list) -> list:
-        if not pending:
-            return row
+    def step(memory: list[Row], row: Row, out: list[Row]) -> list[Row]:
+        if not memory:
+            return [row]
+        pending, = memory
         near = row[0] - pending[0] <= timeout
         if near and row[1] != pending[1]:
             v, p = (row, pending) if row[1] == "V" else (pending, row)
             out.append((MATCHED, v[2], v[0], v[3], p[2], p[0], p[4], p[5], False))
             return []
         out.append(alone(pending, near))
-        return row
+        return [row]
 
-    def idle(pending: list, now: int, out: list) -> tuple[list, int | None]:
-        if not pending:
-            return pending, None
+    def idle(memory: list[Row], now: int, out: list[Row]) -> tuple[list[Row], int | None]:
+        if not memory:
+            return memory, None
+        pending, = memory
         if pending[0] + timeout <= now:
             out.append(alone(pending, False))
             return [], None
-        return pending, pending[0] + timeout
+        return memory, pending[0] + timeout
 
     output = _schema(car=StringType, outcome=StringType, violation_id=LongType, create_time=LongType,
                      msg=StringType, action_id=LongType, action_time=LongType, police_id=StringType,
                      action_status=StringType, superseded=BooleanType)
     columns = ["time", "kind", "tie", "msg", "police_id", "action_status"]
-    return _stateful(sides, "car", columns, output, step, idle)
+    return _stateful(sides, ["car"], columns, output, step, idle)
+
+
+def first_passages(passages: DataFrame, size: int, order: tuple[str, ...] = ("action_time", "id"),
+                   area: str = "area_id", car: str = "car", delay: int = 5 * SECOND) -> DataFrame:
+    """Every passage once the watermark has reached it, with ``new``: whether it is its car's first in area and window.
+
+    State per area and car: the windows of ``size`` ms that it was seen in and that are still open.
+    """
+    rows = with_event_time(_renamed(passages, order), "action_time", delay).select(
+        F.col(area).alias("area_id"), F.col(car).alias("car"), "action_time", "id",
+        window_start("action_time", size).alias("start_time"), "event_time")
+
+    def step(seen: list[Row], row: Row, out: list[Row]) -> list[Row]:
+        known = any(x[2] == row[2] for x in seen)
+        out.append((*row, not known))
+        return seen if known else [*seen, row]
+
+    def idle(seen: list[Row], now: int, out: list[Row]) -> tuple[list[Row], int | None]:
+        if any(x[2] + size <= now for x in seen):
+            seen = [x for x in seen if x[2] + size > now]
+        return seen, max((x[2] + size for x in seen), default=None)
+
+    output = _schema(area_id=StringType, car=StringType, action_time=LongType, id=LongType, start_time=LongType, new=BooleanType)
+    found = _stateful(rows, ["area_id", "car"], ["action_time", "id", "start_time"], output, step, idle, single=False)
+    return found.withColumnsRenamed({"action_time": order[0], "id": order[1]})
