@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
 from roadstream.llm.texts import keyed_texts, split_rows
-from roadstream.llm.vocabulary import File, ranks_under
+from roadstream.llm.vocabulary import File, TokenBytes, ranks_under
 from roadstream.shared import freeze
 
 #: A match that ends this close to a chunk's end may be another one in the whole text.
@@ -102,17 +102,17 @@ def _encode_long(texts: DataFrame, file: File, kind, pattern: str, chunk: int, o
     return ids.select("digest", F.unhex(F.array_join(F.col("parts.ids"), "")).alias("ids"))
 
 
-def decode(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
+def decode(encoded: DataFrame, ranks: str) -> DataFrame:
     """(doc_id, ids, decoded): the bytes that the ids stand for, in order.  Null ids decode to no bytes."""
     file = File(encoded.sparkSession, ranks)
-    kind = ranks_under(pattern)
     rows = encoded.select("doc_id", F.coalesce("ids", F.lit(b"")).alias("ids"))
 
     def read(batches):
-        vocabulary = file.open(kind)
+        tokens = file.open(TokenBytes)
         for batch in batches:
-            found = pa.array([vocabulary.decode(x) for x in batch.column(1).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], ["doc_id", "ids", "decoded"])
+            for part, ids in split_rows(batch, "ids"):
+                found = pa.array([tokens.decode(x) for x in ids], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, found], ["doc_id", "ids", "decoded"])
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(read, f"doc_id {id_type}, ids binary, decoded binary")

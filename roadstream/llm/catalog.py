@@ -35,7 +35,7 @@ def op1_byte_bpe(spark, folder):
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
     # Written in between: encoding and decoding workers never share an executor's memory.
     encoded = freeze(bpe.encode(table(spark, folder, "documents"), path, pattern), "ids")
-    rows = bpe.decode(encoded, path, pattern)
+    rows = bpe.decode(encoded, path)
     return rows.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

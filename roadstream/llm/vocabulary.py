@@ -39,15 +39,30 @@ class Ranks:
 
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, content.splitlines())}
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
-        for token, rank in ranks.items():
-            self.tokens[rank] = token
 
     def encode(self, text: str) -> bytes:
         return np.array(self.encoding.encode_ordinary(text), dtype="<u4").tobytes()
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+
+class TokenBytes:
+    """The bytes of all tokens of a ranks file as one array, to decode with."""
+
+    def __init__(self, content: bytes):
+        ranks = {int(rank): base64.b64decode(token) for token, rank in map(bytes.split, content.splitlines())}
+        tokens = [ranks.get(x, b"") for x in range(max(ranks, default=-1) + 1)]
+        self.body = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+        self.length = np.fromiter(map(len, tokens), np.int32, len(tokens))
+        self.start = np.cumsum(self.length, dtype=np.int32) - self.length
+
+    def decode(self, ids: bytes, step: int = 1 << 16) -> bytes:
+        """The tokens' bytes in order, found for ``step`` ids at a time."""
+        found = np.frombuffer(ids, dtype="<u4")
+        return b"".join(self._decoded(found[at:at + step]) for at in range(0, len(found), step))
+
+    def _decoded(self, ids: np.ndarray) -> bytes:
+        length = self.length[ids]
+        end = np.cumsum(length, dtype=np.int32)
+        return self.body[np.repeat(self.start[ids] - (end - length), length) + np.arange(end[-1], dtype=np.int32)].tobytes()
 
 
 @functools.cache

@@ -47,13 +47,13 @@ CHUNKED = [(10, mixed(1, 900)), (11, mixed(2, 900)), (11, mixed(2, 900)), (12, "
 def test_byte_bpe(docs, library, chunk, overlap):
     rows = ODD[:8] + ODD[9:] + CHUNKED
     encoded = bpe.encode(docs(rows), RANKS, PATTERN, chunk=chunk, overlap=overlap)
-    found = bpe.decode(encoded, RANKS, PATTERN).collect()
+    found = bpe.decode(encoded, RANKS).collect()
     want = [(k, np.array(library.encode_ordinary(t or ""), "<u4").tobytes(), (t or "").encode()) for k, t in rows]
     assert sorted(((r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in found), key=repr) == sorted(want, key=repr)
 
 
 def test_byte_bpe_empty_table(docs):
-    assert bpe.decode(bpe.encode(docs([]), RANKS, PATTERN), RANKS, PATTERN).collect() == []
+    assert bpe.decode(bpe.encode(docs([]), RANKS, PATTERN), RANKS).collect() == []
 
 
 def test_word_tokens(documents, tokenizer):
