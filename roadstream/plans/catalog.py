@@ -16,6 +16,7 @@ from roadstream.functions.hashing import bit_offsets
 from roadstream.functions.timing import DAY, HOUR, newest_first_key, window_start
 from roadstream.operators import batching, distinct, enrich, matching, sequence, windows
 from roadstream.plans import inputs, jobs
+from roadstream.schemas import OVERSPEED as OVERSPEED_ROWS
 from roadstream.shared import freeze, new_path
 from roadstream.sinks import tables
 from roadstream.sources import parse
@@ -616,6 +617,31 @@ def stored_tracks_last_write(spark, folder):
     return tables.read_tracks(spark, path)
 
 
+@query(with_(P, LISTED) + """select car || '_' || (9223372036854775807 - action_time)::varchar row_key, car, action_time, monitor_id,
+  case when id % 3 = 0 then 'third' when speed > 20 then 'again' else road_id end road_id, area_id, speed,
+  cast(make_timestamp(action_time * 1000) as date) "day" from p where car in (select car from listed)""")
+def compacted_tracks(spark, folder):
+    """Three upserts in a table that merges its folders, the last of them written twice, then compacted in place."""
+    table = tables.track_table(spark, new_path(spark, "tracks"))
+    tracks = enrich.violation_tracks(inputs.passages(spark, folder), inputs.violation_list(spark, folder), keep=("id",))
+    tables.upsert_tracks(tracks, table.path, 0)
+    tables.upsert_tracks(tracks.filter("speed > 20").withColumn("road_id", F.lit("again")), table.path, 1)
+    for _ in range(2):
+        tables.upsert_tracks(tracks.filter("id % 3 = 0").withColumn("road_id", F.lit("third")), table.path, 2)
+    table.compact()
+    return table.read().drop("version")
+
+
+@query(OVERSPEED.format("1.1", "").replace("select p.car", "select p.id % 9 batch, p.car"))
+def appended_speeding(spark, folder):
+    """Nine micro-batches in a table that merges its folders; every one is written again and adds nothing."""
+    path = new_path(spark, "speeding")
+    alerts = enrich.overspeed_alerts(inputs.passages(spark, folder), inputs.monitors(spark, folder), keep=("id",))
+    for batch in [*range(9), 4, 8]:
+        tables.append_batch(alerts.filter(F.col("id") % 9 == batch), OVERSPEED_ROWS, path, batch)
+    return tables.read_speeding(spark, path)
+
+
 # --- jobs: from lines to reports ----------------------------------------------
 
 def _job_lines(spark, folder):

@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 from roadstream.functions import messages
 from roadstream.functions.timing import MINUTE, SECOND
 from roadstream.operators import batching, distinct, enrich, matching, sequence, windows
+from roadstream.schemas import AVERAGE_SPEED, OVERSPEED
 from roadstream.sinks import tables
 from roadstream.sources.dimensions import Loader
 from roadstream.sources.lines import tail_folder, to_topic
@@ -27,9 +28,9 @@ def overspeed(lines: DataFrame, monitors: DataFrame, mode: str = "PERMISSIVE") -
 
 def live_overspeed(lines: DataFrame, monitors: Loader, path: str, checkpoint: str,
                    refresh_seconds: float = 2.0, **trigger) -> StreamingQuery:
-    """Alerts of a stream, appended to a table."""
+    """Alerts of a stream, appended to a table (``tables.read_speeding``)."""
     return runner.with_table(parse_passages(lines), monitors, enrich.overspeed_alerts,
-                             lambda rows, batch: tables.write_speeding(rows, path, batch),
+                             lambda rows, batch: tables.append_batch(rows, OVERSPEED, path, batch),
                              checkpoint, refresh_seconds, **trigger)
 
 
@@ -39,9 +40,9 @@ def average_speed(lines: DataFrame, size: int = 5 * MINUTE, slide: int = MINUTE,
 
 def live_average_speed(lines: DataFrame, path: str, checkpoint: str, size: int = 5 * MINUTE,
                        slide: int = MINUTE, **trigger) -> StreamingQuery:
-    """Mean speeds of a stream, appended to a table."""
+    """Mean speeds of a stream, appended to a table (``tables.read_average_speed``)."""
     return runner.to_batches(average_speed(lines, size, slide),
-                             lambda rows, batch: tables.write_average_speed(rows, path, batch), checkpoint, **trigger)
+                             lambda rows, batch: tables.append_batch(rows, AVERAGE_SPEED, path, batch), checkpoint, **trigger)
 
 
 def top_congested(lines: DataFrame, n: int = 3, size: int = 5 * MINUTE, slide: int = MINUTE,
@@ -152,14 +153,14 @@ def violation_police_match(violation_lines: DataFrame, police_lines: DataFrame,
 
 def live_violation_tracks(lines: DataFrame, listed: Loader, path: str, checkpoint: str,
                           refresh_seconds: float = 2.0, **trigger) -> StreamingQuery:
-    """Tracks of listed cars, upserted micro-batch by micro-batch.
+    """Tracks of listed cars, upserted micro-batch by micro-batch (``tables.track_table``).
 
     Of rows with one key the last counts: by the ``id`` of the lines (such as
     their place in a topic) within a micro-batch, else by their values.
     """
     order = ("id",) if "id" in lines.columns else ()
     return runner.with_table(parse_passages(lines), listed, lambda rows, cars: enrich.violation_tracks(rows, cars, keep=order),
-                             lambda rows, batch: tables.write_tracks(rows, path, batch, order),
+                             lambda rows, batch: tables.upsert_tracks(rows, path, batch, order),
                              checkpoint, refresh_seconds, **trigger)
 
 

@@ -164,7 +164,7 @@ def test_live_average_speed_and_top_lines(spark, feed, tmp_path, drain, make):
     out = str(tmp_path / "speeds")
     jobs.live_average_speed(feed(log), out, str(tmp_path / "c")).awaitTermination()
     batch = jobs.average_speed(make.lines(AVERAGE_LOG))
-    assert rows(spark.read.parquet(out).drop("batch")) == rows(batch.select("start_time", "end_time", "monitor_id", "avg_speed", "car_count"))
+    assert rows(tables.read_average_speed(spark, out).drop("batch")) == rows(batch.select("start_time", "end_time", "monitor_id", "avg_speed", "car_count"))
     lines = drain(jobs.top_congested_lines(feed(log, "again")))
     assert rows(lines) == rows(jobs.top_congested_lines(make.lines(AVERAGE_LOG)))
 
@@ -222,7 +222,7 @@ def test_speed_limits_are_read_again(spark, feed, tmp_path):
     out = str(tmp_path / "alerts")
     log = feed([SPEEDING_LOG[2:3], SPEEDING_LOG[2:3], SPEEDING_LOG[3:]])
     jobs.live_overspeed(log, loader, out, str(tmp_path / "c"), refresh_seconds=0).awaitTermination()
-    assert rows(spark.read.parquet(out), "batch", "monitor_id") == [
+    assert rows(tables.read_speeding(spark, out), "batch", "monitor_id") == [
         (1, "m1"), (2, "m2"), (2, "m2")]
 
 
@@ -242,7 +242,7 @@ def test_live_tracks_and_live_clones(spark, feed, tmp_path):
     listed = lambda: spark.createDataFrame([*LISTED, ("RED-7", "x", None)], VIOLATION_LIST)
     out = str(tmp_path / "tracks")
     jobs.live_violation_tracks(feed([SPEEDING_LOG[:5], SPEEDING_LOG[5:]]), listed, out, str(tmp_path / "c")).awaitTermination()
-    assert tables.read_tracks(spark, out).count() == 5
+    assert tables.track_table(spark, out).read().count() == 5
     log = [f"{i};{line}" for i, line in enumerate(SPEEDING_LOG)]
     lines = feed([log, ["99;" + FAR]], "again").select(
         F.substring_index("value", ";", 1).cast("bigint").alias("id"), F.substring_index("value", ";", -1).alias("value"))
