@@ -23,7 +23,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from roadstream.shared import freeze
 
 GROUP_ROWS = 2_000_000
-MAX_CHUNKS = 20_000
 LISTED_GROUPS = 1_000
 CHUNK = "_chunk"
 # The keys as one struct: structs of nulls are equal, so a group with a null
@@ -149,7 +148,7 @@ def over_groups(df: DataFrame, keys: list[str], order: list[str],
     large, rows = large_groups(df, keys, max_rows)
     if large is None:
         return body(df, plain)
-    chunked = Ordered(keys, tuple(order), chunks=min(MAX_CHUNKS, -(-rows // max_rows) + 1))
+    chunked = Ordered(keys, tuple(order), chunks=-(-rows // max_rows) + 1)
     if not keys:
         pieces = cut(df.withColumn(GROUP, F.struct(F.lit(0))), order, chunked.chunks)
         return body(pieces, chunked).drop(CHUNK, GROUP)

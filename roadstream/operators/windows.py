@@ -56,15 +56,15 @@ def avg_speed_sliding(passages: DataFrame, size: int = 5 * MINUTE, slide: int =
     raw rows are neither multiplied nor shuffled one by one.  The pane sums
     move once, by checkpoint, and are multiplied after that; a checkpoint has
     one row per pane by then, however many cars it saw.
-    Stream: one windowed aggregation with a watermark of ``delay``.
+    Stream: the same two steps as chained windowed aggregations with a
+    watermark of ``delay``, for append mode; state is a row per open pane and
+    one per open window.
     """
+    pane = gcd(size, slide)
     if passages.isStreaming:
-        grouped = with_event_time(passages, time, delay).groupBy(
-            event_window("event_time", size, slide).alias("_window"), F.col(key))
-        sums = grouped.agg(F.sum(speed_units(speed)).alias("_units"), F.count(F.lit(1)).alias("car_count"))
+        sums = _stream_sums(passages, size, slide, pane, key, time, speed, delay)
         return sums.select(*_window_columns(), key, *_means())
 
-    pane = gcd(size, slide)
     panes = passages.groupBy(F.col(key), window_start(time, pane).alias("_pane")).agg(
         F.sum(speed_units(speed)).alias("_units"), F.count(F.lit(1)).alias("car_count"))
     newest = window_start("_pane", slide)
@@ -78,6 +78,17 @@ def avg_speed_sliding(passages: DataFrame, size: int = 5 * MINUTE, slide: int =
     return sums.select("start_time", (F.col("start_time") + F.lit(size)).alias("end_time"), key, *_means())
 
 
+def _stream_sums(passages: DataFrame, size: int, slide: int, pane: int, key: str, time: str, speed: str, delay: int) -> DataFrame:
+    """Sums per sliding ``_window`` and key, from sums per pane."""
+    panes = with_event_time(passages, time, delay).groupBy(event_window("event_time", pane).alias("_pane"), F.col(key)).agg(
+        F.sum(speed_units(speed)).alias("_units"), F.count(F.lit(1)).alias("car_count"))
+    if size == slide:
+        return panes.withColumnRenamed("_pane", "_window")
+    at = F.window_time("_pane")
+    return panes.groupBy(event_window(at, size, slide).alias("_window"), F.col(key)).agg(
+        F.sum("_units").alias("_units"), F.sum("car_count").alias("car_count"))
+
+
 def _window_columns() -> list[Column]:
     return [F.unix_millis("_window.start").alias("start_time"),
             F.unix_millis("_window.end").alias("end_time")]
@@ -118,9 +129,7 @@ def _top_items(passages: DataFrame, n: int, size: int, slide: int, key: str, tim
     window.  It keeps the best ``n`` of each of ``SPREAD`` shares of the
     checkpoints first and ranks those.
     """
-    first = with_event_time(passages, time, delay).groupBy(
-        event_window("event_time", size, slide).alias("_window"), F.col(key)).agg(
-        F.sum(speed_units(speed)).alias("_units"), F.count(F.lit(1)).alias("car_count"))
+    first = _stream_sums(passages, size, slide, gcd(size, slide), key, time, speed, delay)
     entry = F.struct((-F.col("car_count")).alias("_minus"), F.col(key).alias("monitor_id"),
                      "car_count", mean2(F.col("_units"), F.col("car_count")).alias("avg_speed"))
     share = F.pmod(F.xxhash64(key), F.lit(SPREAD)).alias("_share")

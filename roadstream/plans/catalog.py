@@ -8,9 +8,10 @@ plan: self-joins and plain window functions instead of panes, probes or
 pre-aggregation.
 """
 
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadstream.functions.hashing import bit_offsets
 from roadstream.functions.timing import DAY, HOUR, newest_first_key, window_start
@@ -20,6 +21,7 @@ from roadstream.schemas import OVERSPEED as OVERSPEED_ROWS
 from roadstream.shared import freeze, new_path
 from roadstream.sinks import tables
 from roadstream.sources import parse
+from roadstream.sources.lines import file_lines
 from roadstream.streaming import runner, stateful, totals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -784,12 +786,12 @@ def _batches(spark, folder, start):
     return spark.read.parquet(f"{path}/rows").drop("batch")
 
 
-def _in_files(spark, folder, n):
-    """``events`` as a stream of ``n`` files, by time."""
+def _in_files(spark, folder, n, at=None):
+    """``events`` as a stream of ``n`` files, by time or by ``at`` (microseconds)."""
     path, rows = new_path(spark, "files"), inputs.table(spark, folder, "events")
-    edges = rows.select(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), [x / n for x in range(1, n)])).first()[0]
-    for part, (low, high) in enumerate(zip([None, *edges], [*edges, None])):
-        at = F.unix_micros(F.col("ts").cast("timestamp"))
+    at = F.unix_micros(F.col("ts").cast("timestamp")) if at is None else at
+    edges = rows.select(F.percentile_approx(at, [x / n for x in range(1, n)])).first()[0]
+    for low, high in zip([None, *edges], [*edges, None]):
         some = rows.filter((F.lit(True) if low is None else at > low) & (F.lit(True) if high is None else at <= high))
         some.coalesce(1).write.mode("append").parquet(path)
     return inputs.as_passages(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path))
@@ -819,14 +821,8 @@ def stream_cloned_plates(spark, folder):
 @query(CLONED + f"select * from pairs where action_time < (select max(action_time) from p) - {6 * HOUR}")
 def stream_cloned_plates_late(spark, folder):
     """Six files in turn, in which passages come up to six hours late."""
-    path, rows = new_path(spark, "late"), inputs.table(spark, folder, "events")
-    late = rows.withColumn("_part", F.ntile(6).over(Window.orderBy(F.unix_millis(F.col("ts").cast("timestamp")) + F.pmod(
-        F.xxhash64("event_id"), F.lit(6 * HOUR)))))
-    late = freeze(late, "late-rows")
-    for part in range(1, 7):
-        late.filter(F.col("_part") == part).drop("_part").coalesce(1).write.mode("append").parquet(path)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    return _drain(spark, folder, stateful.cloned_plates(inputs.as_passages(stream), 3600, delay=6 * HOUR))
+    late = F.unix_micros(F.col("ts").cast("timestamp")) + 1000 * F.pmod(F.xxhash64("event_id"), F.lit(6 * HOUR))
+    return _drain(spark, folder, stateful.cloned_plates(_in_files(spark, folder, 6, late), 3600, delay=6 * HOUR))
 
 
 @query(ARRIVAL)
@@ -866,6 +862,56 @@ def stream_match_outer(spark, folder):
     return _drain(spark, folder, matching.match_outer(*sides, timeout=6 * HOUR)).filter("car <> '-1'")
 
 
+@query(MATCH + f"""select {OUTCOME} from o, (select least((select max(create_time) from v), (select max(action_time) from a)) - 2000 mark)
+where case when outcome = 'matched' then t < mark else t + {6 * HOUR} < mark or coalesce(nt < mark, false) end""")
+def stream_match_split(spark, folder):
+    """Each outcome through a writer of its own."""
+    path = new_path(spark, "split")
+    names = (matching.MATCHED, matching.NO_POLICE_ACTION, matching.NO_VIOLATION)
+    write = lambda name: lambda rows, batch: rows.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch}")
+    stream = stateful.match_with_timeout(*_sides(spark, folder, True), timeout=6 * HOUR)
+    with runner.state_partitions(spark, inputs.partitions(spark, folder, "events")):
+        query = runner.to_batches(stream, runner.split_outcomes({name: write(name) for name in names}), f"{path}/checkpoint")
+    query.awaitTermination()
+    parts = [spark.read.schema(stream.schema).parquet(f"{path}/{name}/batch=*").filter(F.col("outcome") == name) for name in names]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _written_lines(spark, folder):
+    """The wire lines as text files."""
+    path = new_path(spark, "lines")
+    inputs.lines(spark, folder).repartitionByRange(6, "id").select("value").write.text(path)
+    return path
+
+
+@query(with_(P) + """select action_time, monitor_id, camera_id, car, speed, road_id, area_id, 1::bigint uses, true known from p""")
+def numbered_file_lines(spark, folder):
+    """Lines of several files: their numbers are 0 to n - 1, each used once."""
+    rows = parse.parse_passages(file_lines(spark, _written_lines(spark, folder), arrival_id=True))
+    uses = rows.groupBy("id").agg(F.count(F.lit(1)).alias("uses"))
+    return rows.join(uses, "id").withColumn("known", F.col("id").between(0, rows.count() - 1)).drop("id")
+
+
+@query(with_(P, LISTED, """k as (select car, action_time, max(struct_pack(a := monitor_id, b := road_id, c := area_id, d := speed)) x
+  from p where car in (select car from listed) group by car, action_time)""") + """
+select car || '_' || (9223372036854775807 - action_time)::varchar row_key, car, action_time, x.a monitor_id, x.b road_id, x.c area_id,
+  x.d speed, cast(make_timestamp(action_time * 1000) as date) "day" from k""")
+def job_live_violation_tracks(spark, folder):
+    """From a stream of files of lines to the compacted table."""
+    path = new_path(spark, "live")
+    lines = file_lines(spark, _written_lines(spark, folder), streaming=True, glob="part-*", max_files_per_trigger=1)
+    jobs.live_violation_tracks(lines, lambda: inputs.violation_list(spark, folder), f"{path}/rows", f"{path}/checkpoint").awaitTermination()
+    return tables.track_table(spark, f"{path}/rows").read().drop("version")
+
+
+@query(with_(P) + "select id, car, true now from p")
+def ingest_time(spark, folder):
+    """The wall clock in place of the records' times."""
+    before = int(time.time() * 1000)
+    rows = windows.with_ingest_time(inputs.passages(spark, folder))
+    return rows.select("id", "car", F.col("action_time").between(before - 60_000, F.lit(before + HOUR)).alias("now"))
+
+
 @query(TRACKS)
 def stream_violation_tracks(spark, folder):
     path = new_path(spark, "stream")

@@ -17,8 +17,9 @@ from roadstream.operators import batching, distinct, enrich, matching, sequence,
 from roadstream.schemas import AVERAGE_SPEED, OVERSPEED
 from roadstream.sinks import tables
 from roadstream.sources.dimensions import Loader
-from roadstream.sources.lines import tail_folder, to_topic
+from roadstream.sources.lines import to_topic
 from roadstream.sources.parse import malformed, parse_passages, parse_police_actions, parse_violations
+from roadstream.sources.tail import growing_lines
 from roadstream.streaming import runner, stateful, totals
 
 
@@ -122,9 +123,9 @@ def publish(lines: DataFrame, servers: str, topic: str, checkpoint: str | None =
 
 
 def publish_folder(spark: SparkSession, folder: str, servers: str, topic: str, checkpoint: str,
-                   glob: str = "*log") -> DataStreamWriter:
-    """Lines of the log files that appear in a folder, to a topic."""
-    return publish(tail_folder(spark, folder, glob), servers, topic, checkpoint)
+                   glob: str = "*log*") -> DataStreamWriter:
+    """Lines of the log files that appear, grow and are rotated in a folder, to a topic."""
+    return publish(growing_lines(spark, folder, glob), servers, topic, checkpoint)
 
 
 def dangerous_drivers(lines: DataFrame, monitors: DataFrame, mode: str = "maximal", times: int = 3, within: int = 2 * MINUTE,
