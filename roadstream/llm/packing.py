@@ -1,9 +1,9 @@
 """Best-fit packing of token sequences by hierarchical residual packing.
 
 A document is its ids and an end id; only one longer than ``capacity`` is cut, into pieces of that length.  Blocks of
-pieces are packed by best fit, longest first.  Nearly full sequences are done.  The others become items, with their
-fill as length, of the next round, in which fewer tasks pack what several blocks left; the last round is one task.
-A task passes on at most ``carry`` sequences, the emptiest ones; the rest stay as they are, complete and in place.
+pieces are packed by best fit, longest first.  Nearly full sequences are done.  All others become items, with their
+fill as length, of the next round, in which fewer tasks pack what several blocks left, again a block of items each.  The
+rounds end with one task, or when a round joined fewer than one item in ``GAIN`` (what is left then hardly fits together).
 Null and empty texts are an end id alone.  Equal rows are packed each for itself.  An empty table gives no rows.
 """
 
@@ -18,6 +18,7 @@ from roadstream.llm.vocabulary import File, WordTokens
 from roadstream.shared import freeze
 
 CAPACITY = 2048
+GAIN = 50
 
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY, key: str = "doc_id",
@@ -75,7 +76,7 @@ def best_fit(lengths: list[int], capacity: int) -> tuple[list[int], list[int], l
     return sequence, offset, fills
 
 
-def _packer(level: int, capacity: int, carry: int | None, slack: int):
+def _packer(level: int, capacity: int, slack: int):
     """Pack a task's rows; adds sequence, offset, fill, and whether the next round takes the sequence up."""
     def run(batches):
         batches = list(batches)
@@ -83,44 +84,44 @@ def _packer(level: int, capacity: int, carry: int | None, slack: int):
             return
         rows = pa.Table.from_batches(batches)
         number, offset, fills = best_fit(rows["length"].to_pylist(), capacity)
-        under = sorted((x for x, fill in enumerate(fills) if fill < capacity - slack), key=fills.__getitem__)
-        passed = set(under if carry is None else under[:carry])
         first = level << 56 | TaskContext.get().partitionId() << 32
         for name, kind, values in (("_sequence", pa.int64(), [first + x for x in number]), ("_offset", pa.int64(), offset),
-                                   ("_fill", pa.int64(), [fills[x] for x in number]), ("_passed", pa.bool_(), [x in passed for x in number])):
+                                   ("_fill", pa.int64(), [fills[x] for x in number]), ("_passed", pa.bool_(), [fills[x] < capacity - slack for x in number])):
             rows = rows.append_column(name, pa.array(values, kind))
         yield from rows.to_batches()
     return run
 
 
-def pack(items: DataFrame, capacity: int = CAPACITY, block: int = 50_000, fan_in: int = 8, carry: int = 4096,
-         slack: int = 8) -> DataFrame:
+def pack(items: DataFrame, capacity: int = CAPACITY, block: int = 50_000, slack: int = 8) -> DataFrame:
     """``items`` with ``length`` (1 to ``capacity``), placed: adds sequence_id and offset, without gaps.
 
     Other columns stay; their names are free but for those two and names with a leading underscore.
-    ``items`` is read twice and has to be stable, such as a written table.  block: rows packed together; fan_in: tasks
-    whose leavings meet in the next round; slack: places that a finished sequence may lack.
+    ``items`` is read twice and has to be stable, such as a written table.  block: rows packed together; slack: places
+    that a finished sequence may lack.
     """
     tasks = -(-items.count() // block)
     if tasks < 1:
         return items.select("*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     added = "_sequence long, _offset long, _fill long, _passed boolean"
     columns = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in items.schema)
-    placed = freeze(items.repartition(tasks).mapInArrow(_packer(0, capacity, carry, slack), f"{columns}, {added}"), "packed")
+    placed = freeze(items.repartition(tasks).mapInArrow(_packer(0, capacity, slack), f"{columns}, {added}"), "packed")
 
     def left(rows):
         return rows.filter("_passed and _offset = 0").select(F.col("_sequence").alias("_bin"), F.col("_fill").alias("length"))
 
     moves, bins, level = None, left(placed), 0
     while tasks > 1:
-        tasks, level = -(-tasks // fan_in), level + 1
-        merged = freeze(bins.repartition(tasks).mapInArrow(
-            _packer(level, capacity, carry if tasks > 1 else None, slack), f"_bin long, length long, {added}"), "merged")
+        held = bins.count()
+        tasks, level = max(1, -(-held // block)), level + 1
+        merged = freeze(bins.repartition(tasks).mapInArrow(_packer(level, capacity, slack), f"_bin long, length long, {added}"), "merged")
         step = merged.select(F.col("_bin").alias("_sequence"), F.col("_sequence").alias("_upper"), F.col("_offset").alias("_shift"))
         moves = step if moves is None else moves.withColumnsRenamed({"_sequence": "_bin", "_upper": "_sequence", "_shift": "_base"}).join(
             step, "_sequence", "left").select(F.col("_bin").alias("_sequence"), F.coalesce("_upper", "_sequence").alias("_upper"),
                                               (F.col("_base") + F.coalesce("_shift", F.lit(0))).alias("_shift"))
         bins = left(merged)
+        joined = merged.filter("_offset > 0").count()
+        if GAIN * joined < held:
+            break
     if moves is None:
         return placed.withColumnsRenamed({"_sequence": "sequence_id", "_offset": "offset"}).drop("_fill", "_passed")
     return placed.join(moves, "_sequence", "left").select(

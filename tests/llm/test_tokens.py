@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 import tiktoken
 from tokenizers import Tokenizer
 
@@ -87,16 +88,23 @@ def test_packing(docs, tokenizer):
     assert max(fills.values()) <= 512
 
 
-@pytest.mark.parametrize("block, fan_in, carry", [(10_000, 8, 4096), (200, 3, 4096), (100, 2, 5)])
-def test_packing_rounds(spark, block, fan_in, carry):
+@pytest.mark.parametrize("block", [10_000, 200, 100])
+def test_packing_rounds(spark, block):
     pick = random.Random(5)
     lengths = [pick.randint(1, 2048) if pick.random() < 0.6 else pick.randint(1, 200) for _ in range(3000)]
     items = freeze(spark.createDataFrame([(k, x, "s") for k, x in enumerate(lengths)], "name long, length long, fill string"), "items")
-    rows, fills = packed(items, block=block, fan_in=fan_in, carry=carry)
+    rows, fills = packed(items, block=block)
     assert sorted(r.name for r in rows) == list(range(3000))
     assert len(fills) <= 1.03 * -(-sum(lengths) // 2048) + 3000 / block
 
 
+def test_packing_of_blocks_that_fit_only_one_another(spark):
+    """Half of the blocks hold long pieces alone, half of them short ones: nothing is done before blocks meet."""
+    items = freeze(spark.range(0, 6000, 1, 2).select(F.col("id").alias("name"), F.when(F.col("id") < 3000, 1500).otherwise(540).cast("long").alias("length")), "items")
+    rows, fills = packed(items, block=500)
+    assert len(rows) == 6000 and len(fills) <= 1.01 * 3000
+
+
 def test_packing_empty_table(docs):
     assert packing.pack(freeze(packing.pieces(docs([]), WORDS), "pieces")).collect() == []
 
