@@ -147,24 +147,16 @@ def write(tokens: DataFrame, path: str, limit: int = LIMIT, tasks: int | None =
     spark.createDataFrame(book, "id long, bits int").coalesce(1).write.parquet(f"{path}/codebook")
     sent = spark.sparkContext.broadcast((counts["id"].to_numpy(np.int64), bits))
 
-    def encode(batches):
-        code = Code(*sent.value)
-        for batch in batches:
-            documents = [np.frombuffer(x, dtype="<u4") for x in batch.column(1).to_pylist()]
-            payload, marks = code.encode(documents)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(x) for x in documents], pa.int64()), pa.array(payload, pa.binary()),
-                 pa.array(marks, pa.list_(pa.int64()))], ["doc_id", "n", "payload", "marks"])
-
     id_type = tokens.schema["doc_id"].dataType.simpleString()
-    coded = tokens.select("doc_id", "ids").mapInArrow(encode, f"doc_id {id_type}, n long, payload binary, marks array<long>")
-    coded = coded.repartitionByRange(tasks, "doc_id") if tasks else coded.repartitionByRange("doc_id")
-    coded = coded.sortWithinPartitions("doc_id", "n", "payload")
+    # Ids move before they are coded: finding the ranges then costs no coding.
+    ranged = tokens.select("doc_id", "ids")
+    ranged = ranged.repartitionByRange(tasks, "doc_id") if tasks else ranged.repartitionByRange("doc_id")
+    ranged = ranged.sortWithinPartitions("doc_id", F.octet_length("ids"), "ids")
     blocks = "part int, block int, doc_ids array<{0}>, counts array<long>, marks array<long>, payload binary".format(id_type)
     schema = spark.createDataFrame([], blocks).schema
 
     def gather(batches):
-        part, number = TaskContext.get().partitionId(), 0
+        code, part, number = Code(*sent.value), TaskContext.get().partitionId(), 0
         keys, counts, marks, payload, size, held = [], [], [], [], 0, 0
 
         def block():
@@ -175,7 +167,8 @@ def write(tokens: DataFrame, path: str, limit: int = LIMIT, tasks: int | None =
             return pa.RecordBatch.from_pydict(row, schema=to_arrow_schema(schema))
 
         for batch in batches:
-            for key, n, body, mark in zip(*(x.to_pylist() for x in batch.columns)):
+            documents = [np.frombuffer(x, dtype="<u4") for x in batch.column(1).to_pylist()]
+            for key, n, body, mark in zip(batch.column(0).to_pylist(), map(len, documents), *code.encode(documents)):
                 if keys and held + n > BLOCK_IDS:
                     yield block()
                     number += 1
@@ -189,7 +182,7 @@ def write(tokens: DataFrame, path: str, limit: int = LIMIT, tasks: int | None =
         if keys:
             yield block()
 
-    coded.mapInArrow(gather, schema).write.parquet(f"{path}/blocks")
+    ranged.mapInArrow(gather, schema).write.parquet(f"{path}/blocks")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
