@@ -88,10 +88,11 @@ def held_out(key: Column, parts: int = 5, rest: int = 0) -> Column:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Column, sample: int, key: str = "doc_id",
                     text: str = "text") -> DataFrame:
-    """(text, label) of at most ``sample`` labelled rows' keys, those that hash lowest."""
+    """(text, label) of at most ``sample`` labelled keys, those that hash lowest; of a key's texts the least."""
     chosen = labels.filter(usable & labels[label].isin(0, 1)).select(labels[key].alias("doc_id"), labels[label].alias("label"))
     chosen = chosen.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    return keyed_texts(docs, key, text).join(F.broadcast(chosen), "doc_id").select("text", "label")
+    rows = keyed_texts(docs, key, text).join(F.broadcast(chosen), "doc_id")
+    return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("text", "label")
 
 
 def numbers(rows: DataFrame, statistic) -> tuple[np.ndarray, np.ndarray]:
