@@ -102,6 +102,30 @@ def test_near_keep_one(docs):
     assert {r.doc_id for r in kept.collect()} == {c for _, c in brute_classes(rows)}
 
 
+def test_near_with_repeated_keys(docs):
+    """Two texts of one key are two rows: one is in a class, the other alone."""
+    a, b = " ".join(words("one", 80)), words("two", 80)
+    rows = [(10, a), (10, " ".join(b)), (5, " ".join([*b[:-1], "other"])), (None, " ".join(b)), (7, None), (7, "")]
+    got = [tuple(r) for r in neardup.classes(docs(rows)).collect()]
+    assert sorted(got, key=repr) == sorted([(5, 5), (None, 5), (7, 7), (7, 7), (10, 5), (10, 10)], key=repr)
+    kept = neardup.keep_one(docs(rows)).collect()
+    assert sorted((r.doc_id, r.text or "") for r in kept) == sorted([(10, a), rows[2], (7, ""), (7, "")])
+    assert {r.text for r in kept if r.doc_id == 7} == {None, ""}
+
+
+def test_fresh_bands_find_pairs(docs):
+    """Of samples that agree as often as texts of similarity 0.8, nearly all pairs share a band; far ones seldom do."""
+    pick = np.random.default_rng(9)
+    for share, low, high in ((0.8, 0.97, 1), (0.5, 0, 0.35)):
+        left = pick.integers(0, 1 << 16, (300, neardup.SAMPLES), dtype=np.uint16)
+        right = np.where(pick.random(left.shape) < share, left, pick.integers(0, 1 << 16, left.shape, dtype=np.uint16))
+        rows = [(n, m, x.tobytes()) for m, side in enumerate((left, right)) for n, x in enumerate(side)]
+        table = docs([]).sparkSession.createDataFrame([(int(n), m, bytearray(x)) for n, m, x in rows], "doc long, side int, sketch binary")
+        dealt = neardup.fresh_bands(table.select("doc", "side", "sketch"))
+        met = dealt.groupBy("bucket", "doc").agg(F.count_distinct("side").alias("sides")).filter("sides = 2").select("doc").distinct().count()
+        assert low <= met / 300 <= high
+
+
 def test_near_pairs_in_wide_buckets(docs):
     """A family around one passage, all just below the bound but for pairs that no leader is near."""
     passage, rows = words("passage", 200), []

@@ -213,3 +213,11 @@ def test_pii_query(spark, documents):
         body = ",".join(f"{pii.KINDS[n]}:{a}:{b}" for a, n, b in want)
         assert rows[r.doc_id].base_sha256 == hashlib.sha256(body.encode()).hexdigest()
         assert rows[r.doc_id].n_email == sum(n == 0 for _, n, _ in want)
+
+
+def test_labelled_sample_is_bounded_by_keys(spark, docs):
+    """A labelled key that stands in many rows gives one text."""
+    table = docs([(1, "b")] * 300 + [(1, "a"), (2, "c"), (3, "d"), (2, None)])
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (2, 0, 1)], "doc_id long, quality int, toxic int")
+    found = quality.labelled_sample(table, labels, "quality", F.lit(True), 10)
+    assert sorted(tuple(r) for r in found.collect()) == [("", 0), ("a", 1)]
