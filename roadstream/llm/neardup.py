@@ -6,19 +6,24 @@ is the sum of all df and floor = total / HEAVY.  At most HEAVY shingles can reac
 from a fixed-size table of counts that first leaves only candidates, and every other shingle has the highest weight 3.
 So document frequencies come from all texts, and the list that tasks receive has a proven bound at any size.
 
-Texts with the same words are one class from the start, and one representative of each is sampled: ``SAMPLES``
+Texts with the same words are one class from the start, and one representative row of each is sampled: ``SAMPLES``
 consistent weighted samples, in ``BANDS`` bands.  Two texts of similarity s share a band with probability
-1 - (1 - s^4)^16, 0.9998 at 0.8.  In every bucket the most central member (the one whose buckets hold most rows) leads,
-and the others are verified against it by their exact weighted Jaccard similarity.  Verified links are joined into
-components.  In a bucket that still holds several, all pairs across components are verified if it has at most ``SMALL``
-members; in a larger one, the most central member outside the leader's component leads once more and meets the
-members of other components.  For the members of larger buckets that hold several components even then, a prefix filter
+1 - (1 - s^4)^16, 0.9998 at 0.8.  The samples travel with the members of a bucket; a pair is verified, by its exact
+weighted Jaccard similarity, if ``AGREE`` of 64 samples are equal (0.99998 of pairs at 0.8; the share of equal samples
+estimates the similarity).  In every bucket the most central member (the one whose buckets hold most rows) leads and meets
+the others.  Verified links are joined into components.  In a bucket that still holds several, all pairs across components
+are compared if it has at most ``SMALL`` members; in a larger one, the most central member outside the leader's component
+leads once more and meets the members of other components.
+
+Members of larger buckets that hold several components even then are dealt out again by fresh, longer bands: ``SPLITS``
+sets of ``LONG`` of their samples, of which two texts at 0.8 share one with probability 0.99 and two at 0.5 seldom.  There
+they are compared in the same way.  For what then still stands in large buckets of several components, a prefix filter
 names every pair across components that can be similar: with all texts' shingles in one order, the rarest first, two
-similar texts share one of the shingles before the place from which the rest is too light.  All these pairs are verified, so
-no two similar texts of a bucket stay apart; their number follows the members that share a rare shingle.
+similar texts share one of the shingles before the place from which the rest is too light.  All these pairs are verified.
 
-Null and empty texts, and those without words, are near no other text and form classes of their own.  Equal rows with
-words are in one class.  Every row gives one row, also where keys repeat.  An empty table gives no rows.
+Rows are numbered in a written table, so keys need not be unique.  Null and empty texts, and those without words, are near
+no other text and form classes of their own.  Equal rows with words are in one class.  Every row gives one row.  An empty
+table gives no rows.
 """
 
 import numpy as np
@@ -28,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from roadstream.llm.graph import components
-from roadstream.llm.texts import Words, keyed_texts, mix, split_rows
+from roadstream.llm.texts import Words, mix, small_batches, split_rows, text_of
 from roadstream.operators.sizing import for_lookup
 from roadstream.shared import freeze
 
@@ -41,6 +46,9 @@ TABLE_BITS = 20
 TOP = 3.0
 SALT_ROWS = 128
 SMALL = 32
+#: Equal samples of a pair that is verified; sets of samples that make the fresh bands, and their size.
+AGREE = 38
+SPLITS, LONG = 48, 8
 _DRAWS = 1 << 16
 
 
@@ -92,8 +100,12 @@ def _log_a(draw: np.ndarray, log_weight) -> tuple[np.ndarray, np.ndarray]:
 _TOP_A, _TOP_T = _log_a(np.arange(_DRAWS), np.float32(np.log(TOP)))
 
 
-def samples(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """Band hashes (texts x bands) of texts given as sorted ``doc`` with their distinct shingles."""
+def samples(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, bands: int = BANDS, rows: int = ROWS,
+            sketch: np.ndarray | None = None) -> np.ndarray:
+    """Band hashes (texts x bands) of texts given as sorted ``doc`` with their distinct shingles.
+
+    ``sketch`` (texts x samples) receives 16 bits of each sample.
+    """
     edge = np.flatnonzero(np.diff(doc, prepend=-1))
     length = np.diff(np.append(edge, len(doc)))
     plain = np.flatnonzero(weight == TOP)
@@ -115,6 +127,8 @@ def samples(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, bands: int
         order = np.lexsort([keyed[rivals], base[rivals]])
         rivals = rivals[order][np.diff(base[rivals[order]], prepend=-1) > 0]
         chosen = mix(keyed[rivals] ^ (t[rivals].astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+        if sketch is not None:
+            sketch[:, sample] = chosen >> np.uint64(48)
         band = sample // rows
         out[:, band] = mix(out[:, band] * np.uint64(31) + chosen + np.uint64(band))
     return out
@@ -226,7 +240,7 @@ def heavy_shingles(rows: DataFrame) -> Weights:
 
 
 def signatures(rows: DataFrame, weights: Weights) -> DataFrame:
-    """(doc_id, digest, bands): digest of the words, null without words, and the band hashes."""
+    """(row, digest, bands, sketch) of ``rows`` (row, text): digest of the words, null without words, and their samples."""
     sent = rows.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches):
@@ -234,17 +248,48 @@ def signatures(rows: DataFrame, weights: Weights) -> DataFrame:
             for part, texts in split_rows(batch):
                 words = Words(texts)
                 doc, shingle, times = _per_text(*words.shingles(WORDS))
-                bands = [None] * len(texts)
+                bands, sketches = [None] * len(texts), [None] * len(texts)
                 if len(doc):
-                    hashes = samples(doc, shingle, times * sent.value.of(shingle)).view(np.int64)
-                    for number, row in zip(np.unique(doc), hashes):
-                        bands[number] = row.tolist()
+                    numbers = np.unique(doc)
+                    sketch = np.empty((len(numbers), SAMPLES), np.uint16)
+                    hashes = samples(doc, shingle, times * sent.value.of(shingle), sketch=sketch).view(np.int64)
+                    for number, row, own in zip(numbers, hashes, sketch):
+                        bands[number], sketches[number] = row.tolist(), own.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(_words_digest(words, len(texts)), pa.string()), pa.array(bands, pa.list_(pa.int64()))],
-                    ["doc_id", "digest", "bands"])
+                    [part.column(0), pa.array(_words_digest(words, len(texts)), pa.string()), pa.array(bands, pa.list_(pa.int64())),
+                     pa.array(sketches, pa.binary())], ["row", "digest", "bands", "sketch"])
+
+    return rows.mapInArrow(run, "row long, digest string, bands array<long>, sketch binary")
+
+
+def agreeing(pairs: DataFrame, least: int = AGREE) -> DataFrame:
+    """(leader, doc) of the different ``pairs`` (leader, doc, left, right) with ``least`` equal samples."""
+    def run(batches):
+        for batch in batches:
+            sketches = [np.frombuffer(b"".join(batch.column(x).to_pylist()), np.uint16).reshape(-1, SAMPLES) for x in (2, 3)]
+            keep = pa.array((sketches[0] == sketches[1]).sum(axis=1) >= least)
+            yield pa.RecordBatch.from_arrays([batch.column(x).filter(keep) for x in (0, 1)], ["leader", "doc"])
+
+    return pairs.select("leader", "doc", "left", "right").mapInArrow(run, "leader long, doc long").distinct()
 
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {id_type}, digest string, bands array<long>")
+
+def fresh_bands(members: DataFrame) -> DataFrame:
+    """(bucket, *columns) of ``members``: one row for each of ``SPLITS`` sets of ``LONG`` samples."""
+    pick = np.random.default_rng(20240307)
+    sets = np.array([pick.choice(SAMPLES, LONG, replace=False) for _ in range(SPLITS)])
+    names = members.columns
+
+    def run(batches):
+        for batch in batches:
+            sketch = np.frombuffer(b"".join(batch.column(names.index("sketch")).to_pylist()), np.uint16).reshape(-1, SAMPLES).astype(np.uint64)
+            bucket = np.tile(np.arange(SPLITS, dtype=np.uint64), (len(sketch), 1))
+            for place in range(LONG):
+                bucket = mix(bucket * np.uint64(31) + sketch[:, sets[:, place]] + np.uint64(1))
+            again = pa.array(np.repeat(np.arange(len(sketch)), SPLITS))
+            yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64).ravel()), *(x.take(again) for x in batch.columns)], ["bucket", *names])
+
+    schema = ", ".join(f"{x} {members.schema[x].dataType.simpleString()}" for x in names)
+    return members.mapInArrow(run, f"bucket long, {schema}")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, weights: Weights, similar: float = SIMILAR) -> DataFrame:
@@ -274,60 +319,106 @@ def verify(pairs: DataFrame, texts: DataFrame, weights: Weights, similar: float
     return left.groupBy("head", "head_share").cogroup(right.groupBy("leader", "share")).applyInPandas(run, f"leader {kind}, doc {kind}")
 
 
-def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
-    """(doc_id, class_id): one row per row of ``docs``; class_id is the smallest key of the class."""
-    rows = keyed_texts(docs, key, text)
+def _classed(docs: DataFrame, key: str, text: str, similar: float) -> tuple[DataFrame, DataFrame]:
+    """The numbered rows (row, doc_id, text, whole), and per row: row, doc_id, class_id, kept."""
+    small_batches(docs.sparkSession)
+    stored = freeze(docs.select(F.monotonically_increasing_id().alias("row"), docs[key].alias("doc_id"), docs[text].alias("text"),
+                                F.struct(*(docs[x] for x in docs.columns if x != text)).alias("whole")), "documents")
+    rows = stored.select("row", text_of(stored).alias("text"))
     weights = heavy_shingles(rows)
     signed = freeze(signatures(rows, weights), "signatures")
-    same = freeze(signed.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("doc")), "same-words")
-    keys = signed.join(same, (signed["digest"] == same["digest"]) & (signed["doc_id"] == same["doc"]), "left_semi").select(
-        F.col("doc_id").alias("doc"), F.explode("bands").alias("bucket")).distinct()
+    named = signed.select("row", "digest").join(stored.select("row", "doc_id"), "row")
+    # Of texts with the same words one row stands for all; the first by key stays, null keys last.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best")
+    same = freeze(named.filter("digest is not null").groupBy("digest").agg(F.min("row").alias("doc"), first), "same-words")
+    stand = signed.join(for_lookup(same.select("doc")), signed["row"] == F.col("doc"), "left_semi")
+    stand = freeze(stand.select(F.col("row").alias("doc"), "bands", "sketch"), "stand")
+    keys = stand.select("doc", F.explode(F.array_distinct("bands")).alias("bucket"))
     shared = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     met = freeze(keys.join(shared.hint("merge"), "bucket"), "buckets")
-    centre = met.groupBy("doc").agg(F.sum(F.log2("n")).alias("score"))
-    met = freeze(met.join(centre, "doc").select("bucket", "doc", "score"), "members")
-    texts = freeze(rows.select(F.col("doc_id").alias("doc"), "text").join(for_lookup(met.select("doc").distinct()), "doc", "left_semi"), "texts")
+    centre = met.groupBy("doc").agg(F.sum(F.log2("n")).alias("score")).join(stand.select("doc", "sketch"), "doc")
+    met = freeze(met.select("bucket", "doc").join(centre, "doc"), "members")
+    needed = for_lookup(met.select("doc").distinct())
+    texts = freeze(rows.join(needed, rows["row"] == needed["doc"], "left_semi").select(F.col("row").alias("doc"), "text"), "texts")
     links = _linked(met, texts, weights, similar)
     roots = components(links.select(F.col("leader").alias("a"), F.col("doc").alias("b")))
-    classed = same.join(roots, same["doc"] == roots["node"], "left").select("digest", F.coalesce("root", "doc").alias("class_id"))
-    return signed.join(classed, "digest", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+    parted = same.join(roots, same["doc"] == roots["node"], "left").select("digest", "best", F.coalesce("root", "doc").alias("root"))
+    best = parted.groupBy("root").agg(F.min("best").alias("first"))
+    classed = parted.join(best, "root").select("digest", F.col("first.doc_id").alias("class_id"), F.col("first.row").alias("keep"))
+    found = named.join(classed, "digest", "left").select(
+        "row", "doc_id", F.when(F.col("keep").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce(F.col("row") == F.col("keep"), F.lit(True)).alias("kept"))
+    return stored, found
 
 
-def _linked(met: DataFrame, texts: DataFrame, weights: Weights, similar: float) -> DataFrame:
-    """Verified links (leader, doc) between members of a bucket."""
-    rank = F.struct("score", "doc")
-    leaders = met.groupBy("bucket").agg(F.max_by("doc", rank).alias("leader"))
-    first = freeze(met.join(leaders, "bucket").filter("doc <> leader").select("leader", "doc").distinct(), "pairs")
-    found = freeze(verify(first, texts, weights, similar), "links")
-    roots = components(found.select(F.col("leader").alias("a"), F.col("doc").alias("b"))).withColumnRenamed("node", "doc")
-    parted = met.join(roots, "doc", "left").select("bucket", "doc", "score", F.coalesce("root", "doc").alias("part"))
+def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: float = SIMILAR) -> DataFrame:
+    """(doc_id, class_id): one row per row of ``docs``; class_id is the smallest key of the class."""
+    return _classed(docs, key, text, similar)[1].select("doc_id", "class_id")
+
+
+def _parted(members: DataFrame, links: DataFrame) -> DataFrame:
+    """``members`` with ``part``, their component by ``links``."""
+    roots = components(links.select(F.col("leader").alias("a"), F.col("doc").alias("b"))).withColumnRenamed("node", "doc")
+    return members.join(roots, "doc", "left").withColumn("part", F.coalesce("root", "doc")).drop("root")
+
+
+_MEMBER = ["doc", "sketch", "part"]
+
+
+def _mixed(parted: DataFrame) -> DataFrame:
+    """Members of buckets that hold several parts, with the bucket's size and most central member."""
     mixed = parted.groupBy("bucket").agg(
-        F.max_by(F.struct("doc", "part"), rank).alias("best"), F.count(F.lit(1)).alias("n"), F.min("part").alias("low"),
-        F.max("part").alias("high")).filter("low <> high").select("bucket", "best", "n")
-    live = freeze(parted.join(mixed.hint("merge"), "bucket"), "mixed")
-    left = live.filter(F.col("n") <= SMALL).select("bucket", F.col("doc").alias("leader"), F.col("part").alias("led"))
-    small = left.join(live.select("bucket", "doc", "part").hint("merge"), "bucket").filter("leader < doc and led <> part")
-    second = live.filter((F.col("n") > SMALL) & (F.col("part") != F.col("best.part"))).groupBy("bucket").agg(
-        F.max_by(F.struct("doc", "part"), rank).alias("next"))
-    large = live.join(second.hint("merge"), "bucket").filter((F.col("part") != F.col("next.part")) & (F.col("doc") != F.col("best.doc")))
-    pairs = small.select("leader", "doc").unionByName(large.select(F.col("next.doc").alias("leader"), "doc")).distinct()
-    both = first.unionByName(first.select(F.col("doc").alias("leader"), F.col("leader").alias("doc")))
-    pairs = freeze(pairs.join(both.hint("merge"), ["leader", "doc"], "left_anti"), "pairs")
-    more = freeze(verify(pairs, texts, weights, similar), "links")
-    found = found.unionByName(more)
-    wide = live.filter(F.col("n") > SMALL).select("bucket", "doc", "part")
-    if not wide.head(1):
+        F.max_by(F.struct(*_MEMBER), F.struct("score", "doc")).alias("best"), F.count(F.lit(1)).alias("n"),
+        F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high").select("bucket", "best", "n")
+    return parted.join(mixed.hint("merge"), "bucket")
+
+
+def _crossing(live: DataFrame) -> DataFrame:
+    """Pairs across parts (leader, doc, left, right): all in buckets of up to ``SMALL`` members, else with two leaders."""
+    side = lambda rows: rows.select("bucket", F.col("doc").alias("leader"), F.col("sketch").alias("left"), F.col("part").alias("led"))
+    few = live.filter(F.col("n") <= SMALL)
+    small = side(few).join(few.select("bucket", *_MEMBER).hint("merge"), "bucket").filter("leader < doc and led <> part")
+    many = live.filter(F.col("n") > SMALL)
+    second = many.filter(F.col("part") != F.col("best.part")).groupBy("bucket").agg(
+        F.max_by(F.struct(*_MEMBER), F.struct("score", "doc")).alias("next"))
+    wide = many.join(second.hint("merge"), "bucket").withColumn("head", F.explode(F.array("best", "next")))
+    wide = wide.filter(F.col("part") != F.col("head.part"))
+    return small.select("leader", "doc", "left", F.col("sketch").alias("right")).unionByName(wide.select(
+        F.col("head.doc").alias("leader"), "doc", F.col("head.sketch").alias("left"), F.col("sketch").alias("right")))
+
+
+def _linked(met: DataFrame, texts: DataFrame, weights: Weights, similar: float) -> DataFrame:
+    """Verified links (leader, doc) between members of a bucket (bucket, doc, score, sketch)."""
+    leaders = met.groupBy("bucket").agg(F.max_by(F.struct("doc", "sketch"), F.struct("score", "doc")).alias("best"))
+    first = met.join(leaders.hint("merge"), "bucket").filter(F.col("doc") != F.col("best.doc"))
+    first = first.select(F.col("best.doc").alias("leader"), "doc", F.col("best.sketch").alias("left"), F.col("sketch").alias("right"))
+    tried = freeze(agreeing(first), "pairs")
+    found = freeze(verify(tried, texts, weights, similar), "links")
+
+    def more(pairs: DataFrame) -> DataFrame:
+        """Links among ``pairs`` that were not tried yet."""
+        nonlocal tried
+        both = tried.unionByName(tried.select(F.col("doc").alias("leader"), F.col("leader").alias("doc")))
+        pairs = freeze(pairs.join(both.hint("merge"), ["leader", "doc"], "left_anti"), "pairs")
+        tried = tried.unionByName(pairs)
+        return freeze(verify(pairs, texts, weights, similar), "links")
+
+    live = freeze(_mixed(_parted(met, found)), "mixed")
+    found = found.unionByName(more(agreeing(_crossing(live))))
+    wide = live.filter(F.col("n") > SMALL).select("bucket", "doc", "score", "sketch")
+    open_ = freeze(_mixed(_parted(wide, found)).select("doc", "score", "sketch").distinct(), "open")
+    if not open_.head(1):
         return found
-    edges = roots.select(F.col("doc").alias("a"), F.col("root").alias("b")).unionByName(more.select(F.col("leader").alias("a"), F.col("doc").alias("b")))
-    joined = components(edges).withColumnRenamed("node", "doc")
-    wide = wide.drop("part").join(joined, "doc", "left").select("bucket", "doc", F.coalesce("root", "doc").alias("part"))
-    open_ = wide.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
-    rest = freeze(wide.join(open_.hint("merge"), "bucket", "left_semi").select("doc", "part").distinct(), "rest")
+    dealt = fresh_bands(open_)
+    shared = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    dealt = freeze(dealt.join(shared.drop("size").hint("merge"), "bucket"), "dealt")
+    live = freeze(_mixed(_parted(dealt, found)), "mixed")
+    found = found.unionByName(more(agreeing(_crossing(live))))
+    rest = _mixed(_parted(live.filter(F.col("n") > SMALL).select("bucket", "doc", "score", "sketch"), found))
+    rest = freeze(rest.select("doc", "part").distinct(), "rest")
     if not rest.head(1):
         return found
-    tried = both.unionByName(pairs)
-    pairs = freeze(rare_pairs(rest, texts, weights, similar).join(tried.hint("merge"), ["leader", "doc"], "left_anti"), "pairs")
-    return found.unionByName(freeze(verify(pairs, texts, weights, similar), "links"))
+    return found.unionByName(more(rare_pairs(rest, texts, weights, similar)))
 
 
 def rare_pairs(members: DataFrame, texts: DataFrame, weights: Weights, similar: float = SIMILAR) -> DataFrame:
@@ -365,7 +456,8 @@ def rare_pairs(members: DataFrame, texts: DataFrame, weights: Weights, similar:
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each class, the one whose key names the class."""
-    gone = classes(docs, key, text).filter(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("_gone"))
-    gone = for_lookup(freeze(gone.distinct(), "gone"))
-    return docs.join(gone, docs[key] == F.col("_gone"), "left_anti")
+    """``docs`` with one row of each class, the first by key."""
+    stored, rows = _classed(docs, key, text, SIMILAR)
+    gone = for_lookup(freeze(rows.filter("not kept").select("row"), "gone"))
+    kept = stored.join(gone, "row", "left_anti")
+    return kept.select(*((F.col("whole")[x] if x != text else F.col("text")).alias(x) for x in docs.columns))
