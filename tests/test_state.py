@@ -117,7 +117,7 @@ def test_numbers_go_on_over_files(spark, feed, stored, tmp_path):
 
 
 def test_bloom_count(spark, feed, drain):
-    log = random_log(14, n=400)
+    log = random_log(14, n=120)
     few = {"bits": 16, "hash": "md5"}
     found = drain(distinct.distinct_cars_bloom(numbered(feed(log), parse_passages), MINUTE, **few)).filter("start_time < 2000000000000")
     want = distinct.distinct_cars_bloom(static(spark, log), MINUTE, **few)
