@@ -10,6 +10,10 @@ from roadstream.operators.enrich import DANGEROUS_FACTOR, overspeed_predicate
 from roadstream.operators.ordered import GROUP_ROWS, Ordered, over_groups
 from roadstream.shared import freeze
 
+# Both sides of these joins grow with the passages.  Spark would take a frozen table for its compressed size on disk and
+# send one that is many times larger as rows to every task by way of the driver.
+SHUFFLED = "merge"
+
 
 def numbered_runs(rows: DataFrame, groups: Ordered, columns: list[str], breaks: Column) -> DataFrame:
     """Splits every group where ``breaks`` holds and numbers the rows of each run.
@@ -173,7 +177,7 @@ def dangerous_drivers(passages: DataFrame, times: int = 3, within: int = 2 * MIN
         car, *[f"last_{c}" for c in order], "last_seq",
         F.explode(F.sequence("first_seq", F.col("last_seq") - F.lit(times - 1))).alias("first_seq"))
     starts = numbered.select(car, F.col("seq").alias("first_seq"), *[F.col(c).alias(f"first_{c}") for c in order])
-    return each.join(starts, [car, "first_seq"]).select(
+    return each.join(starts.hint(SHUFFLED), [car, "first_seq"]).select(
         car, *[f"first_{c}" for c in order], *[f"last_{c}" for c in order],
         (F.col("last_seq") - F.col("first_seq") + F.lit(1)).alias("n"), "first_seq", "last_seq")
 
@@ -186,7 +190,7 @@ def alert_steps(alerts: DataFrame, numbered: DataFrame, car: str = "car",
     """
     steps = alerts.withColumn("_seq", F.explode(F.sequence("first_seq", "last_seq")))
     places = numbered.select(car, F.col("seq").alias("_seq"), monitor)
-    return steps.join(places, [car, "_seq"]).withColumn(
+    return steps.join(places.hint(SHUFFLED), [car, "_seq"]).withColumn(
         "step", F.col("_seq") - F.col("first_seq") + F.lit(1)).drop("_seq")
 
 

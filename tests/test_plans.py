@@ -88,3 +88,10 @@ def test_groups_are_measured(passages):
     large, rows = large_groups(passages, ("area_id",), 10)
     assert rows == passages.count() and large.count() == passages.select("area_id").distinct().count()
     assert large_groups(passages, (), 10)[1] == passages.count()
+
+
+def test_runs_are_never_joined_by_broadcast(passages, monitors):
+    limited = sequence.fast_passages(enrich.with_default_limit(passages, monitors, keep=("id",)))
+    alerts, numbered = sequence.dangerous_drivers(limited), sequence.qualifying(limited)
+    for df in (sequence.alert_steps(alerts, numbered), sequence.dangerous_drivers(limited, mode="all")):
+        assert "SortMergeJoin" in plan(df) and "Broadcast" not in plan(df)
