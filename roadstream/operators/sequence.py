@@ -205,4 +205,4 @@ def dangerous_lines(alerts: DataFrame, numbered: DataFrame, car: str = "car",
     listed = alert_steps(alerts.select(*keys), numbered, car, monitor).groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("step", monitor))).alias("_steps"))
     listed = listed.select(*keys, F.transform("_steps", lambda s: s[monitor]).alias("monitors"))
-    return alerts.join(listed, keys).withColumn("msg", messages.dangerous_line(F.col("monitors")))
+    return alerts.hint(SHUFFLED).join(listed, keys).withColumn("msg", messages.dangerous_line(F.col("monitors")))

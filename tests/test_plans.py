@@ -93,5 +93,6 @@ def test_groups_are_measured(passages):
 def test_runs_are_never_joined_by_broadcast(passages, monitors):
     limited = sequence.fast_passages(enrich.with_default_limit(passages, monitors, keep=("id",)))
     alerts, numbered = sequence.dangerous_drivers(limited), sequence.qualifying(limited)
-    for df in (sequence.alert_steps(alerts, numbered), sequence.dangerous_drivers(limited, mode="all")):
+    for df in (sequence.alert_steps(alerts, numbered), sequence.dangerous_lines(alerts, numbered),
+               sequence.dangerous_drivers(limited, mode="all")):
         assert "SortMergeJoin" in plan(df) and "Broadcast" not in plan(df)
