@@ -3,7 +3,7 @@
 import pytest
 from roadstream.operators import distinct, enrich, matching, sequence, sizing, windows
 from roadstream.operators.ordered import large_groups
-from roadstream.plans import inputs
+from roadstream.plans import inputs, jobs
 from roadstream.schemas import MONITOR
 from tests.conftest import MONITORS
 
@@ -96,3 +96,8 @@ def test_runs_are_never_joined_by_broadcast(passages, monitors):
     for df in (sequence.alert_steps(alerts, numbered), sequence.dangerous_lines(alerts, numbered),
                sequence.dangerous_drivers(limited, mode="all")):
         assert "SortMergeJoin" in plan(df) and "Broadcast" not in plan(df)
+
+
+def test_dangerous_drivers_job_sends_only_limits_to_every_task(spark, monitors):
+    text = plan(jobs.dangerous_drivers(inputs.lines(spark, FOLDER), monitors))
+    assert text.count("SortMergeJoin") == 2 and "Broadcast" not in text
