@@ -1,13 +1,16 @@
 """Per-car sequence operators on streams, with typed keyed state.
 
-Analytic functions do not run on streams, so these keep state per car with
-``transformWithStateInPandas``: what a car's next passages can still meet (a
-value or a list), passages that wait for the watermark (a map of sorted runs)
-and an index of those runs.  A run is written once, read while the watermark
-moves through it and removed; a timer wakes a car when its next passage is
-due or its memory ends.  So a busy car costs its rows, however many
-micro-batches they take, and no list holds all of them.  The state survives in the query's
-checkpoint; RocksDB holds it (``runner`` starts such queries with it).
+Analytic functions do not run on streams, so these keep state with
+``transformWithStateInPandas``: what each car's next passages can still meet
+(a list), passages that wait for the watermark (a map of sorted runs) and an
+index of those runs.  A run is written once, read while the watermark moves
+through it and removed; a timer wakes the cars when their next passage is due
+or a memory ends.  So a busy car costs its rows, however many micro-batches
+they take, and no list holds all of them.  Every access to the state is a
+message between Python and Spark, so cars share the state of ``BUCKETS``
+hash buckets: a micro-batch costs its rows and some messages per bucket, not
+per car.  The state survives in the query's checkpoint; RocksDB holds it
+(``runner`` starts such queries with it).
 """
 
 import heapq
@@ -26,9 +29,12 @@ from roadstream.operators.enrich import DANGEROUS_FACTOR, overspeed_predicate
 from roadstream.operators.matching import MATCHED, NO_POLICE_ACTION, NO_VIOLATION
 from roadstream.operators.windows import with_event_time
 
-#: Rows of a run; one run at a time is in memory for each time the car's waiting rows overlap.
+#: Rows of a run; one run at a time is in memory for each time the bucket's waiting rows overlap.
 RUN_ROWS = 1_000
 
+#: Groups that keys share their state in; a query has to go on with the number it was started with.
+BUCKETS = 1_024
+
 Row = tuple
 Step = Callable[[list[Row], Row, list[Row]], list[Row]]
 Idle = Callable[[list[Row], int, list[Row]], tuple[list[Row], int | None]]
@@ -43,18 +49,22 @@ _OPEN = StructType([StructField("runs", ArrayType(_schema(run=LongType, at=Integ
 
 
 class _Sequence(StatefulProcessor):
-    """Takes each key's rows in order of ``columns``, the first being their time, and runs ``step`` over them."""
+    """Takes the rows of a bucket's keys in order of ``columns``, the first being their time, and runs ``step`` over each key's.
+
+    Rows are (time, hash of the key, the other columns, the key); the hash keeps comparisons of rows within their key.
+    """
 
-    def __init__(self, columns: StructType, output: StructType, step: Step, idle: Idle | None, single: bool,
+    def __init__(self, rows: StructType, n_columns: int, output: StructType, step: Step, idle: Idle | None,
                  keep_ms: int | None):
-        self.columns, self.output = columns, output
-        self.step, self.idle, self.single, self.keep_ms = step, idle, single, keep_ms
+        self.rows, self.output = rows, output
+        self.key_at = n_columns + 1
+        self.step, self.idle, self.keep_ms = step, idle, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        kept = handle.getValueState if self.single else handle.getListState
-        self.memory = kept("memory", self.columns, self.keep_ms)
-        self.runs = handle.getMapState("runs", _schema(run=LongType), StructType([StructField("rows", ArrayType(self.columns))]))
+        several = StructType([StructField("rows", ArrayType(self.rows))])
+        self.memory = handle.getValueState("memory", several, self.keep_ms)
+        self.runs = handle.getMapState("runs", _schema(run=LongType), several)
         self.open = handle.getValueState("open", _OPEN)
 
     def close(self) -> None:
@@ -69,15 +79,17 @@ class _Sequence(StatefulProcessor):
             for block in (first, second, *blocks):
                 runs, last = self._store(block, runs, last)
             first = []
-        yield from self._advance(key, first, runs, last, wake, timerValues)
+        yield from self._advance(first, runs, last, wake, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        runs, last, _ = self._index()
-        yield from self._advance(key, [], runs, last, None, timerValues)
+        runs, last, wake = self._index()
+        # What was due may have been taken with the micro-batch's rows.
+        if wake is not None and wake <= timerValues.getCurrentWatermarkInMs():
+            yield from self._advance([], runs, last, wake, timerValues)
 
     def _blocks(self, frames: Iterator[pd.DataFrame]) -> Iterator[list[Row]]:
         for frame in frames:
-            yield sorted(zip(*(frame[c].tolist() for c in self.columns.names)))
+            yield sorted(zip(*(frame[c].tolist() for c in self.rows.names)))
 
     def _index(self) -> tuple[list[Row], int, int | None]:
         found = self.open.get()
@@ -91,7 +103,7 @@ class _Sequence(StatefulProcessor):
             runs = [*runs, (last, 0, part[0][0] if self.idle else 0)]
         return runs, last
 
-    def _advance(self, key, block: list[Row], runs: list[Row], last: int, wake: int | None, timers) -> Iterator[pd.DataFrame]:
+    def _advance(self, block: list[Row], runs: list[Row], last: int, wake: int | None, timers) -> Iterator[pd.DataFrame]:
         """Take what is due: from ``block``, sorted and not stored yet, and from stored runs."""
         now = timers.getCurrentWatermarkInMs() if self.idle else None
         due = lambda row: now is None or row[0] <= now
@@ -105,20 +117,16 @@ class _Sequence(StatefulProcessor):
         heapq.heapify(heap)
         loaded[0], places[0] = block, 0
         out: list[Row] = []
-        memory = before = self._remembered() if heap or self.idle and not block else None
-        while heap:
-            row, run, at = heapq.heappop(heap)
-            memory = self.step(memory, row, out)
-            places[run] = at + 1
-            if at + 1 < len(loaded[run]) and due(loaded[run][at + 1]):
-                heapq.heappush(heap, (loaded[run][at + 1], run, at + 1))
-        wanted = None
-        if self.idle and memory is not None:
-            memory, wanted = self.idle(memory, now, out)
-        elif self.idle and wake is not None:
-            wanted = wake
-        if memory is not before:
-            self._remember(memory)
+        wanted = wake
+        if heap or self.idle and wake is not None and wake <= now:
+            memory = self._remembered()
+            changed = bool(heap)
+            self._take(heap, loaded, places, due, memory, out)
+            if self.idle:
+                wanted, ended = self._rest(memory, now, out)
+                changed = changed or ended
+            if changed:
+                self._remember(memory)
         left = []
         for run, at, next_time in runs:
             if run not in loaded:
@@ -141,25 +149,61 @@ class _Sequence(StatefulProcessor):
         elif runs or wake is not None:
             self.open.clear()
         if out:
-            yield pd.DataFrame([(*key, *row) for row in out], columns=self.output.names, dtype=object)
+            yield pd.DataFrame(out, columns=self.output.names, dtype=object)
 
-    def _remembered(self) -> list[Row]:
-        if self.single:
-            found = self.memory.get()
-            return [] if found is None else [tuple(found)]
-        return [tuple(x) for x in self.memory.get()]
+    def _take(self, heap: list[Row], loaded: dict[int, list[Row]], places: dict[int, int], due: Callable[[Row], bool],
+              memory: dict[Row, list[Row]], out: list[Row]) -> None:
+        """Run ``step`` over the due rows, of all keys in one order."""
+        key_at, found = self.key_at, []
+        while heap:
+            row, run, at = heapq.heappop(heap)
+            key = row[key_at:]
+            kept = self.step(memory.get(key, []), (row[0], *row[2:key_at]), found)
+            if kept:
+                memory[key] = kept
+            else:
+                memory.pop(key, None)
+            if found:
+                out.extend((*key, *x) for x in found)
+                found.clear()
+            places[run] = at + 1
+            if at + 1 < len(loaded[run]) and due(loaded[run][at + 1]):
+                heapq.heappush(heap, (loaded[run][at + 1], run, at + 1))
 
-    def _remember(self, memory: list[Row]) -> None:
-        if not memory:
-            self.memory.clear()
-        elif self.single:
-            self.memory.update(memory[0])
+    def _rest(self, memory: dict[Row, list[Row]], now: int, out: list[Row]) -> tuple[int | None, bool]:
+        """Run ``idle`` for each key: when the next memory ends, and whether one has changed."""
+        wanted, changed, found = None, False, []
+        for key, before in list(memory.items()):
+            kept, end = self.idle(before, now, found)
+            if kept is not before:
+                changed = True
+                if kept:
+                    memory[key] = kept
+                else:
+                    del memory[key]
+            if found:
+                out.extend((*key, *x) for x in found)
+                found.clear()
+            if end is not None and (wanted is None or end < wanted):
+                wanted = end
+        return wanted, changed
+
+    def _remembered(self) -> dict[Row, list[Row]]:
+        memory: dict[Row, list[Row]] = {}
+        found = self.memory.get()
+        for row in found[0] if found else []:
+            memory.setdefault(tuple(row[self.key_at:]), []).append((row[0], *row[2:self.key_at]))
+        return memory
+
+    def _remember(self, memory: dict[Row, list[Row]]) -> None:
+        if memory:
+            self.memory.update(([(row[0], 0, *row[1:], *key) for key, rows in memory.items() for row in rows],))
         else:
-            self.memory.put(memory)
+            self.memory.clear()
 
 
 def _stateful(rows: DataFrame, keys: list[str], columns: list[str], output: StructType, step: Step, idle: Idle | None,
-              single: bool = True, keep_ms: int | None = None) -> DataFrame:
+              keep_ms: int | None = None) -> DataFrame:
     """Run ``step`` over each key's rows, ``columns[0]`` being their time.
 
     With ``idle`` rows wait until the watermark reaches them and are taken in
@@ -167,13 +211,19 @@ def _stateful(rows: DataFrame, keys: list[str], columns: list[str], output: Stru
     taken at once, in that order within their micro-batch; no watermark leaves
     any out, and what ``step`` returns stays until the key's next row, or until
     the key has seen none for ``keep_ms`` of the wall clock (for queries that
-    go on: one with ``available_now`` would wait for the clock for ever).
+    go on: one with ``available_now`` would wait for the clock for ever).  Keys
+    that the clock forgets have their state for themselves.
     """
-    kept = [*keys, *columns, *(["event_time"] if idle else [])]
-    schema = StructType([StructField(c, rows.schema[c].dataType) for c in columns])
-    processor = _Sequence(schema, output, step, idle, single, keep_ms)
+    # pandas frames of the operator have no names that begin with "_".
+    hashed = F.xxhash64(*keys)
+    rows = rows.withColumns({"key_hash": hashed, "_bucket": hashed if keep_ms else F.pmod(hashed, F.lit(BUCKETS))})
+    inside = [columns[0], "key_hash", *columns[1:], *[f"key_{k}" for k in keys]]
+    rows = rows.withColumns({f"key_{k}": F.col(k) for k in keys})
+    schema = StructType([StructField(c, rows.schema[c].dataType) for c in inside])
+    processor = _Sequence(schema, len(columns), output, step, idle, keep_ms)
     mode = "EventTime" if idle else "None" if keep_ms is None else "ProcessingTime"
-    return rows.select(*kept).groupBy(*keys).transformWithStateInPandas(processor, output, "Append", mode)
+    kept = rows.select("_bucket", *inside, *(["event_time"] if idle else []))
+    return kept.groupBy("_bucket").transformWithStateInPandas(processor, output, "Append", mode)
 
 
 def cloned_plates(passages: DataFrame, max_gap_seconds: int = 10, delay: int = 5 * SECOND,
@@ -251,7 +301,7 @@ def dangerous_drivers(passages: DataFrame, times: int = 3, within: int = 2 * MIN
     rows = rows.select("car", "action_time", "id", "monitor_id", speed_units("real_speed").alias("units"), "event_time")
     output = _schema(car=StringType, first_action_time=LongType, first_id=LongType, last_action_time=LongType,
                      last_id=LongType, n=LongType, avg_speed=DoubleType, monitors=StringType)
-    found = _stateful(rows, ["car"], ["action_time", "id", "monitor_id", "units"], output, step, idle, single=False)
+    found = _stateful(rows, ["car"], ["action_time", "id", "monitor_id", "units"], output, step, idle)
     return found.withColumn("monitors", F.split("monitors", "\x1f"))
 
 
@@ -325,5 +375,5 @@ def first_passages(passages: DataFrame, size: int, order: tuple[str, ...] = ("ac
         return seen, max((x[2] + size for x in seen), default=None)
 
     output = _schema(area_id=StringType, car=StringType, action_time=LongType, id=LongType, start_time=LongType, new=BooleanType)
-    found = _stateful(rows, ["area_id", "car"], ["action_time", "id", "start_time"], output, step, idle, single=False)
+    found = _stateful(rows, ["area_id", "car"], ["action_time", "id", "start_time"], output, step, idle)
     return found.withColumnsRenamed({"action_time": order[0], "id": order[1]})
