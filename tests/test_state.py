@@ -9,7 +9,7 @@ from roadstream.functions.timing import MINUTE, SECOND
 from roadstream.operators import batching, distinct, matching, sequence
 from roadstream.plans import jobs
 from roadstream.sources.parse import parse_passages, parse_police_actions, parse_violations
-from roadstream.streaming import stateful, totals
+from roadstream.streaming import runner, stateful, totals
 from tests.conftest import rows
 from tests.test_streams import FAR, drain, feed, numbered, random_log, static, two_sides  # noqa: F401
 
@@ -43,6 +43,18 @@ def test_busy_plate_in_ten_files(spark, feed, drain, run_rows):
     assert want.filter("car = 'busy'").count() > 50
 
 
+def test_cars_share_the_state_of_few_buckets(spark, feed, tmp_path, monkeypatch):
+    monkeypatch.setattr(stateful, "BUCKETS", 4, raising=False)
+    log = [[line.replace("busy", f"one{n % 90}") for n, line in enumerate(part)] for part in busy_log(3)[:-1]]
+    path = str(tmp_path / "rows")
+    query = runner.to_parquet(stateful.cloned_plates(numbered(feed(log), parse_passages), 60, delay=8 * SECOND), path, path + "-checkpoint")
+    query.awaitTermination()
+    want = sequence.cloned_plates(static(spark, [*log, []]), 60).filter(f"action_time < {1_592_722_000_000 + 600 * 300 - 20_000}")
+    found = spark.read.parquet(path)
+    assert rows(found.join(want, PAIR, "left_semi"), *PAIR) == rows(want, *PAIR) and want.count() > 50
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) <= 40
+
+
 def test_busy_plate_in_order_of_arrival(spark, feed, drain, run_rows):
     log = [[f"{n * 10_000 + m};{line.partition(';')[2]}" for m, line in enumerate(part)] for n, part in enumerate(busy_log(2)[:-1])]
     want = sequence.cloned_plates_arrival(static(spark, [*log, []]), 2)
