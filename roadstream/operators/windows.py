@@ -10,6 +10,8 @@ from roadstream.functions.timing import MINUTE, SECOND, to_timestamp, window_sta
 
 
 SPREAD = 16
+#: Rows whose panes are multiplied into windows in one task, so that its hash tables stay small however many rows there are.
+TASK_ROWS = 250_000
 
 
 def _interval(ms: int) -> str:
@@ -55,7 +57,9 @@ def avg_speed_sliding(passages: DataFrame, size: int = 5 * MINUTE, slide: int =
     edges); only those sums are copied into the windows that cover them, so
     raw rows are neither multiplied nor shuffled one by one.  The pane sums
     move once, by checkpoint, and are multiplied after that; a checkpoint has
-    one row per pane by then, however many cars it saw.
+    one row per pane by then, however many cars it saw.  The rows are counted
+    first, for as many tasks as their panes may need: Spark alone would choose
+    them by the panes' size before they are multiplied.
     Stream: one windowed aggregation with a watermark of ``delay``.
     """
     if passages.isStreaming:
@@ -70,7 +74,9 @@ def avg_speed_sliding(passages: DataFrame, size: int = 5 * MINUTE, slide: int =
     newest = window_start("_pane", slide)
     starts = F.transform(F.sequence(F.lit(0), F.lit((size - 1) // slide)),
                          lambda k: newest - k.cast("bigint") * F.lit(slide))
-    spread = panes.repartition(key).withColumn("start_time", F.explode(starts))
+    tasks = passages.count() // TASK_ROWS + 1
+    by_key = panes.repartition(tasks, key) if tasks > 1 else panes.repartition(key)
+    spread = by_key.withColumn("start_time", F.explode(starts))
     if size % slide:
         spread = spread.filter(F.col("start_time") + F.lit(size) > F.col("_pane"))
     sums = spread.groupBy("start_time", key).agg(

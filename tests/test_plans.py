@@ -101,3 +101,9 @@ def test_runs_are_never_joined_by_broadcast(passages, monitors):
 def test_dangerous_drivers_job_sends_only_limits_to_every_task(spark, monitors):
     text = plan(jobs.dangerous_drivers(inputs.lines(spark, FOLDER), monitors))
     assert text.count("SortMergeJoin") == 2 and "Broadcast" not in text
+
+
+def test_windows_are_dealt_out_by_rows(passages, monkeypatch):
+    monkeypatch.setattr(windows, "TASK_ROWS", 100, raising=False)
+    speeds = windows.avg_speed_sliding(passages)
+    assert f"{passages.count() // 100 + 1}), REPARTITION_BY_NUM" in plan(speeds) and shuffles(speeds) == 2
