@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from roadstream.shared import freeze
 
 GROUP_ROWS = 2_000_000
+RANGE_ROWS = 200_000
 LISTED_GROUPS = 1_000
 CHUNK = "_chunk"
 # The keys as one struct: structs of nulls are equal, so a group with a null
@@ -37,6 +38,7 @@ class Ordered:
     keys: tuple[str, ...]
     order: tuple[str, ...]
     chunks: int = 0
+    max_rows: int = GROUP_ROWS
 
     @property
     def chunked(self) -> bool:
@@ -46,7 +48,7 @@ class Ordered:
         """The same groups in another order; chunked rows are cut anew."""
         if not self.chunked:
             return df, Ordered(self.keys, tuple(order))
-        return cut(df.drop(CHUNK), order, self.chunks), Ordered(self.keys, tuple(order), self.chunks)
+        return cut(df.drop(CHUNK), order, self.chunks, self.max_rows), Ordered(self.keys, tuple(order), self.chunks, self.max_rows)
 
     def settled(self, df: DataFrame) -> DataFrame:
         """Chunked rows written once, for results that several branches read."""
@@ -128,10 +130,22 @@ def large_groups(df: DataFrame, keys: tuple[str, ...], max_rows: int) -> tuple[D
     return listed.select(GROUP), sum(row["_rows"] for row in largest)
 
 
-def cut(df: DataFrame, order: list[str], chunks: int) -> DataFrame:
-    """Range-partition into ``chunks`` pieces of similar size and freeze their numbers."""
-    ranged = df.repartitionByRange(chunks, GROUP, *order)
-    return freeze(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
+def cut(df: DataFrame, order: list[str], chunks: int, max_rows: int) -> DataFrame:
+    """Cut into pieces of about ``max_rows`` rows, ``chunks`` of them at least, and freeze their numbers.
+
+    Spark samples rows for every range in the driver, so short chunks share a
+    range of ``RANGE_ROWS`` rows and are counted off in its sorted rows.
+    """
+    if max_rows >= RANGE_ROWS:
+        ranged = df.repartitionByRange(chunks, GROUP, *order)
+        return freeze(ranged.withColumn(CHUNK, F.spark_partition_id().cast("bigint")), "chunks")
+    ranges = -(-chunks * max_rows // RANGE_ROWS)
+    ranged = df.repartitionByRange(ranges, GROUP, *order).sortWithinPartitions(GROUP, *order)
+    # The upper bits number the range and the lower 33 its rows.
+    ranged = ranged.withColumn("_at", F.monotonically_increasing_id())
+    first = F.shiftleft(F.shiftright("_at", 33), 33)
+    piece = F.call_function("div", F.col("_at") - first, F.lit(max_rows))
+    return freeze(ranged.withColumn(CHUNK, first + piece).drop("_at"), "chunks")
 
 
 def over_groups(df: DataFrame, keys: list[str], order: list[str],
@@ -148,11 +162,11 @@ def over_groups(df: DataFrame, keys: list[str], order: list[str],
     large, rows = large_groups(df, keys, max_rows)
     if large is None:
         return body(df, plain)
-    chunked = Ordered(keys, tuple(order), chunks=-(-rows // max_rows) + 1)
+    chunked = Ordered(keys, tuple(order), chunks=-(-rows // max_rows) + 1, max_rows=max_rows)
     if not keys:
-        pieces = cut(df.withColumn(GROUP, F.struct(F.lit(0))), order, chunked.chunks)
+        pieces = cut(df.withColumn(GROUP, F.struct(F.lit(0))), order, chunked.chunks, max_rows)
         return body(pieces, chunked).drop(CHUNK, GROUP)
     grouped = df.withColumn(GROUP, F.struct(*keys))
     rest = grouped.join(large, GROUP, "left_anti").drop(GROUP)
-    pieces = cut(grouped.join(large, GROUP, "left_semi"), order, chunked.chunks)
+    pieces = cut(grouped.join(large, GROUP, "left_semi"), order, chunked.chunks, max_rows)
     return body(rest, plain).unionByName(body(pieces, chunked).drop(CHUNK, GROUP))

@@ -1,7 +1,7 @@
 """Shapes of the physical plans: shuffles, pushed filters, read columns, no Python."""
 
 import pytest
-from roadstream.operators import distinct, enrich, matching, sequence, sizing, windows
+from roadstream.operators import distinct, enrich, matching, ordered, sequence, sizing, windows
 from roadstream.operators.ordered import large_groups
 from roadstream.plans import inputs, jobs
 from roadstream.schemas import MONITOR
@@ -107,3 +107,11 @@ def test_windows_are_dealt_out_by_rows(passages, monkeypatch):
     monkeypatch.setattr(windows, "TASK_ROWS", 100, raising=False)
     speeds = windows.avg_speed_sliding(passages)
     assert f"{passages.count() // 100 + 1}), REPARTITION_BY_NUM" in plan(speeds) and shuffles(speeds) == 2
+
+
+def test_short_chunks_share_ranges(passages):
+    grouped = passages.withColumn(ordered.GROUP, ordered.F.struct("area_id"))
+    pieces = ordered.cut(grouped, ["action_time", "id"], passages.count() // 10 + 1, 10)
+    assert len(pieces.inputFiles()) == 1
+    sizes = pieces.groupBy(ordered.CHUNK).count().orderBy(ordered.CHUNK).collect()
+    assert [row["count"] for row in sizes[:-1]] == [10] * (len(sizes) - 1) and sizes[-1]["count"] <= 10
