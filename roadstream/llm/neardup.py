@@ -17,9 +17,9 @@ leads once more and meets the members of other components.
 
 Members of larger buckets that hold several components even then are dealt out again by fresh, longer bands: ``SPLITS``
 sets of ``LONG`` of their samples, of which two texts at 0.8 share one with probability 0.99 and two at 0.5 seldom.  There
-they are compared in the same way.  For what then still stands in large buckets of several components, a prefix filter
-names every pair across components that can be similar: with all texts' shingles in one order, the rarest first, two
-similar texts share one of the shingles before the place from which the rest is too light.  All these pairs are verified.
+they are compared in the same way.  What then still stands in large buckets of several components falls into clusters, the
+components of rows that share a band.  All texts of a cluster are compared exactly: they are dealt into tiles of bounded
+size, every two tiles meet in a task, and no pair becomes a row but those that join two components there.
 
 Rows are numbered in a written table, so keys need not be unique.  Null and empty texts, and those without words, are near
 no other text and form classes of their own.  Equal rows with words are in one class.  Every row gives one row.  An empty
@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from roadstream.llm.graph import components
 from roadstream.llm.texts import Words, mix, small_batches, split_rows, text_of
@@ -49,6 +49,8 @@ SMALL = 32
 #: Equal samples of a pair that is verified; sets of samples that make the fresh bands, and their size.
 AGREE = 38
 SPLITS, LONG = 48, 8
+#: Texts and code points of a tile in exact comparisons, and the most tasks that tiles are dealt to.
+TILE_ROWS, TILE_CHARS, TILE_TASKS = 512, 1 << 20, 10_000
 _DRAWS = 1 << 16
 
 
@@ -418,41 +420,77 @@ def _linked(met: DataFrame, texts: DataFrame, weights: Weights, similar: float)
     rest = freeze(rest.select("doc", "part").distinct(), "rest")
     if not rest.head(1):
         return found
-    return found.unionByName(more(rare_pairs(rest, texts, weights, similar)))
-
-
-def rare_pairs(members: DataFrame, texts: DataFrame, weights: Weights, similar: float = SIMILAR) -> DataFrame:
-    """(leader, doc): all pairs of ``members`` (doc, part) of different parts that can be ``similar``, and some that are not.
-
-    Similar texts share at least ``similar`` of the heavier one's weight and 2 similar / (1 + similar) of the lighter one's.
-    So one of the shingles they share lies, in both, before the place from which the rest weighs less than that.
+    return found.unionByName(close_links(clusters(rest, met), texts, weights, similar))
+
+
+def clusters(members: DataFrame, buckets: DataFrame) -> DataFrame:
+    """``members`` with ``cluster``: the component of those that share one of ``buckets`` (bucket, doc)."""
+    held = buckets.select("bucket", "doc").join(for_lookup(members.select("doc")), "doc", "left_semi")
+    first = held.groupBy("bucket").agg(F.min("doc").alias("a"))
+    roots = components(held.join(first.hint("merge"), "bucket").select("a", F.col("doc").alias("b")))
+    roots = roots.select(F.col("node").alias("doc"), F.col("root").alias("cluster"))
+    return members.join(roots, "doc", "left").withColumn("cluster", F.coalesce("cluster", "doc"))
+
+
+def near_places(left: list[tuple], right: list[tuple], similar: float = SIMILAR):
+    """Places (in ``left``, in ``right``) of the vectors whose similarity is ``similar`` or more."""
+    shingle = np.concatenate([np.empty(0, np.uint64), *(x for x, _ in right)])
+    order = np.argsort(shingle, kind="stable")
+    shingle, held = shingle[order], np.concatenate([np.empty(0), *(x for _, x in right)])[order]
+    owner = np.repeat(np.arange(len(right)), [len(x) for x, _ in right])[order]
+    total = np.array([x.sum() for _, x in right])
+    for place, (own, weight) in enumerate(left):
+        begin = np.searchsorted(shingle, own)
+        n = np.searchsorted(shingle, own, side="right") - begin
+        at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        least = np.bincount(owner[at], np.minimum(held[at], np.repeat(weight, n)), len(right))
+        # Sums in another order differ in their last digits, so the definition decides at the bound.
+        for other in np.flatnonzero((least > 0) & (least >= similar * (1 - 1e-9) * (weight.sum() + total - least))):
+            if similarity((own, weight), right[other]) >= similar:
+                yield place, int(other)
+
+
+def close_links(members: DataFrame, texts: DataFrame, weights: Weights, similar: float = SIMILAR) -> DataFrame:
+    """Links (leader, doc) that join the parts of ``members`` (doc, part, cluster) as all similar pairs of a cluster do.
+
+    A cluster of parts is dealt into tiles of about ``TILE_ROWS`` texts and ``TILE_CHARS`` code points, and a task compares
+    two of them, so its memory is bounded.  It gives one row for each two parts that it joins, whatever their sizes.
     """
     sent = members.sparkSession.sparkContext.broadcast(weights)
-
-    def run(batches):
-        for batch in batches:
-            for piece, body in split_rows(batch):
-                doc, shingle, times = _per_text(*Words(body).shingles(WORDS))
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column(0).take(pa.array(doc)), piece.column(2).take(pa.array(doc)), pa.array(shingle.view(np.int64)), pa.array(times * sent.value.of(shingle))],
-                    ["doc", "part", "shingle", "weight"])
-
-    kind = members.schema["doc"].dataType.simpleString()
-    held = texts.join(members, "doc").select("doc", "text", "part").mapInArrow(run, f"doc {kind}, part {kind}, shingle long, weight double")
-    shared = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    whole = Window.partitionBy("doc")
-    order = whole.orderBy(F.coalesce("n", F.lit(1)), "shingle").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = held.join(shared.hint("merge"), "shingle", "left").withColumn("total", F.sum("weight").over(whole)).withColumn(
-        "rest", F.col("total") - F.sum("weight").over(order) + F.col("weight"))
-    slack = 1 - 1e-9
-    rare = ranked.filter((F.col("rest") >= similar * slack * F.col("total")) & F.col("n").isNotNull())
-    rare = freeze(rare.select("shingle", "doc", "part", "total", (
-        F.col("rest") >= 2 * similar / (1 + similar) * slack * F.col("total")).alias("light")), "rare")
-    light = rare.filter("light").select("shingle", F.col("doc").alias("x"), F.col("part").alias("x_part"), F.col("total").alias("x_total"))
-    met = light.join(rare.hint("merge"), "shingle").filter(
-        (F.col("x_part") != F.col("part")) & (F.struct("x_total", "x") < F.struct("total", "doc"))
-        & (F.col("x_total") >= similar * slack * F.col("total")))
-    return met.select(F.least("x", "doc").alias("leader"), F.greatest("x", "doc").alias("doc")).distinct()
+    held = freeze(texts.join(members, "doc").select("doc", "part", "cluster", "text"), "held")
+    sizes = held.groupBy("cluster").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / TILE_ROWS), F.ceil(F.sum(F.length("text")) / TILE_CHARS), F.lit(1)).alias("tiles"),
+        F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high").select("cluster", "tiles")
+    sizes = freeze(sizes, "tiles")
+    meetings = sizes.agg(F.sum(F.expr("tiles * (tiles + 1) div 2"))).first()[0] or 1
+    tiled = held.join(for_lookup(sizes), "cluster").withColumn("tile", F.pmod(F.xxhash64("doc"), "tiles"))
+    tiled = tiled.withColumn("met", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    dealt = tiled.select("cluster", F.least("tile", "met").alias("low"), F.greatest("tile", "met").alias("high"), "tile", "doc", "part", "text")
+
+    def run(key, frame):
+        body, vectors = frame["text"].tolist(), []
+        for at in range(0, len(body), 16):
+            vectors += weighted(body[at:at + 16], sent.value)
+        doc, part, tile = (frame[x].tolist() for x in ("doc", "part", "tile"))
+        sides = [[x for x, own in enumerate(tile) if own == side] for side in key[1:]]
+        above, found = {}, []
+
+        def top(x):
+            while above.get(x, x) != x:
+                x = above[x]
+            return x
+
+        for x, y in near_places(*([vectors[x] for x in side] for side in sides), similar):
+            x, y = sides[0][x], sides[1][y]
+            a, b = top(part[x]), top(part[y])
+            if a != b:
+                above[max(a, b)] = min(a, b)
+                found.append((min(doc[x], doc[y]), max(doc[x], doc[y])))
+        return pd.DataFrame(found, columns=["leader", "doc"], dtype="int64")
+
+    keys = ["cluster", "low", "high"]
+    dealt = dealt.repartition(min(int(meetings), TILE_TASKS), *keys)
+    return freeze(dealt.groupBy(*keys).applyInPandas(run, "leader long, doc long"), "links")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -226,3 +226,34 @@ def test_remove_shared(docs):
     assert left.count() == len(rows) and passage in texts[100]
     assert all(passage not in texts[100 + k] and len(texts[100 + k]) < len(dict(rows)[100 + k]) for k in range(1, 12))
     assert texts[1] is None and texts[2] == "" and texts[310] == dict(rows)[310]
+
+
+def test_a_cloud_below_the_bound_makes_no_rows_of_pairs(spark, monkeypatch):
+    """All pairs of a cluster are compared, in several tiles, and only links that join parts become rows."""
+    monkeypatch.setattr(neardup, "TILE_ROWS", 16)
+    pick, base, rows = random.Random(5), words("cloud", 120), []
+    for k in range(90):
+        body = list(rows[-1][1].split() if k % 9 == 8 else base)
+        for at in pick.sample(range(120), 2 if k % 9 == 8 else 5):
+            body[at] = f"cloud{k}{at}"
+        rows.append((k, " ".join(body)))
+    weights = neardup.Weights(np.empty(0, np.uint64), np.empty(0), 0)
+    vectors = neardup.weighted([t for _, t in rows], weights)
+    near = {(i, j) for j in range(90) for i in range(j) if neardup.similarity(vectors[i], vectors[j]) >= neardup.SIMILAR}
+    assert {(min(p), max(p)) for p in neardup.near_places(vectors, vectors) if p[0] != p[1]} == near
+    texts = spark.createDataFrame(rows, "doc long, text string")
+    members = texts.select("doc", F.col("doc").alias("part"))
+    buckets = members.select(F.lit(7).alias("bucket"), "doc")
+    clustered = neardup.clusters(members, buckets)
+    assert {r.cluster for r in clustered.collect()} == {0}
+    links = [tuple(r) for r in neardup.close_links(clustered, texts, weights).collect()]
+    assert set(links) <= near and 0 < len(links) < 90
+
+    def parts(pairs):
+        top = list(range(90))
+        for a, b in pairs:
+            top = [top[a] if x == top[b] else x for x in top]
+        return {frozenset(x for x in range(90) if top[x] == y) for y in top}
+
+    assert parts(links) == parts(near)
+    assert neardup.close_links(clustered.withColumn("part", F.lit(1).cast("long")), texts, weights).collect() == []
