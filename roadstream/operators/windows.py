@@ -10,7 +10,7 @@ from roadstream.functions.timing import MINUTE, SECOND, to_timestamp, window_sta
 
 
 SPREAD = 16
-#: Rows whose panes are multiplied into windows in one task, so that its hash tables stay small however many rows there are.
+#: Rows whose panes are summed and multiplied into windows in one task, so that its hash tables stay small however many rows there are.
 TASK_ROWS = 250_000
 
 
@@ -59,7 +59,9 @@ def avg_speed_sliding(passages: DataFrame, size: int = 5 * MINUTE, slide: int =
     move once, by checkpoint, and are multiplied after that; a checkpoint has
     one row per pane by then, however many cars it saw.  The rows are counted
     first, for as many tasks as their panes may need: Spark alone would choose
-    them by the panes' size before they are multiplied.
+    them by the panes' size before they are multiplied.  Where there are more
+    panes than a task may hold, summing them in each task that reads rows would
+    take its memory and save little: the rows are dealt out by pane first.
     Stream: one windowed aggregation with a watermark of ``delay``.
     """
     if passages.isStreaming:
@@ -69,12 +71,16 @@ def avg_speed_sliding(passages: DataFrame, size: int = 5 * MINUTE, slide: int =
         return sums.select(*_window_columns(), key, *_means())
 
     pane = gcd(size, slide)
-    panes = passages.groupBy(F.col(key), window_start(time, pane).alias("_pane")).agg(
-        F.sum(speed_units(speed)).alias("_units"), F.count(F.lit(1)).alias("car_count"))
+    rows = passages.select(key, window_start(time, pane).alias("_pane"), speed_units(speed).alias("_units"))
+    n, n_panes = rows.agg(F.count(F.lit(1)), F.approx_count_distinct(F.xxhash64(key, "_pane"))).first()
+    tasks, groups = n // TASK_ROWS + 1, [key, "_pane"]
+    if n_panes > TASK_ROWS:
+        groups.append("_share")
+        rows = rows.withColumn("_share", F.pmod(F.xxhash64("_units"), F.lit(SPREAD))).repartition(tasks, *groups)
+    panes = rows.groupBy(*groups).agg(F.sum("_units").alias("_units"), F.count(F.lit(1)).alias("car_count"))
     newest = window_start("_pane", slide)
     starts = F.transform(F.sequence(F.lit(0), F.lit((size - 1) // slide)),
                          lambda k: newest - k.cast("bigint") * F.lit(slide))
-    tasks = passages.count() // TASK_ROWS + 1
     by_key = panes.repartition(tasks, key) if tasks > 1 else panes.repartition(key)
     spread = by_key.withColumn("start_time", F.explode(starts))
     if size % slide:

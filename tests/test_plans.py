@@ -115,3 +115,14 @@ def test_short_chunks_share_ranges(passages):
     assert len(pieces.inputFiles()) == 1
     sizes = pieces.groupBy(ordered.CHUNK).count().orderBy(ordered.CHUNK).collect()
     assert [row["count"] for row in sizes[:-1]] == [10] * (len(sizes) - 1) and sizes[-1]["count"] <= 10
+
+
+def test_panes_beyond_a_task_are_dealt_out_before_they_are_summed(passages, monkeypatch):
+    want = sorted(map(tuple, windows.avg_speed_sliding(passages).collect()))
+    monkeypatch.setattr(windows, "TASK_ROWS", 60)
+    speeds = windows.avg_speed_sliding(passages)
+    text = plan(speeds)
+    assert "_share" in text and text.count("Exchange hashpartitioning") == 2
+    lowest = text.rindex("Exchange hashpartitioning")
+    assert "HashAggregate" not in text[lowest:]  # no table of panes beside the rows that are read
+    assert sorted(map(tuple, speeds.collect())) == want
