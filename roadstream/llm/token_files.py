@@ -38,16 +38,26 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int = 1, key: str = "doc_
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary")
 
 
+def add_counts(total: np.ndarray, documents: list[bytes], step: int = 1 << 20) -> np.ndarray:
+    """``total`` with how often each id stands in ``documents``.
+
+    Counting takes as long as the vocabulary however short a text is, so texts are counted together, ``step`` ids at a time.
+    """
+    ids = np.frombuffer(b"".join(documents), dtype="<u4")
+    for at in range(0, len(ids), step):
+        found = np.bincount(ids[at:at + step])
+        if len(found) > len(total):
+            total = np.pad(total, (0, len(found) - len(total)))
+        total[:len(found)] += found
+    return total
+
+
 def count_ids(tokens: DataFrame) -> DataFrame:
     """(id, n) over all rows, summed in each task first."""
     def run(batches):
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for ids in batch.column(0).to_pylist():
-                found = np.bincount(np.frombuffer(ids, dtype="<u4"))
-                if len(found) > len(total):
-                    total = np.pad(total, (0, len(found) - len(total)))
-                total[:len(found)] += found
+            total = add_counts(total, batch.column(0).to_pylist())
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["id", "n"])
 

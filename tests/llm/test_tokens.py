@@ -144,6 +144,15 @@ def test_token_files_empty_table(docs):
     assert token_files.round_trip(docs([]), WORDS).collect() == []
 
 
+def test_short_texts_are_counted_together(monkeypatch):
+    documents, calls, counted = [np.array([k, 40_000], "<u4").tobytes() for k in range(300)], [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda x: calls.append(len(x)) or counted(x))
+    for step in (1 << 20, 100):
+        total = token_files.add_counts(np.ones(7, np.int64), [*documents, b""], step)
+        assert (total[0], total[299], total[40_000], total.sum()) == (2, 1, 300, 607)
+    assert calls == [600] + [100] * 6
+
+
 @pytest.mark.parametrize("counts, limit, want", [([1, 1, 2, 4], 3, [3, 3, 2, 1]), ([1, 1, 2, 4], 2, [2, 2, 2, 2]), ([7], 4, [1]), ([], 4, [])])
 def test_code_lengths(counts, limit, want):
     assert token_files.code_lengths(np.array(counts, np.int64), limit).tolist() == want
