@@ -49,6 +49,8 @@ SMALL = 32
 #: Equal samples of a pair that is verified; sets of samples that make the fresh bands, and their size.
 AGREE = 38
 SPLITS, LONG = 48, 8
+#: Members of buckets that a task compares at once.
+CHUNK_ROWS = 1 << 12
 #: Texts and code points of a tile in exact comparisons, and the most tasks that tiles are dealt to.
 TILE_ROWS, TILE_CHARS, TILE_TASKS = 512, 1 << 20, 10_000
 _DRAWS = 1 << 16
@@ -275,6 +277,42 @@ def agreeing(pairs: DataFrame, least: int = AGREE) -> DataFrame:
     return pairs.select("leader", "doc", "left", "right").mapInArrow(run, "leader long, doc long").distinct()
 
 
+def agreeing_inside(members: DataFrame, least: int = AGREE) -> DataFrame:
+    """(leader, doc), the smaller first, of pairs across parts of ``members`` (bucket, doc, sketch, part) with ``least`` equal samples.
+
+    Rows of a bucket lie together in a task and are compared there, so a pair becomes a row only if it agrees.  A task holds
+    a chunk and the rows of one bucket, so buckets should be of bounded size.
+    """
+    def pairs(bucket, doc, part, sketch):
+        found = [np.empty((0, 2), np.int64)]
+        for step in range(1, len(bucket)):
+            left = np.flatnonzero(bucket[:-step] == bucket[step:])
+            if not len(left):
+                break
+            left = left[part[left] != part[left + step]]
+            left = left[(sketch[left] == sketch[left + step]).sum(axis=1) >= least]
+            found.append(np.stack([doc[left], doc[left + step]], axis=1))
+        found = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["leader", "doc"])
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            rows = [batch.column(x).to_numpy(zero_copy_only=False) for x in range(3)]
+            rows.append(np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint16).reshape(-1, SAMPLES))
+            held = rows if held is None else [np.concatenate(x) for x in zip(held, rows)]
+            if len(held[0]) >= CHUNK_ROWS:
+                # The last bucket may go on in the next batch.
+                edge = int(np.searchsorted(held[0], held[0][-1]))
+                yield pairs(*(x[:edge] for x in held))
+                held = [x[edge:] for x in held]
+        if held is not None:
+            yield pairs(*held)
+
+    dealt = members.select("bucket", "doc", "part", "sketch").repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(run, "leader long, doc long")
+
+
 def fresh_bands(members: DataFrame) -> DataFrame:
     """(bucket, *columns) of ``members``: one row for each of ``SPLITS`` sets of ``LONG`` samples."""
     pick = np.random.default_rng(20240307)
@@ -375,18 +413,25 @@ def _mixed(parted: DataFrame) -> DataFrame:
     return parted.join(mixed.hint("merge"), "bucket")
 
 
-def _crossing(live: DataFrame) -> DataFrame:
-    """Pairs across parts (leader, doc, left, right): all in buckets of up to ``SMALL`` members, else with two leaders."""
-    side = lambda rows: rows.select("bucket", F.col("doc").alias("leader"), F.col("sketch").alias("left"), F.col("part").alias("led"))
-    few = live.filter(F.col("n") <= SMALL)
-    small = side(few).join(few.select("bucket", *_MEMBER).hint("merge"), "bucket").filter("leader < doc and led <> part")
+def _unsettled(parted: DataFrame) -> DataFrame:
+    """Members of buckets that hold several parts, without the buckets."""
+    mixed = parted.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high")
+    return parted.join(mixed.select("bucket").hint("merge"), "bucket", "left_semi").drop("bucket").distinct()
+
+
+def _crossing(live: DataFrame, heads: tuple[str, ...] = ("best", "next")) -> DataFrame:
+    """Agreeing pairs across parts (leader, doc): all in buckets of up to ``SMALL`` members, else with two leaders.
+
+    ``heads`` leaves out the first leader where all have met it.
+    """
+    small = agreeing_inside(live.filter(F.col("n") <= SMALL))
     many = live.filter(F.col("n") > SMALL)
     second = many.filter(F.col("part") != F.col("best.part")).groupBy("bucket").agg(
         F.max_by(F.struct(*_MEMBER), F.struct("score", "doc")).alias("next"))
-    wide = many.join(second.hint("merge"), "bucket").withColumn("head", F.explode(F.array("best", "next")))
+    wide = many.join(second.hint("merge"), "bucket").withColumn("head", F.explode(F.array(*heads)))
     wide = wide.filter(F.col("part") != F.col("head.part"))
-    return small.select("leader", "doc", "left", F.col("sketch").alias("right")).unionByName(wide.select(
-        F.col("head.doc").alias("leader"), "doc", F.col("head.sketch").alias("left"), F.col("sketch").alias("right")))
+    return small.unionByName(agreeing(wide.select(
+        F.col("head.doc").alias("leader"), "doc", F.col("head.sketch").alias("left"), F.col("sketch").alias("right")))).distinct()
 
 
 def _linked(met: DataFrame, texts: DataFrame, weights: Weights, similar: float) -> DataFrame:
@@ -406,18 +451,15 @@ def _linked(met: DataFrame, texts: DataFrame, weights: Weights, similar: float)
         return freeze(verify(pairs, texts, weights, similar), "links")
 
     live = freeze(_mixed(_parted(met, found)), "mixed")
-    found = found.unionByName(more(agreeing(_crossing(live))))
+    found = found.unionByName(more(_crossing(live, ("next",))))
     wide = live.filter(F.col("n") > SMALL).select("bucket", "doc", "score", "sketch")
-    open_ = freeze(_mixed(_parted(wide, found)).select("doc", "score", "sketch").distinct(), "open")
+    open_ = freeze(_unsettled(_parted(wide, found)), "open")
     if not open_.head(1):
         return found
-    dealt = fresh_bands(open_)
-    shared = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    dealt = freeze(dealt.join(shared.drop("size").hint("merge"), "bucket"), "dealt")
-    live = freeze(_mixed(_parted(dealt, found)), "mixed")
-    found = found.unionByName(more(agreeing(_crossing(live))))
-    rest = _mixed(_parted(live.filter(F.col("n") > SMALL).select("bucket", "doc", "score", "sketch"), found))
-    rest = freeze(rest.select("doc", "part").distinct(), "rest")
+    live = freeze(_mixed(fresh_bands(open_)), "mixed")
+    found = found.unionByName(more(_crossing(live)))
+    rest = _unsettled(_parted(live.filter(F.col("n") > SMALL).select("bucket", "doc"), found))
+    rest = freeze(rest.select("doc", "part"), "rest")
     if not rest.head(1):
         return found
     return found.unionByName(close_links(clusters(rest, met), texts, weights, similar))

@@ -257,3 +257,34 @@ def test_a_cloud_below_the_bound_makes_no_rows_of_pairs(spark, monkeypatch):
 
     assert parts(links) == parts(near)
     assert neardup.close_links(clustered.withColumn("part", F.lit(1).cast("long")), texts, weights).collect() == []
+
+
+def _rows_of_joins(plan):
+    """Rows that the joins of an executed plan have made."""
+    own = plan.metrics().get("numOutputRows").get().value() if "Join" in plan.nodeName() else 0
+    inner = {"AdaptiveSparkPlan": lambda: [plan.executedPlan()], "ShuffleQueryStage": lambda: [plan.plan()],
+             "BroadcastQueryStage": lambda: [plan.plan()]}.get(plan.nodeName())
+    children = inner() if inner else [plan.children().apply(k) for k in range(plan.children().size())]
+    return own + sum(map(_rows_of_joins, children))
+
+
+def test_pairs_of_small_buckets_are_no_rows_of_a_join(spark, docs, monkeypatch):
+    """Members of many buckets, of which a few pairs agree, also where a bucket goes on in the next batch or chunk."""
+    docs([])
+    monkeypatch.setattr(neardup, "CHUNK_ROWS", 50, raising=False)
+    pick = np.random.default_rng(4)
+    sketch = pick.integers(0, 1 << 16, (300, neardup.SAMPLES), dtype=np.uint16)
+    for k in range(0, 300, 7):
+        sketch[k, :neardup.AGREE - k % 2] = sketch[(k + 3) % 300, :neardup.AGREE - k % 2]
+    buckets = {b: sorted(pick.choice(300, 1 + b % neardup.SMALL, replace=False).tolist()) for b in range(-30, 30)}
+    buckets |= {100 + k: [k, (k + 3) % 300] for k in range(0, 300, 7)}
+    part = {k: k - k % 2 for k in range(300)}
+    rows = [(b, k, 1.0, bytearray(sketch[k].tobytes()), part[k], len(held)) for b, held in buckets.items() for k in held]
+    live = spark.createDataFrame(rows, "bucket long, doc long, score double, sketch binary, part long, n long")
+    live = live.withColumn("best", F.struct(*neardup._MEMBER))
+    found = neardup._crossing(live)
+    got = {(min(r.leader, r.doc), max(r.leader, r.doc)) for r in found.collect()}
+    agree = {(i, j) for held in buckets.values() for i in held for j in held
+             if i < j and part[i] != part[j] and (sketch[i] == sketch[j]).sum() >= neardup.AGREE}
+    assert agree and got == agree
+    assert _rows_of_joins(found._jdf.queryExecution().executedPlan()) <= len(rows)
