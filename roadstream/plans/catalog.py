@@ -723,7 +723,7 @@ CLOSED = "end_time <= (select max(action_time) from p) - 5000"
 
 def _drain(spark, folder, stream):
     path = new_path(spark, "stream")
-    with runner.state_partitions(spark, inputs.partitions(spark, folder, "events")):
+    with runner.state_partitions(spark, inputs.partitions(spark, folder, "events", spark.sparkContext.defaultParallelism)):
         query = runner.to_parquet(stream, f"{path}/rows", f"{path}/checkpoint")
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{path}/rows")
@@ -787,14 +787,19 @@ def _batches(spark, folder, start):
 
 
 def _in_files(spark, folder, n, at=None):
-    """``events`` as a stream of ``n`` files, by time or by ``at`` (microseconds)."""
+    """``events`` as a stream of ``n`` files, or of ``n`` sets of files if large, by time or by ``at`` (microseconds)."""
     path, rows = new_path(spark, "files"), inputs.table(spark, folder, "events")
+    files = inputs.files(spark, folder, "events", n)
     at = F.unix_micros(F.col("ts").cast("timestamp")) if at is None else at
     edges = rows.select(F.percentile_approx(at, [x / n for x in range(1, n)])).first()[0]
-    for low, high in zip([None, *edges], [*edges, None]):
+    written = spark.read.schema(rows.schema)
+    for part, (low, high) in enumerate(zip([None, *edges], [*edges, None]), 1):
         some = rows.filter((F.lit(True) if low is None else at > low) & (F.lit(True) if high is None else at <= high))
-        some.coalesce(1).write.mode("append").parquet(path)
-    return inputs.as_passages(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path))
+        (some.coalesce(1) if files == 1 else some.repartition(files)).write.mode("append").parquet(path)
+        # Few rows can leave a task without a file; with empty ones a micro-batch still ends where its part ends.
+        for _ in range(part * files - len(written.parquet(path).inputFiles())):
+            some.limit(0).write.mode("append").parquet(path)
+    return inputs.as_passages(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path))
 
 
 @query(RUNNING + " where action_time < (select max(action_time) from p) - 5000")

@@ -14,10 +14,22 @@ def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
 
 
-def partitions(spark: SparkSession, folder: str, name: str) -> int:
-    """Shuffle partitions for a table: one per 64 MB of its files, from 8 up to the session's number."""
-    size = int(table(spark, folder, name)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(8, size >> 26))
+def _size(spark: SparkSession, folder: str, name: str) -> int:
+    return int(table(spark, folder, name)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def partitions(spark: SparkSession, folder: str, name: str, cores: int = 8) -> int:
+    """Shuffle partitions for a table: one per 64 MB of its files, from 8 up to the session's number.
+
+    With ``cores`` a larger table, of 2 MB a core or more, has one per core at least.
+    """
+    size = _size(spark, folder, name)
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(8, min(cores, size >> 21), size >> 26))
+
+
+def files(spark: SparkSession, folder: str, name: str, n: int) -> int:
+    """Files for each of ``n`` parts of a table: one per 4 MB of them, up to one per core."""
+    return min(spark.sparkContext.defaultParallelism, max(1, (_size(spark, folder, name) // n) >> 22))
 
 
 def as_passages(events: DataFrame) -> DataFrame:

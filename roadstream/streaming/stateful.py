@@ -9,18 +9,22 @@ or a memory ends.  So a busy car costs its rows, however many micro-batches
 they take, and no list holds all of them.  Every access to the state is a
 message between Python and Spark, so cars share the state of ``BUCKETS``
 hash buckets: a micro-batch costs its rows and some messages per bucket, not
-per car.  The state survives in the query's checkpoint; RocksDB holds it
+per car.  Rows are kept as Arrow batches, which cross between the two as one
+value instead of row by row.  The state survives in the query's checkpoint; RocksDB holds it
 (``runner`` starts such queries with it).
 """
 
-import heapq
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType, LongType, StringType, StructField,
-                               StructType)
+from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DoubleType, IntegerType, LongType, StringType,
+                               StructField, StructType)
 
 from roadstream.functions.messages import CLONED_PLATE
 from roadstream.functions.numeric import SPEED_DIGITS, speed_units
@@ -32,6 +36,9 @@ from roadstream.operators.windows import with_event_time
 #: Rows of a run; one run at a time is in memory for each time the bucket's waiting rows overlap.
 RUN_ROWS = 1_000
 
+#: Result rows that are handed on together.
+OUT_ROWS = 10_000
+
 #: Groups that keys share their state in; a query has to go on with the number it was started with.
 BUCKETS = 1_024
 
@@ -62,9 +69,9 @@ class _Sequence(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        several = StructType([StructField("rows", ArrayType(self.rows))])
-        self.memory = handle.getValueState("memory", several, self.keep_ms)
-        self.runs = handle.getMapState("runs", _schema(run=LongType), several)
+        self.arrow = to_arrow_schema(self.rows)
+        self.memory = handle.getValueState("memory", _schema(rows=BinaryType), self.keep_ms)
+        self.runs = handle.getMapState("runs", _schema(run=LongType), _schema(rows=BinaryType))
         self.open = handle.getValueState("open", _OPEN)
 
     def close(self) -> None:
@@ -95,47 +102,45 @@ class _Sequence(StatefulProcessor):
         found = self.open.get()
         return ([tuple(x) for x in found[0]], found[1], found[2]) if found else ([], 0, None)
 
+    def _packed(self, rows: list[Row]) -> tuple[bytes]:
+        columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), self.arrow)]
+        return (pa.RecordBatch.from_arrays(columns, schema=self.arrow).serialize().to_pybytes(),)
+
+    def _unpacked(self, found: tuple[bytes]) -> list[Row]:
+        batch = pa.ipc.read_record_batch(pa.py_buffer(found[0]), self.arrow)
+        return list(zip(*(c.to_pylist() for c in batch.columns)))
+
     def _store(self, block: list[Row], runs: list[Row], last: int) -> tuple[list[Row], int]:
+        runs = list(runs)
         for at in range(0, len(block), RUN_ROWS):
             part = block[at:at + RUN_ROWS]
             last += 1
-            self.runs.updateValue((last,), (part,))
-            runs = [*runs, (last, 0, part[0][0] if self.idle else 0)]
+            self.runs.updateValue((last,), self._packed(part))
+            runs.append((last, 0, part[0][0]))
         return runs, last
 
     def _advance(self, block: list[Row], runs: list[Row], last: int, wake: int | None, timers) -> Iterator[pd.DataFrame]:
         """Take what is due: from ``block``, sorted and not stored yet, and from stored runs."""
         now = timers.getCurrentWatermarkInMs() if self.idle else None
-        due = lambda row: now is None or row[0] <= now
-        loaded: dict[int, list[Row]] = {}
-        places = {run: at for run, at, _ in runs}
-        heap = [(block[0], 0, 0)] if block and due(block[0]) else []
-        for run, at, next_time in runs:
-            if now is None or next_time <= now:
-                loaded[run] = [tuple(x) for x in self.runs.getValue((run,))[0]]
-                heap.append((loaded[run][at], run, at))
-        heapq.heapify(heap)
-        loaded[0], places[0] = block, 0
+        taken = len(block) if now is None else bisect_left(block, (now + 1,))
+        left = [x for x in runs if now is not None and x[2] > now]
+        due = sorted((x for x in runs if now is None or x[2] <= now), key=lambda x: x[2])
         out: list[Row] = []
         wanted = wake
-        if heap or self.idle and wake is not None and wake <= now:
+        if taken or due or self.idle and wake is not None and wake <= now:
             memory = self._remembered()
-            changed = bool(heap)
-            self._take(heap, loaded, places, due, memory, out)
+            changed = bool(taken or due)
+            for rows in self._in_order(block[:taken], due, now, left):
+                self._take(rows, memory, out)
+                if len(out) >= OUT_ROWS:
+                    yield self._frame(out)
+                    out = []
             if self.idle:
                 wanted, ended = self._rest(memory, now, out)
                 changed = changed or ended
             if changed:
                 self._remember(memory)
-        left = []
-        for run, at, next_time in runs:
-            if run not in loaded:
-                left.append((run, at, next_time))
-            elif places[run] < len(loaded[run]):
-                left.append((run, places[run], loaded[run][places[run]][0]))
-            else:
-                self.runs.removeKey((run,))
-        left, last = self._store(block[places[0]:], left, last)
+        left, last = self._store(block[taken:], left, last)
         due_at = min([next_time for _, _, next_time in left] + ([] if wanted is None else [wanted]), default=None)
         if due_at is not None and self.idle:
             due_at = max(due_at, now + 1)
@@ -149,16 +154,42 @@ class _Sequence(StatefulProcessor):
         elif runs or wake is not None:
             self.open.clear()
         if out:
-            yield pd.DataFrame(out, columns=self.output.names, dtype=object)
-
-    def _take(self, heap: list[Row], loaded: dict[int, list[Row]], places: dict[int, int], due: Callable[[Row], bool],
-              memory: dict[Row, list[Row]], out: list[Row]) -> None:
+            yield self._frame(out)
+
+    def _frame(self, out: list[Row]) -> pd.DataFrame:
+        return pd.DataFrame(out, columns=self.output.names, dtype=object)
+
+    def _in_order(self, block: list[Row], due: list[Row], now: int | None, left: list[Row]) -> Iterator[list[Row]]:
+        """The due rows in sorted lists, one after the other; a run is read when its first time is reached.
+
+        What of a run is not due yet goes to ``left``; a run that is taken whole is removed.
+        """
+        begun = [block] if block else []
+        for run, at, next_time in due:
+            yield from self._before(begun, (next_time,))
+            rows = self._unpacked(self.runs.getValue((run,)))
+            end = len(rows) if now is None else bisect_left(rows, (now + 1,))
+            if end < len(rows):
+                left.append((run, end, rows[end][0]))
+            else:
+                self.runs.removeKey((run,))
+            begun.append(rows[at:end])
+        yield from self._before(begun, None)
+
+    def _before(self, begun: list[list[Row]], edge: Row | None) -> Iterator[list[Row]]:
+        """Takes the rows before ``edge`` out of sorted lists and gives them as one."""
+        places = [len(rows) if edge is None else bisect_left(rows, edge) for rows in begun]
+        ready = sorted(chain.from_iterable(rows[:at] for rows, at in zip(begun, places)))
+        begun[:] = [rows[at:] if at else rows for rows, at in zip(begun, places) if at < len(rows)]
+        if ready:
+            yield ready
+
+    def _take(self, rows: list[Row], memory: dict[Row, list[Row]], out: list[Row]) -> None:
         """Run ``step`` over the due rows, of all keys in one order."""
-        key_at, found = self.key_at, []
-        while heap:
-            row, run, at = heapq.heappop(heap)
+        key_at, step, found = self.key_at, self.step, []
+        for row in rows:
             key = row[key_at:]
-            kept = self.step(memory.get(key, []), (row[0], *row[2:key_at]), found)
+            kept = step(memory.get(key, []), (row[0], *row[2:key_at]), found)
             if kept:
                 memory[key] = kept
             else:
@@ -166,9 +197,6 @@ class _Sequence(StatefulProcessor):
             if found:
                 out.extend((*key, *x) for x in found)
                 found.clear()
-            places[run] = at + 1
-            if at + 1 < len(loaded[run]) and due(loaded[run][at + 1]):
-                heapq.heappush(heap, (loaded[run][at + 1], run, at + 1))
 
     def _rest(self, memory: dict[Row, list[Row]], now: int, out: list[Row]) -> tuple[int | None, bool]:
         """Run ``idle`` for each key: when the next memory ends, and whether one has changed."""
@@ -191,13 +219,13 @@ class _Sequence(StatefulProcessor):
     def _remembered(self) -> dict[Row, list[Row]]:
         memory: dict[Row, list[Row]] = {}
         found = self.memory.get()
-        for row in found[0] if found else []:
-            memory.setdefault(tuple(row[self.key_at:]), []).append((row[0], *row[2:self.key_at]))
+        for row in self._unpacked(found) if found else []:
+            memory.setdefault(row[self.key_at:], []).append((row[0], *row[2:self.key_at]))
         return memory
 
     def _remember(self, memory: dict[Row, list[Row]]) -> None:
         if memory:
-            self.memory.update(([(row[0], 0, *row[1:], *key) for key, rows in memory.items() for row in rows],))
+            self.memory.update(self._packed([(row[0], 0, *row[1:], *key) for key, rows in memory.items() for row in rows]))
         else:
             self.memory.clear()
 

@@ -1,13 +1,16 @@
 """Typed state, totals over micro-batches and chained counts of streams."""
 
 import random
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from roadstream.functions.timing import MINUTE, SECOND
 from roadstream.operators import batching, distinct, matching, sequence
-from roadstream.plans import jobs
+from roadstream.plans import catalog, inputs, jobs
 from roadstream.sources.parse import parse_passages, parse_police_actions, parse_violations
 from roadstream.streaming import runner, stateful, totals
 from tests.conftest import rows
@@ -55,6 +58,79 @@ def test_cars_share_the_state_of_few_buckets(spark, feed, tmp_path, monkeypatch)
     assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) <= 40
 
 
+class Kept(dict):
+    """State of one kind in memory; ``calls`` has what was read, by key, and what was written."""
+
+    def __init__(self, calls):
+        self.calls = calls
+
+    def get(self):
+        return self.getValue(None)
+
+    def update(self, value):
+        self.updateValue(None, value)
+
+    def clear(self):
+        self.removeKey(None)
+
+    def getValue(self, key):
+        self.calls.append(("read", key))
+        return dict.get(self, key)
+
+    def updateValue(self, key, value):
+        self.calls.append(("written", value))
+        self[key] = value
+
+    def removeKey(self, key):
+        self.pop(key, None)
+
+
+def test_rows_are_kept_as_one_value_and_read_when_reached(run_rows):
+    calls = {name: [] for name in ("memory", "runs", "open")}
+    kept = {name: Kept(calls[name]) for name in calls}
+    handle = SimpleNamespace(getValueState=lambda name, *_: kept[name], getMapState=lambda name, *_: kept[name],
+                             registerTimer=lambda at: None)
+    taken, read = [], []
+
+    def step(memory, row, out):
+        taken.append(row)
+        read.append(sum(kind == "read" for kind, _ in calls["runs"]))
+        out.append(row)
+        return [row]
+
+    long, text = LongType(), StringType()
+    inside = StructType([StructField(n, t) for n, t in [("t", long), ("key_hash", long), ("id", long), ("m", text), ("key", text)]])
+    output = StructType([StructField(n, t) for n, t in [("key", text), ("t", long), ("id", long), ("m", text)]])
+    processor = stateful._Sequence(inside, 3, output, step, lambda memory, now, out: (memory, None), None)
+    processor.init(handle)
+    blocks = [pd.DataFrame([(n, n % 5, n, None if n % 4 else "m", f"car{n % 5}") for n in range(first, 120, 3)],
+                           columns=inside.names) for first in range(3)]
+    at = lambda time: SimpleNamespace(getCurrentWatermarkInMs=lambda: time)
+    assert not list(processor.handleInputRows((0,), iter(blocks), at(-1)))
+    runs = len(kept["runs"])
+    assert runs == 18 and not taken
+    found = [frame for time in (60, 200) for frame in processor.handleExpiredTimer((0,), at(time), None)]
+    assert [row[0] for row in taken] == list(range(120)) and read[0] <= 3 < runs
+    assert pd.concat(found)["m"].tolist() == [None if n % 4 else "m" for n in range(120)]
+    assert not kept["runs"]
+    assert all(isinstance(value[0], bytes) for name in ("memory", "runs") for kind, value in calls[name] if kind == "written")
+
+
+@pytest.mark.parametrize("files", [1, 4])
+def test_parts_of_several_files_are_a_micro_batch_each(spark, tmp_path, monkeypatch, files):
+    """Also where rows are too few for the files of a part."""
+    monkeypatch.setattr(inputs, "files", lambda *_: files, raising=False)
+    monkeypatch.setattr(catalog, "new_path", lambda spark, name: str(tmp_path / name))
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").orderBy("ts").limit(9)
+    events.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    stream, batches = catalog._in_files(spark, str(tmp_path), 3), []
+    read = lambda batch, _: batches.append(sorted(r.id for r in batch.collect()))
+    runner.to_batches(stream, read, str(tmp_path / "checkpoint")).awaitTermination()
+    ids = [r.event_id for r in events.orderBy("event_id").collect()]
+    assert batches == [ids[:3], ids[3:6], ids[6:]]
+    assert len(list((tmp_path / "files").glob("part-*"))) == 3 * files
+
+
 def test_busy_plate_in_order_of_arrival(spark, feed, drain, run_rows):
     log = [[f"{n * 10_000 + m};{line.partition(';')[2]}" for m, line in enumerate(part)] for n, part in enumerate(busy_log(2)[:-1])]
     want = sequence.cloned_plates_arrival(static(spark, [*log, []]), 2)
